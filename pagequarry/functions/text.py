@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The separators of words, spelled out because the meaning of \s
 # differs between regular-expression engines.
-WORD_BREAK = "[ \t\r\n]+"
+SPACES = " \t\r\n"
+WORD_BREAK = f"[{SPACES}]+"
+
+_WORD = re.compile(f"[^{SPACES}]+")
 
 # Fixed value: the reply to a blank question.
 EMPTY_QUESTION = "ERROR the question should not be empty"
@@ -18,6 +23,11 @@ def words(text: Column) -> Column:
     return F.filter(F.split(text, WORD_BREAK), lambda w: w != "")
 
 
+def split_words(text: str) -> list[str]:
+    """The same words in a Python worker."""
+    return _WORD.findall(text)
+
+
 def token_count(text: Column) -> Column:
     return F.size(words(text))
 

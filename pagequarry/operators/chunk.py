@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagequarry.functions.arrays import let
-from pagequarry.functions.text import words
+from pagequarry.functions.text import SPACES, split_words, words
 from pagequarry.operators.explode import explode_once
 
 CHUNKS = "array<struct<chunk:string,n_units:int>>"
@@ -87,12 +87,12 @@ def character_runs(text: str, size: int, separators=SEPARATORS) -> Iterator[list
 
 
 def count_words(text: str) -> int:
-    return len(text.split())
+    return len(split_words(text))
 
 
 def _chunked(text: Column, chunk_text: Callable[[str], Iterator[Piece]]) -> Column:
     def chunks(document: str | None) -> list[dict]:
-        stripped = ((c.strip(), n) for c, n in chunk_text(document or ""))
+        stripped = ((c.strip(SPACES), n) for c, n in chunk_text(document or ""))
         return [{"chunk": c, "n_units": n} for c, n in stripped if c]
 
     def split(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

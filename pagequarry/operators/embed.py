@@ -13,6 +13,8 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from pagequarry.functions.text import split_words
+
 # Fixed value: the most texts a model takes in one request.
 REQUEST_SIZE = 150
 
@@ -38,7 +40,7 @@ def hashed_words(dim: int = 64) -> Embedder:
     def embed(texts: list[str]) -> list[np.ndarray]:
         vectors = []
         for text in texts:
-            buckets = [_hash(t) % dim for t in text.split()]
+            buckets = [_hash(t) % dim for t in split_words(text)]
             counts = np.bincount(buckets, minlength=dim) if buckets else np.zeros(dim)
             vectors.append((counts / (np.sqrt((counts**2).sum()) or 1.0)).astype(np.float32))
         return vectors

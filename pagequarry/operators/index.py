@@ -153,7 +153,8 @@ def _open_cells(index: CellIndex, questions: DataFrame, probes: int, further: bo
             if further:
                 bound = batch.column(2).to_numpy(zero_copy_only=False)
                 squares = bound * 2 if metric == "cosine" else bound
-                reach = np.sqrt(np.maximum(squares, 0)) + 1e-4
+                scale = np.sqrt(max((q * q).sum(axis=1).max(), (centres * centres).sum(axis=1).max()))
+                reach = np.sqrt(np.maximum(squares, 0)) + 1e-4 + 1e-6 * scale
                 chosen = ~chosen & (away - radius[None, :] <= reach[:, None])
             chosen[:, blocks == 0] = False
             who, cell = np.nonzero(chosen)
@@ -191,17 +192,19 @@ def search_cells(
 ) -> DataFrame:
     """``k`` nearest rows per question (qid, embedding): (qid, rank, id, dist).
 
-    With ``exact=False`` only the probed cells are searched.
+    With ``exact=False`` only the probed cells are searched, and the further ones of
+    questions whose probed cells hold fewer than ``k`` rows.
     """
     vector = F.col("embedding").cast("array<float>").alias("embedding")
     questions = questions.select("qid", vector).where(F.col("embedding").isNotNull())
     opened = _open_cells(index, questions, probes, further=False)
     first = materialise(top_k(_in_open_cells(index, opened, k), k), "probed")
-    if not exact:
-        return first
     # A question with fewer than k rows so far has no bound: all its cells are opened.
     kth = first.where(F.col("rank") == k).select("qid", F.col("dist").alias("bound"))
-    bounded = questions.join(kth, "qid", "left").select(
+    bounded = questions.join(kth, "qid", "left")
+    if not exact:
+        bounded = bounded.where(F.col("bound").isNull())
+    bounded = bounded.select(
         "qid", "embedding", F.coalesce("bound", F.lit(float("inf"))).alias("bound")
     )
     more = materialise(_open_cells(index, bounded, probes, further=True), "further_cells")
