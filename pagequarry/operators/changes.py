@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pagequarry.scratch import materialise
+
 
 def fingerprint(*columns: str) -> Column:
     """Digest that tells null from empty and one column from the next."""
@@ -25,13 +27,14 @@ def snapshot_changes(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
         .when(F.col("_new").isNull(), "delete")
         .otherwise("update")
     )
-    changed = (
+    # Written down because it is read twice; its size then tells Spark whether to
+    # broadcast it against the new snapshot. A deleted row has no content to fetch.
+    changed = materialise(
         before.join(after, key, "full_outer")
         .where(~F.col("_old").eqNullSafe(F.col("_new")))
-        .select(key, kind.alias("change"))
+        .select(key, kind.alias("change")),
+        "changed_keys",
     )
-    # An inner join, so that few changes are broadcast against the new snapshot; a
-    # deleted row has no content to fetch.
     upserts = changed.where(F.col("change") != "delete").join(new, key)
     deletes = changed.where(F.col("change") == "delete")
     return upserts.unionByName(deletes, allowMissingColumns=True)
@@ -41,15 +44,16 @@ def apply_changes(base: DataFrame, changes: DataFrame, key: str, version: str) -
     """``base`` after the latest change of each key.
 
     ``max_by`` combines on the map side, so a key changed very often is reduced
-    before the shuffle. Unchanged base rows pass through an anti join, which is a
-    broadcast when the changes are few.
+    before the shuffle. The result is written down because it is read twice; unchanged
+    base rows pass through an anti join, a broadcast when its size allows.
     """
     payload = [c for c in changes.columns if c not in (key, version)]
     order = F.struct(version, fingerprint(*payload))
-    latest = (
+    latest = materialise(
         changes.groupBy(key)
         .agg(F.max_by(F.struct(*payload), order).alias("_last"))
-        .select(key, "_last.*")
+        .select(key, "_last.*"),
+        "latest_changes",
     )
     upserts = latest.where(F.col("change") != "delete").select(base.columns)
     return base.join(latest.select(key), key, "left_anti").unionByName(upserts)

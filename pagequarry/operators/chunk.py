@@ -72,7 +72,7 @@ def character_runs(text: str, size: int, separators=SEPARATORS) -> Iterator[list
     at = next(i for i, s in enumerate(separators) if s in text)
     sep, later = separators[at], separators[at + 1 :]
     parts = text.split(sep) if sep else list(text)
-    pieces = [p for p in [parts[0]] + [sep + p for p in parts[1:]] if p]
+    pieces = [p for p in parts[:1] + [sep + p for p in parts[1:]] if p]
     run: list[Piece] = []
     for piece in pieces:
         if len(piece) < size or not later:

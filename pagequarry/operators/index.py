@@ -5,8 +5,8 @@ cells nearest to each question. By default it then opens every further cell that
 could hold a closer row, so its result is exact. ``search_buckets`` is approximate:
 it looks in the hash buckets of each question.
 
-Large cells and buckets are split into blocks, and ``join_blocks`` streams the
-questions past each block, so a cell with a third of all rows is many tasks' work.
+``join_groups`` splits cells and buckets with many rows or many questions, so a cell
+with a third of all rows is many tasks' work.
 """
 
 from __future__ import annotations
@@ -23,37 +23,45 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagequarry.operators.nearest import (
+    DISTANCE_CELLS,
     Distances,
     as_matrix,
-    join_blocks,
+    join_groups,
     nearest,
     top_k,
 )
 from pagequarry.scratch import materialise
 
+# Most cells of an index, and most cells named in the filter of a scan.
 MAX_CELLS = 65_536
-BLOCK_ROWS = 100_000
+FILTERED_CELLS = 1_000
 
 
 @dataclass(frozen=True)
 class CellIndex:
-    """Corpus rows with their cell, and what is known of each cell.
-
-    ``radius`` is the largest distance of a row to its centre. Cell ``c`` is split into
-    ``blocks[c]`` blocks, numbered from ``first_block[c]``.
-    """
+    """Corpus rows with their cell, the centre of each cell, and its radius: the
+    largest distance of a row to the centre, negative for a cell without rows."""
 
     rows: DataFrame
     centres: np.ndarray
     radius: np.ndarray
-    blocks: np.ndarray
-    first_block: np.ndarray
     metric: str
 
 
-def _unit(vectors: np.ndarray) -> np.ndarray:
-    norms = np.linalg.norm(vectors, axis=1, keepdims=True)
-    return np.divide(vectors, norms, out=np.zeros_like(vectors), where=norms > 0)
+def _points(column: pa.Array, metric: str) -> np.ndarray:
+    """Vectors as points whose distances rank like the metric."""
+    points = as_matrix(column)
+    if metric != "cosine":
+        return points
+    norms = np.linalg.norm(points, axis=1, keepdims=True)
+    return np.divide(points, norms, out=np.zeros_like(points), where=norms > 0)
+
+
+def _distances_to(centres: np.ndarray, points: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Slices of the points (first position, distances to all centres)."""
+    step = max(1, DISTANCE_CELLS // len(centres))
+    for at in range(0, len(points), step):
+        yield at, np.sqrt(Distances("l2").block(points[at : at + step], centres))
 
 
 def _as_vectors(df: DataFrame, metric: str) -> DataFrame:
@@ -70,7 +78,7 @@ def build_cells(
     metric: str = "l2",
     seed: int = 17,
     training_rows: int = 1_000_000,
-    block_rows: int = BLOCK_ROWS,
+    iterations: int = 10,
 ) -> CellIndex:
     """Cut ``corpus`` (id, embedding) into cells.
 
@@ -84,22 +92,21 @@ def build_cells(
     corpus = corpus.select("id", "embedding").where(F.col("embedding").isNotNull())
     total = corpus.count()
     sample = corpus if total <= training_rows else corpus.sample(training_rows / total, seed)
-    model = KMeans(k=cells, seed=seed, featuresCol="_u").fit(_as_vectors(sample, metric).select("_u"))
-    centres = np.array(model.clusterCenters())
+    means = KMeans(k=cells, seed=seed, maxIter=iterations, featuresCol="_u")
+    centres = np.array(means.fit(_as_vectors(sample, metric).select("_u")).clusterCenters())
     sent = corpus.sparkSession.sparkContext.broadcast(centres)
-    l2 = Distances("l2")
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                x = as_matrix(batch.column(1))
-                x = _unit(x) if metric == "cosine" else x
-                cell = l2.block(x, sent.value).argmin(axis=1)
-                gap = np.sqrt(((x - sent.value[cell]) ** 2).sum(axis=1))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), batch.column(1), pa.array(cell), pa.array(gap)],
-                    ["id", "embedding", "cell", "gap"],
-                )
+            if not batch.num_rows:
+                continue
+            x = _points(batch.column(1), metric)
+            cell = np.concatenate([a.argmin(axis=1) for _, a in _distances_to(sent.value, x)])
+            gap = np.sqrt(((x - sent.value[cell]) ** 2).sum(axis=1))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(cell), pa.array(gap)],
+                ["id", "embedding", "cell", "gap"],
+            )
 
     id_type = corpus.schema["id"].dataType.simpleString()
     assigned = corpus.mapInArrow(
@@ -107,84 +114,67 @@ def build_cells(
     )
     # Range-sorted, so that a search for a few cells skips most of the files.
     rows = materialise(assigned.repartitionByRange("cell", "id"), "cells")
-    known = rows.groupBy("cell").agg(F.count("*").alias("n"), F.max("gap").alias("r")).collect()
-    radius, count = np.zeros(len(centres)), np.zeros(len(centres), np.int64)
-    for row in known:
-        radius[row.cell], count[row.cell] = row.r, row.n
-    blocks = -(-count // block_rows)
-    return CellIndex(rows, centres, radius, blocks, np.r_[0, np.cumsum(blocks)[:-1]], metric)
-
-
-def _blocks_of(index: CellIndex, rows: DataFrame) -> DataFrame:
-    """The block of each row, from a table of one row per cell."""
-    spark = rows.sparkSession
-    table = spark.createDataFrame(
-        [(c, int(n), int(f)) for c, (n, f) in enumerate(zip(index.blocks, index.first_block)) if n],
-        "cell long, n long, first long",
-    )
-    return rows.join(F.broadcast(table), "cell").select(
-        (F.col("first") + F.pmod(F.xxhash64("id"), F.col("n"))).alias("block"), "id", "embedding"
-    )
+    radius = np.full(len(centres), -1.0)
+    for row in rows.groupBy("cell").agg(F.max("gap").alias("r")).collect():
+        radius[row.cell] = row.r
+    return CellIndex(rows, centres, radius, metric)
 
 
 def _open_cells(index: CellIndex, questions: DataFrame, probes: int, further: bool) -> DataFrame:
-    """One row per question and block to look into: (qid, embedding, cell, block).
+    """One row per question and cell to look into: (group, qid, embedding).
 
     First the ``probes`` nearest cells; then (``further``) the cells beyond them whose
     nearest possible row is not farther than ``bound``, the k-th distance found so far.
     """
-    sent = questions.sparkSession.sparkContext.broadcast(
-        (index.centres, index.radius, index.blocks, index.first_block)
-    )
+    sent = questions.sparkSession.sparkContext.broadcast((index.centres, index.radius))
     metric = index.metric
 
     def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        centres, radius, blocks, first = sent.value
+        centres, radius = sent.value
+        largest = (centres * centres).sum(axis=1).max()
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            q = as_matrix(batch.column(1))
-            q = _unit(q) if metric == "cosine" else q
-            away = np.sqrt(Distances("l2").block(q, centres))
-            away[:, blocks == 0] = np.inf
-            order = np.argsort(away, axis=1, kind="stable")
-            chosen = np.zeros(away.shape, bool)
-            np.put_along_axis(chosen, order[:, :probes], True, axis=1)
-            if further:
-                bound = batch.column(2).to_numpy(zero_copy_only=False)
-                squares = bound * 2 if metric == "cosine" else bound
-                scale = np.sqrt(max((q * q).sum(axis=1).max(), (centres * centres).sum(axis=1).max()))
-                reach = np.sqrt(np.maximum(squares, 0)) + 1e-4 + 1e-6 * scale
-                chosen = ~chosen & (away - radius[None, :] <= reach[:, None])
-            chosen[:, blocks == 0] = False
-            who, cell = np.nonzero(chosen)
-            copies = blocks[cell]
-            salt = np.arange(copies.sum()) - np.repeat(np.cumsum(copies) - copies, copies)
-            who, cell = np.repeat(who, copies), np.repeat(cell, copies)
-            for at in range(0, len(who), 10_000):
-                part = slice(at, at + 10_000)
-                rows = pa.array(who[part])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).take(rows),
-                        batch.column(1).take(rows),
-                        pa.array(cell[part]),
-                        pa.array(first[cell[part]] + salt[part]),
-                    ],
-                    ["qid", "embedding", "cell", "block"],
-                )
+            q = _points(batch.column(1), metric)
+            for at, away in _distances_to(centres, q):
+                away[:, radius < 0] = np.inf
+                nearest_first = np.argsort(away, axis=1, kind="stable")[:, :probes]
+                chosen = np.zeros(away.shape, bool)
+                np.put_along_axis(chosen, nearest_first, True, axis=1)
+                if further:
+                    part = slice(at, at + len(away))
+                    bound = batch.column(2).to_numpy(zero_copy_only=False)[part]
+                    squares = bound * 2 if metric == "cosine" else bound
+                    scale = np.sqrt(max((q[part] ** 2).sum(axis=1).max(), largest))
+                    # Room for the rounding of distances.
+                    reach = np.sqrt(np.maximum(squares, 0)) + 1e-4 + 1e-6 * scale
+                    chosen = ~chosen & (away - radius <= reach[:, None])
+                chosen[:, radius < 0] = False
+                who, cell = np.nonzero(chosen)
+                for i in range(0, len(who), 10_000):
+                    rows = pa.array(who[i : i + 10_000] + at)
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(cell[i : i + 10_000]),
+                            batch.column(0).take(rows),
+                            batch.column(1).take(rows),
+                        ],
+                        ["group", "qid", "embedding"],
+                    )
 
     qid_type = questions.schema["qid"].dataType.simpleString()
-    return questions.mapInArrow(
-        cells, f"qid {qid_type}, embedding array<float>, cell long, block long"
-    )
+    return questions.mapInArrow(cells, f"group long, qid {qid_type}, embedding array<float>")
 
 
 def _in_open_cells(index: CellIndex, opened: DataFrame, k: int) -> DataFrame:
-    # At most MAX_CELLS numbers: they let the scan skip the files of other cells.
-    wanted = [r.cell for r in opened.select("cell").distinct().collect()]
-    rows = _blocks_of(index, index.rows.where(F.col("cell").isin(wanted)))
-    return join_blocks(opened.select("block", "qid", "embedding"), rows, k, index.metric)
+    """``opened`` must be stored: it is read to learn the cells, to count, and to join."""
+    rows = index.rows.select(F.col("cell").alias("group"), "id", "embedding")
+    wanted = opened.select("group").distinct()  # at most MAX_CELLS rows
+    few = [r.group for r in wanted.limit(FILTERED_CELLS + 1).collect()]
+    if len(few) <= FILTERED_CELLS:
+        # A literal list reaches the scan, which skips the files of other cells.
+        rows = rows.where(F.col("group").isin(few))
+    else:
+        rows = rows.join(F.broadcast(wanted), "group", "left_semi")
+    return join_groups(opened, rows, k, index.metric)
 
 
 def search_cells(
@@ -197,7 +187,7 @@ def search_cells(
     """
     vector = F.col("embedding").cast("array<float>").alias("embedding")
     questions = questions.select("qid", vector).where(F.col("embedding").isNotNull())
-    opened = _open_cells(index, questions, probes, further=False)
+    opened = materialise(_open_cells(index, questions, probes, further=False), "open_cells")
     first = materialise(top_k(_in_open_cells(index, opened, k), k), "probed")
     # A question with fewer than k rows so far has no bound: all its cells are opened.
     kth = first.where(F.col("rank") == k).select("qid", F.col("dist").alias("bound"))
@@ -220,7 +210,6 @@ def search_buckets(
     bucket_length: float = 0.5,
     tables: int = 8,
     seed: int = 17,
-    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Approximate: the ``k`` nearest among rows that share a hash bucket.
 
@@ -237,32 +226,11 @@ def search_buckets(
     def bucketed(df: DataFrame, id: str) -> DataFrame:
         hashed = model.transform(_as_vectors(df, metric))
         return hashed.select(id, "embedding", F.posexplode("_h").alias("table", "hash")).select(
-            id, "embedding", F.xxhash64("table", vector_to_array("hash")).alias("bucket")
-        )
-
-    rows, wanted = bucketed(corpus, "id"), bucketed(questions, "qid")
-    # Buckets beyond one block: at most (rows * tables / block_rows) of them.
-    large = (
-        rows.groupBy("bucket")
-        .agg(F.count("*").alias("n"))
-        .where(F.col("n") > block_rows)
-        .select("bucket", F.ceil(F.col("n") / block_rows).alias("n"))
-    )
-
-    def blocked(df: DataFrame, salt) -> DataFrame:
-        n = F.coalesce("n", F.lit(1).cast("bigint"))
-        return (
-            df.join(large, "bucket", "left")
-            .withColumn("salt", salt(n))
-            .withColumn("block", F.xxhash64("bucket", "salt"))
+            id, "embedding", F.xxhash64("table", vector_to_array("hash")).alias("group")
         )
 
-    salted = blocked(rows, lambda n: F.pmod(F.xxhash64("id"), n)).select("block", "id", "embedding")
-    zero, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
-    copied = blocked(wanted, lambda n: F.explode(F.sequence(zero, n - one))).select(
-        "block", "qid", "embedding"
-    )
-    candidates = join_blocks(copied, salted, k, metric).dropDuplicates(["qid", "id"])
+    candidates = join_groups(bucketed(questions, "qid"), bucketed(corpus, "id"), k, metric)
+    candidates = candidates.dropDuplicates(["qid", "id"])
     found = materialise(top_k(candidates, k), "bucketed")
     full = found.where(F.col("rank") == k).select("qid")
     short = questions.join(full, "qid", "left_anti")

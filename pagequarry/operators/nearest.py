@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from pagequarry.scratch import materialise
+
 METRICS = ("l2", "cosine", "ip")
 DECIMALS = 9
 
@@ -24,7 +26,10 @@ QUESTION_BYTES = 8 << 20
 BLOCK_BYTES = 64 << 20
 DISTANCE_CELLS = 1 << 21
 
-# Most top-k rows broadcast to look up their content.
+# Most questions streamed past one block of corpus rows, in sizes of such a block.
+QUESTION_BLOCKS = 8
+
+# Most rows of a small table broadcast to a join: top-k rows, groups to be split.
 BROADCAST_ROWS = 200_000
 
 
@@ -35,9 +40,9 @@ def as_matrix(column: pa.Array) -> np.ndarray:
     """List column as a matrix, without a Python object per row."""
     flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     sizes = column.value_lengths().to_numpy(zero_copy_only=False)
-    if len(sizes) and (sizes != sizes[0]).any():
+    if (sizes != sizes[:1]).any():
         raise ValueError("vectors of different dimensions in one column")
-    return flat.reshape(len(column), -1)
+    return flat.reshape(len(column), int(sizes[0]) if len(sizes) else 0)
 
 
 def smallest(who: np.ndarray, ids: np.ndarray, dist: np.ndarray, k: int) -> np.ndarray:
@@ -242,73 +247,109 @@ def _scanned(
 def _blocked(
     questions: DataFrame, corpus: DataFrame, k: int, metric: str, block_bytes: int
 ) -> DataFrame:
-    """Blocks of corpus rows against all questions, for any number of both.
-
-    Corpus rows move once; questions are copied once per block.
-    """
+    """All questions against all corpus rows, as one group that is split on both sides."""
     first = corpus.select(F.size("embedding").alias("n")).first()
-    dim = first.n if first else 1
-    blocks = max(1, -(-corpus.count() * 8 * dim // block_bytes))
-    keyed = corpus.select(
-        F.pmod(F.xxhash64("id"), F.lit(blocks)).alias("block"), "id", "embedding"
+    rows = max(1, block_bytes // (8 * max(1, first.n if first else 1)))
+    one = F.lit(0).cast("bigint").alias("group")
+    return join_groups(
+        questions.select(one, "*"),
+        corpus.select(one, "*"),
+        k,
+        metric,
+        corpus_rows=rows,
+        question_rows=rows * QUESTION_BLOCKS,
     )
-    copies = questions.select(
-        F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))).alias(
-            "block"
+
+
+def large_groups(
+    questions: DataFrame, corpus: DataFrame, corpus_rows: int, question_rows: int
+) -> DataFrame:
+    """Groups to be split: (group, corpus_parts, question_parts).
+
+    There are at most rows / limit of them, however the rows are spread; they are
+    broadcast when that proves few.
+    """
+
+    def parts(df: DataFrame, limit: int, name: str) -> DataFrame:
+        counted = df.groupBy("group").agg(F.count("*").alias("n")).where(F.col("n") > limit)
+        return counted.select("group", F.ceil(F.col("n") / limit).alias(name))
+
+    large = materialise(
+        parts(corpus, corpus_rows, "corpus_parts").join(
+            parts(questions, question_rows, "question_parts"), "group", "full_outer"
         ),
-        "qid",
-        "embedding",
+        "large_groups",
     )
-    return join_blocks(copies, keyed, k, metric)
+    return F.broadcast(large) if large.count() <= BROADCAST_ROWS else large
 
 
-def join_blocks(questions: DataFrame, corpus: DataFrame, k: int, metric: str) -> DataFrame:
-    """``k`` best (qid, id, dist) per question and block.
+def join_groups(
+    questions: DataFrame,
+    corpus: DataFrame,
+    k: int,
+    metric: str,
+    corpus_rows: int = 100_000,
+    question_rows: int = 1_000_000,
+) -> DataFrame:
+    """``k`` best (qid, id, dist) per question within its groups, block by block.
 
-    ``questions`` is (block, qid, embedding), ``corpus`` is (block, id, embedding).
-    Within a block the corpus rows are sorted first: a task holds those of one block
-    and streams the questions past them, and no pair is ever written out.
+    ``questions`` is (group, qid, embedding), ``corpus`` is (group, id, embedding). A
+    group with more corpus rows or questions than one block takes is cut on that side,
+    and the other side is copied to each part, so any pair meets in one block. Within
+    a block the corpus rows are sorted first: a task holds those and streams the
+    questions past them, and no pair is written out but the ``k`` best.
     """
     qid_type, id_type = questions.schema["qid"].dataType, corpus.schema["id"].dataType
     schema = f"qid {qid_type.simpleString()}, id {id_type.simpleString()}, dist double"
     arrow_id = to_arrow_type(id_type)
     distances = Distances(metric)
-    tagged = corpus.select(
-        "block", F.lit(0).alias("side"), "id", F.lit(None).cast(qid_type).alias("qid"), "embedding"
-    ).unionByName(
-        questions.select(
-            "block", F.lit(1).alias("side"), F.lit(None).cast(id_type).alias("id"), "qid", "embedding"
+    large = large_groups(questions, corpus, corpus_rows, question_rows)
+    block = ["group", "corpus_part", "question_part"]
+
+    def placed(df: DataFrame, key: str, own: str, other: str, side: int) -> DataFrame:
+        """Rows in one part of their own side and in every part of the other."""
+        one = F.lit(1).cast("bigint")
+        cut, copies = F.coalesce(f"{own}_parts", one), F.coalesce(f"{other}_parts", one)
+        split = df.join(large, "group", "left").select(
+            "group",
+            F.pmod(F.xxhash64(key), cut).alias(f"{own}_part"),
+            F.explode(F.sequence(F.lit(0).cast("bigint"), copies - one)).alias(f"{other}_part"),
+            F.lit(side).alias("side"),
+            *[
+                F.col(c) if c == key else F.lit(None).cast(t).alias(c)
+                for c, t in (("id", id_type), ("qid", qid_type))
+            ],
+            "embedding",
         )
+        return split.select(*block, "side", "id", "qid", "embedding")
+
+    tagged = placed(corpus, "id", "corpus", "question", 0).unionByName(
+        placed(questions, "qid", "question", "corpus", 1)
     )
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, parts, x, ids = None, [], None, None
         for batch in batches:
-            block = batch.column(0).to_numpy()
-            side = batch.column(1).to_numpy()
-            edges = np.flatnonzero((np.diff(block) != 0) | (np.diff(side) != 0)) + 1
-            for start, stop in zip(np.r_[0, edges], np.r_[edges, len(block)]):
-                if start == stop:
-                    continue
+            if not batch.num_rows:
+                continue
+            keys = np.stack([batch.column(i).to_numpy() for i in range(4)])
+            edges = np.flatnonzero((np.diff(keys) != 0).any(axis=0)) + 1
+            for start, stop in zip(np.r_[0, edges], np.r_[edges, keys.shape[1]]):
                 rows = batch.slice(start, stop - start)
-                if block[start] != current:
-                    current, parts, x, ids = block[start], [], None, None
-                if side[start] == 0:
-                    parts.append(
-                        (as_matrix(rows.column(4)), rows.column(2).to_numpy(zero_copy_only=False))
-                    )
+                here, vectors = tuple(keys[:3, start]), as_matrix(rows.column(6))
+                if here != current:
+                    current, parts, x, ids = here, [], None, None
+                if keys[3, start] == 0:
+                    parts.append((vectors, rows.column(4).to_numpy(zero_copy_only=False)))
                     continue
                 if parts:
-                    x = np.concatenate([m for m, _ in parts])
-                    ids = np.concatenate([i for _, i in parts])
+                    x, ids = (np.concatenate(c) for c in zip(*parts))
                     parts = []
                 if x is not None:
-                    who, near, dist = block_nearest(as_matrix(rows.column(4)), x, ids, k, distances)
-                    yield _rows(rows.column(3).take(pa.array(who)), near, arrow_id, dist)
+                    who, near, dist = block_nearest(vectors, x, ids, k, distances)
+                    yield _rows(rows.column(5).take(pa.array(who)), near, arrow_id, dist)
 
-    return (
-        tagged.repartition("block").sortWithinPartitions("block", "side").mapInArrow(join, schema)
-    )
+    return tagged.repartition(*block).sortWithinPartitions(*block, "side").mapInArrow(join, schema)
 
 
 def retrieve(

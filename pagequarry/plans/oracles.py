@@ -74,7 +74,7 @@ typed AS (
   SELECT page_id, url, ix, lower(split_part(part, chr(2), 1)) AS tag, {_element_text()} AS text
   FROM pieces),
 elements AS (
-  SELECT page_id, url, row_number() OVER (PARTITION BY page_id ORDER BY ix) - 1 AS pos,
+  SELECT page_id, url, (row_number() OVER (PARTITION BY page_id ORDER BY ix) - 1)::INTEGER AS pos,
     CASE WHEN regexp_matches(tag, '^(title|h[1-6])$') THEN 'Title'
          WHEN tag = 'li' THEN 'ListItem' WHEN tag = 'p' THEN 'NarrativeText'
          ELSE 'Text' END AS type,

@@ -170,6 +170,7 @@ def stream_chunk_embed(spark, folder):
         embedder=EMBEDDER,
         chunks=page_text_chunks(F.col("content")),
         path=scratch_path(spark, "page_chunks"),
+        documents_per_arrow_batch=None,
     )
     return spark.read.table(chunks).select(
         "id", "url", "content", F.size("embedding").alias("dim")

@@ -28,7 +28,7 @@ def local_session(cpus: int | str = "*", partitions: int = 8, **conf: str) -> Sp
 
 
 @contextmanager
-def small_arrow_batches(spark: SparkSession, rows: int = 10):
+def small_arrow_batches(spark: SparkSession, rows: int | None = 10):
     """Hand documents to Python workers a few at a time, for the jobs run inside.
 
     Whole files can be large, so a parse job wants few rows per Arrow batch; every
@@ -36,21 +36,20 @@ def small_arrow_batches(spark: SparkSession, rows: int = 10):
     """
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     before = spark.conf.get(key)
-    spark.conf.set(key, str(rows))
+    spark.conf.set(key, str(rows or before))
     try:
         yield
     finally:
         spark.conf.set(key, before)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal rows out to all cores when the input has fewer files than cores.
+def spread(scan: DataFrame) -> DataFrame:
+    """Deal the rows of a table scan out to all cores when it has fewer parts than that.
 
-    A scan of many files is parallel already and is left alone, so no shuffle is
-    added at scale.
+    A scan with parts for every core is left alone, so no shuffle is added at scale.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
 
 
 def ship_package(spark: SparkSession) -> None:

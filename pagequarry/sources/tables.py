@@ -65,7 +65,7 @@ def table_complete(spark: SparkSession, name: str, expected: int) -> bool:
     """
     if not spark.catalog.tableExists(name):
         return False
-    return spark.table(name).limit(expected).count() >= expected
+    return spark.table(name).count() >= expected
 
 
 # -- vector collections ------------------------------------------------------------

@@ -71,10 +71,16 @@ def ingest_chunks(
     embedder: Embedder,
     chunks: Column | None = None,
     path: str | None = None,
-    documents_per_arrow_batch: int = 10,
+    documents_per_arrow_batch: int | None = 10,
+    files_per_batch: int = 1000,
 ) -> None:
-    """Stream the raw table ``source``: parse, chunk, embed and append to ``table``."""
-    rows = chunk_rows(spark.readStream.table(source), embedder, chunks)
+    """Stream the raw table ``source``: parse, chunk, embed and append to ``table``.
+
+    Python workers get few rows at a time, as ``chunks`` may hand them whole documents;
+    pass None where it does not.
+    """
+    raw = spark.readStream.option("maxFilesPerTrigger", files_per_batch).table(source)
+    rows = chunk_rows(raw, embedder, chunks)
     # The query takes its settings when it starts; the session has its own back after.
     with small_arrow_batches(spark, documents_per_arrow_batch):
         query = start_append(rows, table, checkpoint, path)
