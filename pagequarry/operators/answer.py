@@ -16,6 +16,7 @@ from pagequarry.operators.embed import Embedder, embed
 from pagequarry.operators.explode import explode_once
 from pagequarry.operators.nearest import retrieve
 from pagequarry.scratch import materialise
+from pagequarry.sources import tables
 
 # The answer limit in tokens and the prefixes of the source lists.
 ANSWER_TOKENS = 256
@@ -139,6 +140,21 @@ def answer_questions(
     )
 
 
+def retrieve_from(
+    collection: str, questions: DataFrame, embedder: Embedder, k: int = 4
+) -> DataFrame:
+    """Hits of (qid, question) rows in a collection, by the metric it was made for.
+
+    The embedder must be the one the collection was filled with.
+    """
+    spark = questions.sparkSession
+    metric = tables.check_embedder(spark, collection, embedder)["metric"]
+    chunks = spark.read.table(collection).select(
+        "id", F.col("uri").alias("url"), F.col("document").alias("content"), "embedding"
+    )
+    return retrieve(embed_questions(questions, embedder), chunks, k, metric)
+
+
 def source_summary(hits: DataFrame) -> DataFrame:
     """Per question: the distinct pages, names and contents of its hits, as text.
 

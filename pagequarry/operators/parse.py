@@ -8,7 +8,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagequarry.functions.text import decode_text, join_sections
+from pagequarry.functions.text import SPACES, clean_section, decode_text, join_sections
+from pagequarry.operators.concat import ordered_concat
 from pagequarry.operators.explode import explode_once
 
 ELEMENTS = (
@@ -36,21 +37,23 @@ ENTITIES = [
     ("&middot;", "·"),
     ("&amp;", "&"),
 ]
+EDGES = f"^[{SPACES}]+|[{SPACES}]+$"
 MARK, TAG_END = "\u0001", "\u0002"
 
 
 def html_elements(html: Column) -> Column:
-    """Array of (type, text) for the text blocks of a page, in order.
+    """Elements for the text blocks of a page, in order; a page is page number 1.
 
     Block tags become marks, the page is split at them, and each piece is typed by
-    the tag before it. All of it is built-in expressions: no Python worker.
+    the tag before it; text after a closing tag has no tag of its own. All of it is
+    built-in expressions: no Python worker.
     """
     marked = F.regexp_replace(
         F.regexp_replace(html, NOT_TEXT, ""), BLOCK_TAG, f"{MARK}$1$2{TAG_END}"
     )
 
     def element(piece: Column) -> Column:
-        tag = F.lower(F.substring_index(piece, TAG_END, 1))
+        tag = F.lower(F.regexp_extract(piece, f"^([^/{TAG_END}]+){TAG_END}", 1))
         text = F.substring_index(piece, TAG_END, -1)
         text = F.regexp_replace(F.regexp_replace(text, INLINE_BREAK, "\n"), ANY_TAG, "")
         for name, char in ENTITIES:
@@ -62,11 +65,14 @@ def html_elements(html: Column) -> Column:
             .otherwise("Text")
         )
         return F.struct(
-            kind.alias("type"), F.regexp_replace(text, "^[ \t\r\n]+|[ \t\r\n]+$", "").alias("text")
+            kind.alias("type"),
+            F.regexp_replace(text, EDGES, "").alias("text"),
+            F.lit(1).alias("page_number"),
+            F.create_map(F.lit("tag"), tag).alias("metadata"),
         )
 
     pieces = F.transform(F.split(marked, MARK), element)
-    return F.filter(pieces, lambda e: e["text"] != "")
+    return F.filter(pieces, lambda e: e["text"] != "").cast(ELEMENTS)
 
 
 def element_rows(df: DataFrame, elements: Column, *keys: str) -> DataFrame:
@@ -114,6 +120,24 @@ def parse_with(parser: Callable[..., list[dict]], content: Column, **options) ->
     return F.pandas_udf(parse, ELEMENTS).asNondeterministic()(content)
 
 
+def page_texts(elements: DataFrame, *keys: str) -> DataFrame:
+    """Text of each page of each document: its cleaned elements, one per line."""
+    return ordered_concat(
+        elements, [*keys, "page_number"], "pos", clean_section(F.col("text")), "\n", "text"
+    )
+
+
+def image_texts(images: DataFrame, documents: DataFrame, parser: Callable, **options) -> DataFrame:
+    """``images`` (pdf_page, page_image_loc) with the text the parser finds in each.
+
+    ``documents`` is a scan of the image folder, with ``path`` and ``content``.
+    """
+    elements = parse_with(parser, F.col("content"), **options)
+    text = F.array_join(F.transform(elements, lambda e: e["text"]), "\n")
+    found = documents.select(F.col("path").alias("page_image_loc"), text.alias("text_extract"))
+    return images.join(found, "page_image_loc")
+
+
 def slice_elements(elements: DataFrame, start: int, stop: int) -> DataFrame:
     """Elements at positions ``start`` up to but not including ``stop``."""
     return elements.where((F.col("pos") >= start) & (F.col("pos") < stop))

@@ -68,17 +68,18 @@ raw AS (
       regexp_replace(html, {escaped(NOT_TEXT)}, '', 'g'),
       {escaped(BLOCK_TAG)}, chr(1) || '\1\2' || chr(2), 'g'), chr(1)) AS parts
   FROM pages),
-pieces AS (
+marked AS (
   SELECT page_id, url, unnest(parts) AS part, generate_subscripts(parts, 1) AS ix FROM raw),
 typed AS (
-  SELECT page_id, url, ix, lower(split_part(part, chr(2), 1)) AS tag, {_element_text()} AS text
-  FROM pieces),
+  SELECT page_id, url, ix, {_element_text()} AS text,
+    lower(regexp_extract(part, '^([^/' || chr(2) || ']+)' || chr(2), 1)) AS tag
+  FROM marked),
 elements AS (
   SELECT page_id, url, (row_number() OVER (PARTITION BY page_id ORDER BY ix) - 1)::INTEGER AS pos,
     CASE WHEN regexp_matches(tag, '^(title|h[1-6])$') THEN 'Title'
          WHEN tag = 'li' THEN 'ListItem' WHEN tag = 'p' THEN 'NarrativeText'
          ELSE 'Text' END AS type,
-    text
+    text, 1 AS page_number, tag
   FROM typed WHERE text <> '')"""
 
 PAGE_TEXTS = f"""{ELEMENTS},
@@ -120,7 +121,8 @@ def hashed(source: str, text: str, *keys: str, prefix: str) -> str:
   FROM {prefix}_counts)"""
 
 
-HITS = f"""{PAGE_CHUNKS},
+def hits(distance: str) -> str:
+    return f"""{PAGE_CHUNKS},
 chunk_rows AS (
   SELECT {hash_id('page_id', 'chunk_ix')} AS id, url, content, page_id AS page FROM chunks),
 questions AS (SELECT item_id AS qid, text AS question FROM benchmark),
@@ -132,7 +134,7 @@ dots AS (
 q_norms AS (SELECT qid, sum(weight::DOUBLE * weight::DOUBLE) AS n FROM q_weights GROUP BY qid),
 c_norms AS (SELECT id, sum(weight::DOUBLE * weight::DOUBLE) AS n FROM c_weights GROUP BY id),
 distances AS (
-  SELECT q.qid, c.id, round(q.n + c.n - 2 * coalesce(d.dot, 0), 9) AS dist
+  SELECT q.qid, c.id, round({distance}, 9) AS dist
   FROM q_norms q CROSS JOIN c_norms c LEFT JOIN dots d ON d.qid = q.qid AND d.id = c.id),
 ranked AS (
   SELECT qid, id, row_number() OVER (PARTITION BY qid ORDER BY dist, id) AS rank FROM distances),
@@ -140,6 +142,10 @@ hits AS (
   SELECT qid, rank, id, url, content, page
   FROM ranked JOIN chunk_rows USING (id) WHERE rank <= 4)"""
 
+
+HITS = hits("q.n + c.n - 2 * coalesce(d.dot, 0)")
+COSINE_HITS = hits("1 - coalesce(d.dot, 0) / (sqrt(q.n) * sqrt(c.n))")
+
 SOURCES = """
 first_source AS (SELECT qid, url, min(rank) AS rank FROM hits GROUP BY qid, url),
 sources AS (
@@ -245,11 +251,12 @@ pieces AS (
 
 # Lines, then words; a text without line breaks is cut at spaces at once. No text has
 # a blank line, and no word 1000 characters.
-CHARACTER_PIECES = """
+def character_pieces(source: str) -> str:
+    return f"""
 split AS (
   SELECT doc_id, sep, string_split(text, sep) AS parts FROM (
     SELECT doc_id, text, CASE WHEN contains(text, chr(10)) THEN chr(10) ELSE ' ' END AS sep
-    FROM documents)),
+    FROM {source})),
 outer_pieces AS (
   SELECT doc_id, ix, CASE WHEN ix > 1 THEN sep || part ELSE part END AS piece,
     sep = chr(10) AND length(part) + (ix > 1)::INTEGER >= 1000 AS long
@@ -333,8 +340,12 @@ SELECT doc_id, text FROM old WHERE doc_id NOT IN (SELECT doc_id FROM latest)
 UNION ALL
 SELECT doc_id, text FROM latest WHERE r = 1 AND change <> 'delete'""",
     "index_build": f"""{PAGE_CHUNKS}
-SELECT {hash_id('page_id', 'chunk_ix')}::VARCHAR AS id, url AS uri, content AS document, 64 AS dim
+SELECT {hash_id('url', 'chunk_ix')}::VARCHAR AS id, url AS uri, content AS document, 64 AS dim
 FROM chunks""",
+    "collection_search": f"""{COSINE_HITS}
+SELECT qid, rank::INTEGER AS rank, url, content FROM hits WHERE rank <= 2""",
+    "stream_answers": f"""{ANSWERS}
+SELECT qid::VARCHAR AS request_id, question, result AS answer, sources FROM answers""",
     "inference_log": f"""{ANSWERS}
 SELECT qid::VARCHAR AS request_id, question, result AS answer, sources FROM answers""",
     "log_to_json": f"""{ANSWERS}
@@ -360,10 +371,10 @@ SELECT event_id, json_extract_string(props, '$.k')::INTEGER AS k,
   json_extract_string(props, '$.ready') AS ready, json_exists(props, '$.error_code') AS has_error
 FROM events""",
     "limit_questions": "SELECT text AS question FROM benchmark ORDER BY item_id LIMIT 50",
-    "parse_elements": f"WITH {ELEMENTS} SELECT page_id, pos, type, text FROM elements",
+    "parse_elements": f"WITH {ELEMENTS} SELECT * EXCLUDE url FROM elements",
     "element_slice": f"""
-WITH {ELEMENTS} SELECT page_id, pos, type, text FROM elements WHERE pos >= 7 AND pos < 12""",
-    "element_at": f"WITH {ELEMENTS} SELECT page_id, pos, type, text FROM elements WHERE pos = 8",
+WITH {ELEMENTS} SELECT * EXCLUDE url FROM elements WHERE pos >= 7 AND pos < 12""",
+    "element_at": f"WITH {ELEMENTS} SELECT * EXCLUDE url FROM elements WHERE pos = 8",
     "element_type_counts": f"WITH {ELEMENTS} SELECT type, count(*) AS n FROM elements GROUP BY type",
     "split_examples": """
 WITH replies AS (
@@ -376,9 +387,18 @@ FROM replies""",
 SELECT doc_id, {clean('text')} AS cleaned, {clean("replace(text, '.', ' .')", ' ')} AS spaced
 FROM documents""",
     "extract_doc_text": f"WITH {PAGE_TEXTS} SELECT page_id, text FROM texts",
-    "concat_elements": f"WITH {PAGE_TEXTS} SELECT page_id, text FROM texts",
+    "page_texts": f"WITH {PAGE_TEXTS} SELECT page_id, 1 AS page_number, text FROM texts",
+    "load_and_split": f"""
+SELECT doc_id AS page_id, 1 AS page_number, chunk_ix, content, n_units FROM ({
+        packed(
+            f"{PAGE_TEXTS}, page_source AS (SELECT page_id AS doc_id, text FROM texts), "
+            + character_pieces("page_source"),
+            1000,
+            200,
+        )
+    })""",
     "chunk_sentences": packed(SENTENCE_PIECES, 500, 50),
-    "chunk_recursive": packed(CHARACTER_PIECES, 1000, 200),
+    "chunk_recursive": packed(character_pieces("documents"), 1000, 200),
     "chunk_stride": f"{DOCUMENT_CHUNKS} SELECT doc_id, chunk_ix, content, n_units FROM chunks",
     "explode_chunks": f"{PAGE_CHUNKS} SELECT page_id, chunk_ix, content FROM chunks",
     "token_count": f"SELECT doc_id, len({words('text')})::INTEGER AS n_tokens FROM documents",

@@ -11,13 +11,12 @@ from pyspark.sql import functions as F
 from pagequarry.functions import text
 from pagequarry.functions.html import answer_html
 from pagequarry.operators import answer, changes, chat, chunk, ids, index, nearest, parse
-from pagequarry.operators.concat import ordered_concat
 from pagequarry.operators.embed import embed, hashed_words
 from pagequarry.operators.explode import explode_once
 from pagequarry.scratch import materialise, scratch_path
 from pagequarry.session import ship_package, spread
 from pagequarry.sources import files, tables
-from pagequarry.streaming import ingest
+from pagequarry.streaming import ingest, respond
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -56,7 +55,8 @@ def raw_pages(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def page_elements(spark: SparkSession, folder: str) -> DataFrame:
-    return parse.parse_html(raw_pages(spark, folder), "page_id")
+    elements = parse.parse_html(raw_pages(spark, folder), "page_id")
+    return elements.withColumn("tag", F.col("metadata")["tag"]).drop("metadata")
 
 
 def page_text_chunks(content: Column) -> Column:
@@ -240,12 +240,56 @@ def apply_changes(spark, folder):
     return changes.apply_changes(old, first.unionByName(second), "doc_id", "version")
 
 
+def page_collection(spark: SparkSession, folder: str) -> str:
+    name = fresh_name("collection")
+    ingest.index_documents(
+        raw_pages(spark, folder),
+        name,
+        EMBEDDER,
+        page_text_chunks(F.col("content")),
+        metric="cosine",
+        path=scratch_path(spark, "collection"),
+    )
+    return name
+
+
 @query
 def index_build(spark, folder):
-    rows = tables.collection_rows(chunk_table(spark, folder))
+    rows = tables.read_table(spark, page_collection(spark, folder))
     return rows.select("id", "uri", "document", F.size("embedding").alias("dim"))
 
 
+@query
+def collection_search(spark, folder):
+    name = page_collection(spark, folder)
+    hits = answer.retrieve_from(name, questions(spark, folder), EMBEDDER, k=2)
+    return hits.select("qid", "rank", "url", "content")
+
+
+@query
+def stream_answers(spark, folder):
+    asked, chunks, log = (fresh_name(n) for n in ("questions", "chunks", "answers"))
+    tables.create_table(
+        spark, asked, "qid BIGINT, question STRING", path=scratch_path(spark, "questions")
+    )
+    tables.append_by_name(questions(spark, folder), asked)
+    tables.create_chunk_table(spark, chunks, path=scratch_path(spark, "chunk_table"))
+    tables.append_by_name(chunk_table(spark, folder).drop("page"), chunks)
+    respond.answer_stream(
+        spark.readStream.table(asked),
+        chunks,
+        log,
+        scratch_path(spark, "checkpoint"),
+        EMBEDDER,
+        GENERATOR,
+        path=scratch_path(spark, "answers"),
+    )
+    logged = spark.read.table(log).where(F.col("ts").isNotNull())
+    return logged.select(
+        "request_id", "question", "answer", F.array_join("sources", ",").alias("sources")
+    )
+
+
 @query
 def inference_log(spark, folder):
     log = tables.inference_log(all_answers(spark, folder))
@@ -364,10 +408,16 @@ def extract_doc_text(spark, folder):
 
 
 @query
-def concat_elements(spark, folder):
-    cleaned = text.clean_section(F.col("text"))
-    elements = page_elements(spark, folder)
-    return ordered_concat(elements, ["page_id"], "pos", cleaned, "\n", "text")
+def page_texts(spark, folder):
+    return parse.page_texts(page_elements(spark, folder), "page_id")
+
+
+@query
+def load_and_split(spark, folder):
+    texts = parse.page_texts(page_elements(spark, folder), "page_id")
+    return chunk.explode_chunks(
+        texts, chunk.recursive_chunks(F.col("text")), "page_id", "page_number"
+    )
 
 
 # -- chunks and vectors ------------------------------------------------------------

@@ -7,6 +7,8 @@ folder on storage all executors share.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -17,7 +19,7 @@ from pagequarry.operators.ids import hash_id, with_dense_ids
 from pagequarry.operators.parse import html_text
 from pagequarry.session import small_arrow_batches
 from pagequarry.sources.files import stream_documents
-from pagequarry.sources.tables import append_by_name
+from pagequarry.sources.tables import add_to_collection, append_by_name, create_collection
 
 
 def start_append(stream: DataFrame, table: str, checkpoint: str, path: str | None = None) -> StreamingQuery:
@@ -63,6 +65,19 @@ def chunk_rows(raw: DataFrame, embedder: Embedder, chunks: Column | None = None)
     )
 
 
+def index_documents(
+    raw: DataFrame,
+    collection: str,
+    embedder: Embedder,
+    chunks: Column | None = None,
+    metric: str = "l2",
+    path: str | None = None,
+) -> None:
+    """Raw documents to a filled collection in one call: parse, chunk, embed, add."""
+    create_collection(raw.sparkSession, collection, embedder.dim, embedder.name, metric, path)
+    add_to_collection(chunk_rows(raw, embedder, chunks), collection, embedder)
+
+
 def ingest_chunks(
     spark: SparkSession,
     source: str,
@@ -96,23 +111,35 @@ def ingest_numbered(
     ``table`` has a ``batch_id`` column: a micro-batch that is replayed after a failure
     finds its own number there and is skipped. One writer at a time.
     """
-    spark = stream.sparkSession
 
     def append(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
-        session.catalog.refreshTable(table)
-        have = session.table(table)
-        if not have.where(F.col("batch_id") == batch_id).isEmpty():
-            return
+        have = batch.sparkSession.table(table)
         last = have.agg(F.coalesce(F.max("id"), F.lit(0)).alias("id")).first().id
         numbered = with_dense_ids(batch, keys).withColumn("id", F.col("id") + F.lit(last))
         append_by_name(numbered.withColumn("batch_id", F.lit(batch_id).cast("bigint")), table)
 
+    append_batches(stream, table, checkpoint, append)
+
+
+def append_batches(
+    stream: DataFrame, table: str, checkpoint: str, append: Callable[[DataFrame, int], None]
+) -> None:
+    """Give each micro-batch to ``append``, but none that ``table`` already holds.
+
+    ``append`` writes the batch's number to the table's ``batch_id``.
+    """
+
+    def once(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
+        session.catalog.refreshTable(table)
+        if session.table(table).where(F.col("batch_id") == batch_id).isEmpty():
+            append(batch, batch_id)
+
     query = (
-        stream.writeStream.foreachBatch(append)
+        stream.writeStream.foreachBatch(once)
         .trigger(availableNow=True)
         .option("checkpointLocation", checkpoint)
         .start()
     )
     query.awaitTermination()
-    spark.catalog.refreshTable(table)
+    stream.sparkSession.catalog.refreshTable(table)

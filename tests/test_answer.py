@@ -1,9 +1,11 @@
+import pytest
 from conftest import plan
 from pyspark.sql import functions as F
 
 from pagequarry.operators import answer
 from pagequarry.operators.answer import Generator
 from pagequarry.operators.embed import embed, hashed_words
+from pagequarry.sources import tables
 
 EMBEDDER = hashed_words(64)
 CHUNKS = [
@@ -121,3 +123,13 @@ def test_limit_questions(spark):
     df = questions(spark, *[f"q{i}" for i in range(60)]).repartition(5)
     got = [r.question for r in answer.limit_questions(df, "qid").collect()]
     assert got == [f"q{i}" for i in range(50)]
+
+
+def test_collection_is_searched_by_its_metric_and_embedder(spark, name):
+    tables.create_collection(spark, name, 64, EMBEDDER.name, "cosine")
+    tables.add_to_collection(chunks(spark), name, EMBEDDER)
+    asked = questions(spark, "red apples grow", "ships")
+    rows = answer.retrieve_from(name, asked, EMBEDDER, k=1).collect()
+    assert {(r.qid, r.id, r.url) for r in rows} == {(0, "1", "u1"), (1, "3", "u1")}
+    with pytest.raises(ValueError):
+        answer.retrieve_from(name, asked, hashed_words(32))

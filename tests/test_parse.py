@@ -27,6 +27,8 @@ def test_html_elements(spark):
         ("NarrativeText", "c"),
     ]
     assert [r.pos for r in rows] == list(range(8))
+    assert {r.page_number for r in rows} == {1}
+    assert [r.metadata["tag"] for r in rows] == ["title", "li", "li", "h2", "p", "p", "", "p"]
 
 
 def test_plain_text_is_one_element_and_empty_is_none(spark):
@@ -52,6 +54,21 @@ def test_parser_of_the_caller(spark):
     ]
 
 
+def test_page_texts_and_images(spark):
+    def parser(document):
+        text = document.decode()
+        return [{"text": t, "page_number": int(t[0])} for t in text.split("|")]
+
+    docs = pages(spark, "1a .|1b|2c")
+    elements = parse.element_rows(docs, parse.parse_with(parser, F.col("content")), "doc")
+    rows = parse.page_texts(elements, "doc").collect()
+    assert {(r.doc, r.page_number, r.text) for r in rows} == {(0, 1, "1a.\n1b"), (0, 2, "2c")}
+    images = spark.createDataFrame([(7, "/i/7.png")], "pdf_page int, page_image_loc string")
+    scanned = docs.select(F.lit("/i/7.png").alias("path"), "content")
+    row = parse.image_texts(images, scanned, parser).first()
+    assert (row.pdf_page, row.text_extract) == (7, "1a .\n1b\n2c")
+
+
 def test_slice_and_point(spark):
     rows = spark.range(1000).select(F.col("id").alias("pos"))
     assert {r.pos for r in parse.slice_elements(rows, 960, 978).collect()} == set(range(960, 978))

@@ -1,9 +1,12 @@
 import pytest
 from pyspark.sql import functions as F
 
+from pagequarry.operators.answer import extractive
 from pagequarry.operators.embed import hashed_words
 from pagequarry.sources import tables
+from pagequarry.sources.files import scan_documents
 from pagequarry.streaming import ingest
+from pagequarry.streaming.respond import answer_stream
 
 EMBEDDER = hashed_words(8)
 
@@ -76,3 +79,32 @@ def test_numbered_stream_survives_a_replay(spark, tmp_path, name):
     assert run("lost") == list(range(1, 51))
     spark.range(50, 80).select(F.col("id").alias("k")).write.insertInto(source)
     assert run("c") == list(range(1, 81))
+
+
+def test_questions_are_answered_once(spark, folder, tmp_path, name):
+    raw, chunks, asked = f"{name}_raw", f"{name}_chunks", f"{name}_asked"
+    ingest.ingest_files(spark, str(folder), raw, str(tmp_path / "c1"), glob="*.html")
+    ingest.ingest_chunks(spark, raw, chunks, str(tmp_path / "c2"), EMBEDDER)
+    tables.create_table(spark, asked, "qid BIGINT, question STRING")
+
+    def run(*questions):
+        rows = spark.createDataFrame(list(questions), "qid long, question string")
+        rows.write.insertInto(asked)
+        answer_stream(
+            spark.readStream.table(asked), chunks, name, str(tmp_path / "c3"), EMBEDDER, extractive()
+        )
+        return {r.request_id: (r.answer, r.sources) for r in rows_of(spark, name).collect()}
+
+    first = run((0, "Document 1 says a.It"), (1, " "))
+    assert first["0"][0].startswith("Document ") and first["0"][1]
+    assert first["1"] == ("ERROR the question should not be empty", [])
+    second = run((2, "more?"))
+    assert set(second) == {"0", "1", "2"} and rows_of(spark, name).count() == 3
+
+
+def test_index_in_one_call(spark, folder, name):
+    raw = scan_documents(spark, str(folder), "*.html")
+    ingest.index_documents(raw, name, EMBEDDER)
+    rows = spark.table(name).collect()
+    assert len(rows) == 3 and all(len(r.embedding) == 8 and r.uri.endswith(".html") for r in rows)
+    assert tables.collection_info(spark, name)["embedder"] == EMBEDDER.name
