@@ -12,17 +12,23 @@ def hash_id(*key: Column) -> Column:
     """60-bit id that depends on the key alone.
 
     The same in every run, partitioning and stream replay. Two of n keys share an
-    id with odds near n*n / 2**61, so use ``with_dense_ids`` beyond some 10**8 rows.
+    id with odds near n*n / 2**61: beyond some 10**8 rows use ``wide_id``, which is
+    as stable, or ``with_dense_ids``.
     """
-    digest = F.md5(F.concat_ws("|", *[k.cast("string") for k in key]))
-    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint")
+    return F.conv(F.substring(wide_id(*key), 1, 15), 16, 10).cast("bigint")
+
+
+def wide_id(*key: Column) -> Column:
+    """128-bit id as text: no two keys of any table will share one."""
+    return F.md5(F.concat_ws("|", *[k.cast("string") for k in key]))
 
 
 def with_dense_ids(df: DataFrame, keys: list[str], out: str = "id") -> DataFrame:
     """Number the rows 1, 2, 3, ... in the order of ``keys`` (unique together).
 
     One range shuffle sorts the rows; each partition numbers its own and the sizes
-    of the partitions before it are added. No window runs over the whole data.
+    of the partitions before it are added. No window runs over the whole data. The
+    range shuffle samples ``df`` before it reads it, so store what is costly to compute.
     """
     local = F.monotonically_increasing_id()
     ranked = materialise(

@@ -36,6 +36,9 @@ from pagequarry.scratch import materialise
 MAX_CELLS = 65_536
 FILTERED_CELLS = 1_000
 
+# Most bytes of cell centres sent to every task.
+CENTRE_BYTES = 128 << 20
+
 
 @dataclass(frozen=True)
 class CellIndex:
@@ -90,6 +93,9 @@ def build_cells(
     if not 0 < cells <= MAX_CELLS:
         raise ValueError(f"between 1 and {MAX_CELLS} cells")
     corpus = corpus.select("id", "embedding").where(F.col("embedding").isNotNull())
+    first = corpus.select(F.size("embedding").alias("n")).first()
+    if first is None or cells * first.n * 8 > CENTRE_BYTES:
+        raise ValueError(f"a corpus with rows, and centres of at most {CENTRE_BYTES} bytes")
     total = corpus.count()
     sample = corpus if total <= training_rows else corpus.sample(training_rows / total, seed)
     means = KMeans(k=cells, seed=seed, maxIter=iterations, featuresCol="_u")

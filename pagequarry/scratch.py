@@ -25,7 +25,9 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{scratch_root(spark)}/pagequarry/{uuid.uuid4().hex}/{label}"
+    """A new folder, below one per application that can be removed when it has ended."""
+    application = spark.sparkContext.applicationId
+    return f"{scratch_root(spark)}/pagequarry/{application}/{uuid.uuid4().hex}/{label}"
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:

@@ -48,17 +48,23 @@ def ingest_files(
     start_append(stream, table, checkpoint, path).awaitTermination()
 
 
-def chunk_rows(raw: DataFrame, embedder: Embedder, chunks: Column | None = None) -> DataFrame:
+def chunk_rows(
+    raw: DataFrame,
+    embedder: Embedder,
+    chunks: Column | None = None,
+    make_id: Callable[[Column, Column], Column] = hash_id,
+) -> DataFrame:
     """(id, url, content, embedding) rows of raw documents, batch or stream alike.
 
     ``chunks`` cuts a document; by default its text is taken from HTML and cut along
-    sentences. Ids are hashes of document and position, so a replay gives the same.
+    sentences. Ids are hashes of document and position, so a replay gives the same;
+    pass ``wide_id`` for tables of more than some 10**8 chunks.
     """
     if chunks is None:
         chunks = sentence_chunks(html_text(F.col("content")))
     pieces = explode_chunks(raw.withColumnRenamed("path", "url"), chunks, "url")
     return pieces.select(
-        hash_id(F.col("url"), F.col("chunk_ix")).alias("id"),
+        make_id(F.col("url"), F.col("chunk_ix")).alias("id"),
         "url",
         "content",
         embed(F.col("content"), embedder).alias("embedding"),
@@ -72,10 +78,11 @@ def index_documents(
     chunks: Column | None = None,
     metric: str = "l2",
     path: str | None = None,
+    make_id: Callable[[Column, Column], Column] = hash_id,
 ) -> None:
     """Raw documents to a filled collection in one call: parse, chunk, embed, add."""
     create_collection(raw.sparkSession, collection, embedder.dim, embedder.name, metric, path)
-    add_to_collection(chunk_rows(raw, embedder, chunks), collection, embedder)
+    add_to_collection(chunk_rows(raw, embedder, chunks, make_id), collection, embedder)
 
 
 def ingest_chunks(

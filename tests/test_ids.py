@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from pagequarry.operators.ids import hash_id, request_batches, with_dense_ids
+from pagequarry.operators.ids import hash_id, request_batches, wide_id, with_dense_ids
 
 
 def rows(spark, n):
@@ -23,6 +23,7 @@ def test_hash_ids_do_not_depend_on_the_partitions(spark):
     b = rows(spark, 1000).repartition(6).withColumn("id", key)
     assert {tuple(r) for r in a.collect()} == {tuple(r) for r in b.collect()}
     assert a.select("id").distinct().count() == 1000
+    assert a.select(wide_id(F.col("url"), F.col("ix")).alias("w")).where("length(w) = 32").distinct().count() == 1000
     assert a.schema["id"].dataType.simpleString() == "bigint"
 
 
