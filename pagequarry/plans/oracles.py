@@ -121,10 +121,10 @@ def hashed(source: str, text: str, *keys: str, prefix: str) -> str:
   FROM {prefix}_counts)"""
 
 
-def hits(distance: str) -> str:
+def hits(distance: str, id: str) -> str:
     return f"""{PAGE_CHUNKS},
 chunk_rows AS (
-  SELECT {hash_id('page_id', 'chunk_ix')} AS id, url, content, page_id AS page FROM chunks),
+  SELECT {id} AS id, url, content, page_id AS page FROM chunks),
 questions AS (SELECT item_id AS qid, text AS question FROM benchmark),
 {hashed('chunk_rows', 'content', 'id', prefix='c')},
 {hashed('questions', 'question', 'qid', prefix='q')},
@@ -143,8 +143,10 @@ hits AS (
   FROM ranked JOIN chunk_rows USING (id) WHERE rank <= 4)"""
 
 
-HITS = hits("q.n + c.n - 2 * coalesce(d.dot, 0)")
-COSINE_HITS = hits("1 - coalesce(d.dot, 0) / (sqrt(q.n) * sqrt(c.n))")
+HITS = hits("q.n + c.n - 2 * coalesce(d.dot, 0)", hash_id("page_id", "chunk_ix"))
+COSINE_HITS = hits(
+    "1 - coalesce(d.dot, 0) / (sqrt(q.n) * sqrt(c.n))", f"{hash_id('url', 'chunk_ix')}::VARCHAR"
+)
 
 SOURCES = """
 first_source AS (SELECT qid, url, min(rank) AS rank FROM hits GROUP BY qid, url),
@@ -192,23 +194,23 @@ def packed(pieces: str, size: int, overlap: int) -> str:
     return f"""
 WITH RECURSIVE {pieces},
 numbered AS (
-  SELECT doc_id, run, piece, n, row_number() OVER w AS i, sum(n) OVER w AS upto
+  SELECT doc_id, run, piece, n, row_number() OVER w AS i, sum(n) OVER w AS upto,
+    lead(n) OVER (PARTITION BY doc_id, run ORDER BY o) AS n_next
   FROM pieces WINDOW w AS (PARTITION BY doc_id, run ORDER BY o
                            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
-ends AS (
-  SELECT a.doc_id, a.run, a.i AS s, max(b.i) AS e
-  FROM numbered a JOIN numbered b
-    ON b.doc_id = a.doc_id AND b.run = a.run AND b.i >= a.i AND b.upto - a.upto + a.n <= {size}
-  GROUP BY ALL),
-follows AS (
-  SELECT z.doc_id, z.run, z.i AS e,
-    coalesce(min(a.i) FILTER (WHERE z.upto - a.upto + a.n <= {overlap}
-                              AND z.upto - a.upto + a.n + y.n <= {size}), z.i + 1) AS s
-  FROM numbered z
-  JOIN numbered y ON y.doc_id = z.doc_id AND y.run = z.run AND y.i = z.i + 1
-  JOIN numbered a ON a.doc_id = z.doc_id AND a.run = z.run AND a.i <= z.i
-    AND z.upto - a.upto <= {overlap}
-  GROUP BY z.doc_id, z.run, z.i),
+reach AS (
+  SELECT *, upto * 1000000 + i AS last_key, (upto - n) * 1000000 + i AS first_key,
+    (upto - n + {size}) * 1000000 + 999999 AS end_key,
+    greatest(upto - {overlap}, upto + n_next - {size}) * 1000000 AS next_key
+  FROM numbered),
+ends AS MATERIALIZED (
+  SELECT a.doc_id, a.run, a.i AS s, b.i AS e
+  FROM reach a ASOF JOIN reach b
+    ON b.doc_id = a.doc_id AND b.run = a.run AND a.end_key >= b.last_key),
+follows AS MATERIALIZED (
+  SELECT z.doc_id, z.run, z.i AS e, a.i AS s
+  FROM (FROM reach WHERE n_next IS NOT NULL) z ASOF JOIN reach a
+    ON a.doc_id = z.doc_id AND a.run = z.run AND z.next_key <= a.first_key),
 spans AS (
   SELECT doc_id, run, s, e FROM ends WHERE s = 1
   UNION ALL
