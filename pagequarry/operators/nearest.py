@@ -11,7 +11,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
@@ -247,17 +247,17 @@ def _scanned(
 def _blocked(
     questions: DataFrame, corpus: DataFrame, k: int, metric: str, block_bytes: int
 ) -> DataFrame:
-    """All questions against all corpus rows, as one group that is split on both sides."""
+    """All questions against all corpus rows, both cut into parts of bounded size."""
     first = corpus.select(F.size("embedding").alias("n")).first()
     rows = max(1, block_bytes // (8 * max(1, first.n if first else 1)))
-    one = F.lit(0).cast("bigint").alias("group")
-    return join_groups(
-        questions.select(one, "*"),
-        corpus.select(one, "*"),
+    corpus_parts = F.lit(-(-corpus.count() // rows) or 1)
+    question_parts = F.lit(-(-questions.count() // (rows * QUESTION_BLOCKS)) or 1)
+    one = F.lit(0).alias("group")
+    return join_blocks(
+        _placed(corpus.select(one, "*"), "corpus", corpus_parts, question_parts),
+        _placed(questions.select(one, "*"), "question", question_parts, corpus_parts),
         k,
         metric,
-        corpus_rows=rows,
-        question_rows=rows * QUESTION_BLOCKS,
     )
 
 
@@ -295,36 +295,50 @@ def join_groups(
 
     ``questions`` is (group, qid, embedding), ``corpus`` is (group, id, embedding). A
     group with more corpus rows or questions than one block takes is cut on that side,
-    and the other side is copied to each part, so any pair meets in one block. Within
-    a block the corpus rows are sorted first: a task holds those and streams the
-    questions past them, and no pair is written out but the ``k`` best.
+    and the other side is copied to each part, so any pair meets in one block.
+    """
+    large = large_groups(questions, corpus, corpus_rows, question_rows)
+    one = F.lit(1).cast("bigint")
+    corpus_parts = F.coalesce("corpus_parts", one)
+    question_parts = F.coalesce("question_parts", one)
+    return join_blocks(
+        _placed(corpus.join(large, "group", "left"), "corpus", corpus_parts, question_parts),
+        _placed(questions.join(large, "group", "left"), "question", question_parts, corpus_parts),
+        k,
+        metric,
+    )
+
+
+BLOCK = ["group", "corpus_part", "question_part"]
+
+
+def _placed(df: DataFrame, side: str, parts: Column, copies: Column) -> DataFrame:
+    """Rows in one part of their own side and in every part of the other."""
+    other = "question" if side == "corpus" else "corpus"
+    key = "id" if side == "corpus" else "qid"
+    zero, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
+    return df.select(
+        F.col("group").cast("bigint").alias("group"),
+        F.pmod(F.xxhash64(key), parts.cast("bigint")).alias(f"{side}_part"),
+        F.explode(F.sequence(zero, copies.cast("bigint") - one)).alias(f"{other}_part"),
+        key,
+        "embedding",
+    )
+
+
+def join_blocks(corpus: DataFrame, questions: DataFrame, k: int, metric: str) -> DataFrame:
+    """``k`` best (qid, id, dist) per question and block.
+
+    Within a block the corpus rows are sorted first: a task holds those and streams
+    the questions past them, and no pair is written out but the ``k`` best.
     """
     qid_type, id_type = questions.schema["qid"].dataType, corpus.schema["id"].dataType
     schema = f"qid {qid_type.simpleString()}, id {id_type.simpleString()}, dist double"
     arrow_id = to_arrow_type(id_type)
     distances = Distances(metric)
-    large = large_groups(questions, corpus, corpus_rows, question_rows)
-    block = ["group", "corpus_part", "question_part"]
-
-    def placed(df: DataFrame, key: str, own: str, other: str, side: int) -> DataFrame:
-        """Rows in one part of their own side and in every part of the other."""
-        one = F.lit(1).cast("bigint")
-        cut, copies = F.coalesce(f"{own}_parts", one), F.coalesce(f"{other}_parts", one)
-        split = df.join(large, "group", "left").select(
-            "group",
-            F.pmod(F.xxhash64(key), cut).alias(f"{own}_part"),
-            F.explode(F.sequence(F.lit(0).cast("bigint"), copies - one)).alias(f"{other}_part"),
-            F.lit(side).alias("side"),
-            *[
-                F.col(c) if c == key else F.lit(None).cast(t).alias(c)
-                for c, t in (("id", id_type), ("qid", qid_type))
-            ],
-            "embedding",
-        )
-        return split.select(*block, "side", "id", "qid", "embedding")
-
-    tagged = placed(corpus, "id", "corpus", "question", 0).unionByName(
-        placed(questions, "qid", "question", "corpus", 1)
+    no_id, no_qid = F.lit(None).cast(id_type).alias("id"), F.lit(None).cast(qid_type).alias("qid")
+    tagged = corpus.select(*BLOCK, F.lit(0).alias("side"), "id", no_qid, "embedding").unionByName(
+        questions.select(*BLOCK, F.lit(1).alias("side"), no_id, "qid", "embedding")
     )
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -349,7 +363,7 @@ def join_groups(
                     who, near, dist = block_nearest(vectors, x, ids, k, distances)
                     yield _rows(rows.column(5).take(pa.array(who)), near, arrow_id, dist)
 
-    return tagged.repartition(*block).sortWithinPartitions(*block, "side").mapInArrow(join, schema)
+    return tagged.repartition(*BLOCK).sortWithinPartitions(*BLOCK, "side").mapInArrow(join, schema)
 
 
 def retrieve(

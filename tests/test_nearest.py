@@ -94,9 +94,10 @@ def test_zero_vectors_have_cosine_distance_one(spark):
 
 def test_top_k_is_limited_before_the_shuffle(spark):
     q, x = frame(spark, random_vectors(1, 3), "qid"), frame(spark, random_vectors(2, 9), "id")
-    text = plan(nearest.nearest(q, x), "simple")
-    assert text.count("WindowGroupLimit") == 2
-    assert "Cartesian" not in text and "NestedLoop" not in text
+    for limits in ({}, BLOCKED):
+        text = plan(nearest.nearest(q, x, **limits), "simple")
+        assert text.count("WindowGroupLimit") == 2
+        assert "Cartesian" not in text and "NestedLoop" not in text
 
 
 def test_retrieve_looks_up_the_winners(spark):
