@@ -80,13 +80,13 @@ def build_cells(
     cells: int,
     metric: str = "l2",
     seed: int = 17,
-    training_rows: int = 1_000_000,
+    training_rows: int | None = None,
     iterations: int = 10,
 ) -> CellIndex:
     """Cut ``corpus`` (id, embedding) into cells.
 
-    The centres may be learned from a sample: every row is then put in the cell of its
-    nearest centre, so the index holds all rows whatever was sampled.
+    The centres are learned from a sample (256 rows per cell by default); every row is
+    then put in the cell of its nearest centre, so the index holds all rows.
     """
     if metric not in ("l2", "cosine"):
         raise ValueError("cells need a metric with a triangle inequality: l2 or cosine")
@@ -97,6 +97,7 @@ def build_cells(
     if first is None or cells * first.n * 8 > CENTRE_BYTES:
         raise ValueError(f"a corpus with rows, and centres of at most {CENTRE_BYTES} bytes")
     total = corpus.count()
+    training_rows = training_rows or max(10_000, 256 * cells)
     sample = corpus if total <= training_rows else corpus.sample(training_rows / total, seed)
     means = KMeans(k=cells, seed=seed, maxIter=iterations, featuresCol="_u")
     centres = np.array(means.fit(_as_vectors(sample, metric).select("_u")).clusterCenters())

@@ -29,6 +29,9 @@ DISTANCE_CELLS = 1 << 21
 # Most questions streamed past one block of corpus rows, in sizes of such a block.
 QUESTION_BLOCKS = 8
 
+# Fewest rows a block is cut down to for the sake of more tasks.
+SMALL_BLOCK_ROWS = 10_000
+
 # Most rows of a small table broadcast to a join: top-k rows, groups to be split.
 BROADCAST_ROWS = 200_000
 
@@ -55,6 +58,22 @@ def smallest(who: np.ndarray, ids: np.ndarray, dist: np.ndarray, k: int) -> np.n
     return order[rank < k]
 
 
+def without_surplus_copies(
+    x: np.ndarray, ids: np.ndarray, k: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Of equal vectors keep the ``k`` smallest ids: no other can be among the ``k``
+    nearest of any question, and copies by the thousand are ties to be broken."""
+    if not x.size:
+        return x, ids
+    odd = np.arange(1, 2 * x.shape[1], 2, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    code = (np.ascontiguousarray(x).view(np.uint64) * odd).sum(axis=1)
+    _, first, group = np.unique(code, return_index=True, return_inverse=True)
+    if len(first) == len(x) or not (x == x[first[group]]).all():
+        return x, ids  # no copies, or two vectors with one code: leave all as they are
+    keep = smallest(group, ids, np.zeros(len(x)), k)
+    return x[keep], ids[keep]
+
+
 @dataclass(frozen=True)
 class Distances:
     """Distances of question rows ``q`` to corpus rows ``x``."""
@@ -99,6 +118,7 @@ def block_nearest(
     distances of those alone are computed pair by pair. Both work in slices, so
     memory stays bounded whatever the ties.
     """
+    x, ids = without_surplus_copies(x, ids, k)
     step = max(1, DISTANCE_CELLS // max(1, len(q)))
     pair_step = max(1, DISTANCE_CELLS // q.shape[1])
     best = (np.empty(0, np.int64), ids[:0], np.empty(0))
@@ -250,8 +270,12 @@ def _blocked(
     """All questions against all corpus rows, both cut into parts of bounded size."""
     first = corpus.select(F.size("embedding").alias("n")).first()
     rows = max(1, block_bytes // (8 * max(1, first.n if first else 1)))
-    corpus_parts = F.lit(-(-corpus.count() // rows) or 1)
-    question_parts = F.lit(-(-questions.count() // (rows * QUESTION_BLOCKS)) or 1)
+    total = corpus.count()
+    # Enough parts to bound them, and to keep all cores busy on a small corpus.
+    cores = corpus.sparkSession.sparkContext.defaultParallelism
+    bounded, busy = -(-total // rows), min(cores, total // SMALL_BLOCK_ROWS)
+    corpus_parts = F.lit(max(1, bounded, busy))
+    question_parts = F.lit(max(1, -(-questions.count() // (rows * QUESTION_BLOCKS))))
     one = F.lit(0).alias("group")
     return join_blocks(
         _placed(corpus.select(one, "*"), "corpus", corpus_parts, question_parts),
@@ -363,7 +387,17 @@ def join_blocks(corpus: DataFrame, questions: DataFrame, k: int, metric: str) ->
                     who, near, dist = block_nearest(vectors, x, ids, k, distances)
                     yield _rows(rows.column(5).take(pa.array(who)), near, arrow_id, dist)
 
-    return tagged.repartition(*BLOCK).sortWithinPartitions(*BLOCK, "side").mapInArrow(join, schema)
+    # A fixed number of partitions: adaptive execution would merge blocks that are small
+    # in bytes but not in work.
+    spark = corpus.sparkSession
+    tasks = max(
+        int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism
+    )
+    return (
+        tagged.repartition(tasks, *BLOCK)
+        .sortWithinPartitions(*BLOCK, "side")
+        .mapInArrow(join, schema)
+    )
 
 
 def retrieve(

@@ -56,6 +56,28 @@ def test_many_questions_are_split_too(spark):
     assert ranks(nearest.top_k(joined, 3)) == brute_force(q, x, 3, "l2")
 
 
+def test_surplus_copies_are_left_out_only_where_they_cannot_matter():
+    x = np.array([[1.0, 2.0], [0.0, 0.0], [1.0, 2.0], [1.0, 2.0], [3.0, 4.0]])
+    kept, ids = nearest.without_surplus_copies(x, np.array([9, 8, 3, 5, 1]), 2)
+    assert sorted(zip(map(tuple, kept), ids)) == [
+        ((0.0, 0.0), 8), ((1.0, 2.0), 3), ((1.0, 2.0), 5), ((3.0, 4.0), 1),
+    ]
+    same = nearest.without_surplus_copies(x[:2], np.array([1, 2]), 1)
+    assert (same[0] == x[:2]).all()
+
+
+def test_blocks_of_a_hot_group_stay_small(spark):
+    groups = F.when(F.col("id") < 4000, 0).otherwise(F.col("id")).cast("bigint").alias("group")
+    vector = F.array(F.lit(1.0)).cast("array<float>").alias("embedding")
+    corpus = spark.range(10_000).select(groups, "id", vector)
+    questions = corpus.withColumnRenamed("id", "qid")
+    large = nearest.large_groups(questions, corpus, 500, 1000).collect()
+    assert [tuple(r) for r in large] == [(0, 8, 4)]
+    placed = nearest._placed(corpus.where("group = 0"), "corpus", F.lit(8), F.lit(4))
+    sizes = [r.n for r in placed.groupBy(*nearest.BLOCK).agg(F.count("*").alias("n")).collect()]
+    assert len(sizes) == 32 and max(sizes) < 700
+
+
 def test_text_ids(spark):
     q, x = random_vectors(5, 4), random_vectors(6, 50, hot=0.5)
     for limits in ({}, BLOCKED):
