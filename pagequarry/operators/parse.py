@@ -85,12 +85,16 @@ def parse_html(df: DataFrame, *keys: str, content: str = "content") -> DataFrame
     return element_rows(df, html_elements(decode_text(F.col(content))), *keys)
 
 
-def html_text(content: Column, newline: str = "") -> Column:
-    """Text of a binary HTML document: its cleaned elements, one per line."""
-    elements = html_elements(decode_text(content))
+def elements_text(elements: Column, newline: str = "") -> Column:
+    """Text of a document: its cleaned elements, one per line."""
     return join_sections(F.transform(elements, lambda e: e["text"]), newline)
 
 
+def html_text(content: Column, newline: str = "") -> Column:
+    """Text of a binary HTML document."""
+    return elements_text(html_elements(decode_text(content)), newline)
+
+
 def parse_with(parser: Callable[..., list[dict]], content: Column, **options) -> Column:
     """Elements from a caller's parser, called as ``parser(bytes, **options)``.
 

@@ -2,7 +2,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from pagequarry.operators.answer import extractive
+from pagequarry.operators.chunk import sentence_chunks
 from pagequarry.operators.embed import hashed_words
+from pagequarry.operators.ids import wide_id
+from pagequarry.operators.parse import elements_text, parse_with
 from pagequarry.sources import tables
 from pagequarry.sources.files import scan_documents
 from pagequarry.streaming import ingest
@@ -63,6 +66,33 @@ def test_two_stages_equal_the_batch_result(spark, folder, tmp_path, name):
     assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000"
 
 
+def test_stream_with_a_parser_and_a_tokenizer_of_the_caller(spark, tmp_path, name):
+    docs = tmp_path / "pdfs"
+    docs.mkdir()
+    for i in range(25):
+        (docs / f"{i}.pdf").write_bytes(b"\x00".join(b"part %d of %d ." % (j, i) for j in range(3)))
+
+    def parser(document, strategy):
+        assert strategy == "fast"
+        return [{"text": t.decode()} for t in document.split(b"\x00")]
+
+    def tokenizer():
+        return lambda text: len(text.split())
+
+    def columns():
+        elements = parse_with(parser, F.col("content"), strategy="fast")
+        return sentence_chunks(elements_text(elements), 5, 1, tokenizer)
+
+    raw, chunks = f"{name}_raw", f"{name}_chunks"
+    ingest.ingest_files(spark, str(docs), raw, str(tmp_path / "c1"), glob="*.pdf")
+    ingest.ingest_chunks(spark, raw, chunks, str(tmp_path / "c2"), EMBEDDER, columns())
+    rows = rows_of(spark, chunks).collect()
+    batch = ingest.chunk_rows(rows_of(spark, raw), EMBEDDER, columns(), make_id=wide_id)
+    assert len(rows) == batch.count() == 75
+    assert {r.content for r in rows} == {f"part {j} of {i}." for i in range(25) for j in range(3)}
+    assert {len(r.id) for r in batch.collect()} == {32}
+
+
 def test_numbered_stream_survives_a_replay(spark, tmp_path, name):
     source, target = f"{name}_s", f"{name}_t"
     spark.range(50).select(F.col("id").alias("k")).write.saveAsTable(source)
