@@ -99,7 +99,10 @@ def build_cells(
     total = corpus.count()
     training_rows = training_rows or max(10_000, 256 * cells)
     sample = corpus if total <= training_rows else corpus.sample(training_rows / total, seed)
-    means = KMeans(k=cells, seed=seed, maxIter=iterations, featuresCol="_u")
+    # Random first centres: the default way gathers several times ``cells`` points on the driver.
+    means = KMeans(
+        k=cells, seed=seed, maxIter=iterations, initMode="random", featuresCol="_u"
+    )
     centres = np.array(means.fit(_as_vectors(sample, metric).select("_u")).clusterCenters())
     sent = corpus.sparkSession.sparkContext.broadcast(centres)
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,9 +20,13 @@ def scratch_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    root = tempfile.mkdtemp(prefix="pagequarry-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    return _local_root(spark.sparkContext.applicationId)
+
+
+@lru_cache
+def _local_root(application: str) -> str:
+    """One temporary folder per local application."""
+    return tempfile.mkdtemp(prefix=f"pagequarry-{application}-")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
