@@ -32,9 +32,8 @@ from pagequarry.operators.nearest import (
 )
 from pagequarry.scratch import materialise
 
-# Most cells of an index, and most cells named in the filter of a scan.
+# Most cells of an index.
 MAX_CELLS = 65_536
-FILTERED_CELLS = 1_000
 
 # Most bytes of cell centres sent to every task.
 CENTRE_BYTES = 128 << 20
@@ -92,11 +91,11 @@ def build_cells(
         raise ValueError("cells need a metric with a triangle inequality: l2 or cosine")
     if not 0 < cells <= MAX_CELLS:
         raise ValueError(f"between 1 and {MAX_CELLS} cells")
+    total = corpus.count()
     corpus = corpus.select("id", "embedding").where(F.col("embedding").isNotNull())
     first = corpus.select(F.size("embedding").alias("n")).first()
     if first is None or cells * first.n * 8 > CENTRE_BYTES:
         raise ValueError(f"a corpus with rows, and centres of at most {CENTRE_BYTES} bytes")
-    total = corpus.count()
     training_rows = training_rows or max(10_000, 256 * cells)
     sample = corpus if total <= training_rows else corpus.sample(training_rows / total, seed)
     # Random first centres: the default way gathers several times ``cells`` points on the driver.
@@ -122,8 +121,9 @@ def build_cells(
     assigned = corpus.mapInArrow(
         assign, f"id {id_type}, embedding array<float>, cell long, gap double"
     )
-    # Range-sorted, so that a search for a few cells skips most of the files.
-    rows = materialise(assigned.repartitionByRange("cell", "id"), "cells")
+    # A folder per cell, so that a search reads the opened cells only. The range shuffle
+    # gives each task few cells to write, and a large cell to many tasks.
+    rows = materialise(assigned.repartitionByRange("cell", "id"), "cells", partition_by="cell")
     radius = np.full(len(centres), -1.0)
     for row in rows.groupBy("cell").agg(F.max("gap").alias("r")).collect():
         radius[row.cell] = row.r
@@ -177,13 +177,9 @@ def _open_cells(index: CellIndex, questions: DataFrame, probes: int, further: bo
 def _in_open_cells(index: CellIndex, opened: DataFrame, k: int) -> DataFrame:
     """``opened`` must be stored: it is read to learn the cells, to count, and to join."""
     rows = index.rows.select(F.col("cell").alias("group"), "id", "embedding")
-    wanted = opened.select("group").distinct()  # at most MAX_CELLS rows
-    few = [r.group for r in wanted.limit(FILTERED_CELLS + 1).collect()]
-    if len(few) <= FILTERED_CELLS:
-        # A literal list reaches the scan, which skips the files of other cells.
-        rows = rows.where(F.col("group").isin(few))
-    else:
-        rows = rows.join(F.broadcast(wanted), "group", "left_semi")
+    # At most MAX_CELLS numbers, which pick the folders to read.
+    wanted = [r.group for r in opened.select("group").distinct().collect()]
+    rows = rows.where(F.col("group").isin(wanted))
     return join_groups(opened, rows, k, index.metric)
 
 

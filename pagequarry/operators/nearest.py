@@ -218,11 +218,14 @@ def _search(
     """The neighbours, and the most rows there can be where that is known."""
     if metric not in METRICS:
         raise ValueError(f"metric must be one of {METRICS}")
+    given = questions, corpus
     questions = _prepared(questions, "qid")
     corpus = _prepared(corpus, "id")
     block = collect_questions(questions, question_bytes)
     if block is None:
-        return top_k(_blocked(questions, corpus, k, metric, block_bytes), k), None
+        # Counted without the vectors: null ones make the blocks smaller, not larger.
+        counts = [df.count() for df in given]
+        return top_k(_blocked(questions, corpus, k, metric, block_bytes, *counts), k), None
     return top_k(_scanned(block, questions, corpus, k, metric), k), k * len(block.vectors)
 
 
@@ -265,17 +268,22 @@ def _scanned(
 
 
 def _blocked(
-    questions: DataFrame, corpus: DataFrame, k: int, metric: str, block_bytes: int
+    questions: DataFrame,
+    corpus: DataFrame,
+    k: int,
+    metric: str,
+    block_bytes: int,
+    n_questions: int,
+    n_corpus: int,
 ) -> DataFrame:
     """All questions against all corpus rows, both cut into parts of bounded size."""
     first = corpus.select(F.size("embedding").alias("n")).first()
     rows = max(1, block_bytes // (8 * max(1, first.n if first else 1)))
-    total = corpus.count()
     # Enough parts to bound them, and to keep all cores busy on a small corpus.
     cores = corpus.sparkSession.sparkContext.defaultParallelism
-    bounded, busy = -(-total // rows), min(cores, total // SMALL_BLOCK_ROWS)
+    bounded, busy = -(-n_corpus // rows), min(cores, n_corpus // SMALL_BLOCK_ROWS)
     corpus_parts = F.lit(max(1, bounded, busy))
-    question_parts = F.lit(max(1, -(-questions.count() // (rows * QUESTION_BLOCKS))))
+    question_parts = F.lit(max(1, -(-n_questions // (rows * QUESTION_BLOCKS))))
     one = F.lit(0).alias("group")
     return join_blocks(
         _placed(corpus.select(one, "*"), "corpus", corpus_parts, question_parts),

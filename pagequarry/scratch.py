@@ -35,7 +35,7 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/pagequarry/{application}/{uuid.uuid4().hex}/{label}"
 
 
-def materialise(df: DataFrame, label: str) -> DataFrame:
+def materialise(df: DataFrame, label: str, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` once to shared scratch and read it back.
 
     Used where a result is read twice and must be the same both times (row
@@ -43,5 +43,5 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    df.write.parquet(path, partitionBy=partition_by)
     return spark.read.schema(df.schema).parquet(path)

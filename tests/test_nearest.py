@@ -166,6 +166,15 @@ def test_probed_cells_with_too_few_rows(spark):
     assert len(found) == 40
 
 
+def test_a_search_reads_the_opened_cells_only(spark):
+    cells = index.build_cells(frame(spark, random_vectors(12, 300), "id"), 7)
+    opened = cells.rows.select(
+        F.lit(3).cast("bigint").alias("group"), F.col("id").alias("qid"), "embedding"
+    )
+    text = plan(index._in_open_cells(cells, opened.limit(2), 4))
+    assert "PartitionFilters: [cell" in text or "(cell#" in text.split("PartitionFilters: [")[1][:40]
+
+
 def test_cells_need_a_fit_metric(spark):
     with pytest.raises(ValueError):
         index.build_cells(frame(spark, random_vectors(1, 9), "id"), 2, "ip")
