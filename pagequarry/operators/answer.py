@@ -60,8 +60,12 @@ def generate(prompt: Column, generator: Generator) -> Column:
         call = generator.load()
         for batch in batches:
             asked = batch.notna()
-            answers = iter(call(batch[asked].tolist()) if asked.any() else [])
-            yield pd.Series([next(answers) if a else None for a in asked], dtype=object)
+            prompts = batch[asked].tolist()
+            answers = list(call(prompts)) if prompts else []
+            if len(answers) != len(prompts):
+                raise ValueError(f"{generator.name}: not one answer per prompt")
+            given = iter(answers)
+            yield pd.Series([next(given) if a else None for a in asked], dtype=object)
 
     return F.pandas_udf(run, "string").asNondeterministic()(prompt)
 

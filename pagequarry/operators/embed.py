@@ -61,8 +61,11 @@ def embed(text: Column, embedder: Embedder, request_size: int = REQUEST_SIZE) ->
 
         def request(texts: list[str | None]) -> pd.Series:
             present = [t for t in texts if t is not None]
-            vectors = iter(call(present)) if present else iter(())
-            return pd.Series([None if t is None else next(vectors) for t in texts], dtype=object)
+            vectors = list(call(present)) if present else []
+            if len(vectors) != len(present) or any(len(v) != embedder.dim for v in vectors):
+                raise ValueError(f"{embedder.name}: not one vector of {embedder.dim} per text")
+            given = iter(vectors)
+            return pd.Series([None if t is None else next(given) for t in texts], dtype=object)
 
         waiting: deque[str | None] = deque()
         for batch in batches:

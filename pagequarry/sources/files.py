@@ -59,5 +59,5 @@ def page_images(df: DataFrame, path: Column, pattern: str = r"page_(\d+)") -> Da
     """Map page number to image location, read off the image paths."""
     number = F.regexp_extract(path, pattern, 1)
     return df.where(number != "").select(
-        number.cast("int").alias("pdf_page"), path.alias("page_image_loc")
+        number.try_cast("int").alias("pdf_page"), path.alias("page_image_loc")
     )

@@ -46,6 +46,16 @@ def test_model_error_fails_the_job(spark):
         numbers(spark, 1).select(embed(F.col("text"), Embedder("broken", 1, broken))).collect()
 
 
+@pytest.mark.parametrize("wrong", [lambda t: [[1.0]] * len(t), lambda t: [[1.0, 2.0]]])
+def test_model_must_give_one_vector_per_text(spark, wrong):
+    def load():
+        return wrong
+
+    with pytest.raises(Exception, match="not one vector of 2 per text"):
+        df = numbers(spark, 3).select(embed(F.col("text"), Embedder("wrong", 2, load)))
+        df.collect()
+
+
 def test_filter_on_vectors_does_not_embed_twice(spark):
     df = numbers(spark, 3).withColumn("v", embed(F.col("text"), hashed_words(4)))
     assert plan(df.where(F.size("v") > 0).select("v"), "simple").count("ArrowEvalPython") == 1
