@@ -6,7 +6,8 @@ could hold a closer row, so its result is exact. ``search_buckets`` is approxima
 it looks in the hash buckets of each question.
 
 ``join_groups`` splits cells and buckets with many rows or many questions, so a cell
-with a third of all rows is many tasks' work.
+with a third of all rows is many tasks' work. Questions and corpus are read more than
+once: pass stored tables, not vectors that a model would compute again.
 """
 
 from __future__ import annotations

@@ -203,6 +203,7 @@ def nearest(
     ``questions`` has columns ``qid, embedding`` and ``corpus`` has ``id, embedding``.
     Few questions are sent to every task and the corpus stays where it is; many are
     joined block by block. Distances are squared L2, 1 - cosine, or 1 - dot product.
+    Questions are read more than once: store vectors that a model computed.
     """
     return _search(questions, corpus, k, metric, question_bytes, block_bytes)[0]
 
@@ -301,14 +302,20 @@ def large_groups(
     There are at most rows / limit of them, however the rows are spread; they are
     broadcast when that proves few.
     """
+    one, none = F.lit(1), F.lit(0)
+    rows = corpus.select("group", one.alias("c"), none.alias("q")).unionByName(
+        questions.select("group", none.alias("c"), one.alias("q"))
+    )
+    counted = rows.groupBy("group").agg(F.sum("c").alias("c"), F.sum("q").alias("q"))
 
-    def parts(df: DataFrame, limit: int, name: str) -> DataFrame:
-        counted = df.groupBy("group").agg(F.count("*").alias("n")).where(F.col("n") > limit)
-        return counted.select("group", F.ceil(F.col("n") / limit).alias(name))
+    def parts(count: str, limit: int) -> Column:
+        return F.greatest(F.ceil(F.col(count) / limit), F.lit(1))
 
     large = materialise(
-        parts(corpus, corpus_rows, "corpus_parts").join(
-            parts(questions, question_rows, "question_parts"), "group", "full_outer"
+        counted.where((F.col("c") > corpus_rows) | (F.col("q") > question_rows)).select(
+            "group",
+            parts("c", corpus_rows).alias("corpus_parts"),
+            parts("q", question_rows).alias("question_parts"),
         ),
         "large_groups",
     )

@@ -78,6 +78,20 @@ def test_blocks_of_a_hot_group_stay_small(spark):
     assert len(sizes) == 32 and max(sizes) < 700
 
 
+def test_results_are_the_same_without_broadcasts(spark, monkeypatch):
+    monkeypatch.setattr(nearest, "BROADCAST_ROWS", 0)
+    q, x = random_vectors(23, 20), random_vectors(24, 120, hot=0.4)
+    questions, corpus = frame(spark, q, "qid"), frame(spark, x, "id")
+    expected = brute_force(q, x, 3, "l2")
+    group = (F.lit(0).cast("bigint").alias("group"), "*")
+    joined = nearest.join_groups(
+        questions.select(*group), corpus.select(*group), 3, "l2", corpus_rows=25, question_rows=9
+    )
+    assert ranks(nearest.top_k(joined, 3)) == expected
+    found = nearest.retrieve(questions, corpus.withColumn("content", F.col("id")), 3)
+    assert ranks(found) == expected
+
+
 def test_text_ids(spark):
     q, x = random_vectors(5, 4), random_vectors(6, 50, hot=0.5)
     for limits in ({}, BLOCKED):
