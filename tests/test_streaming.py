@@ -1,8 +1,11 @@
+from collections.abc import Iterator
+
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from pagequarry.operators.answer import extractive
-from pagequarry.operators.chunk import sentence_chunks
+from pagequarry.operators.chunk import CHUNKS, sentence_chunks
 from pagequarry.operators.embed import hashed_words
 from pagequarry.operators.ids import wide_id
 from pagequarry.operators.parse import elements_text, parse_with
@@ -93,6 +96,32 @@ def test_stream_with_a_parser_and_a_tokenizer_of_the_caller(spark, tmp_path, nam
     assert {len(r.id) for r in batch.collect()} == {32}
 
 
+def test_workers_of_a_stream_get_few_documents_at_a_time(spark, tmp_path, name):
+    raw = f"{name}_raw"
+    tables.create_table(spark, raw, "path STRING, content BINARY")
+    spark.range(0, 40, 1, 1).selectExpr(
+        "cast(id as string) as path", "cast('x' as binary) as content"
+    ).write.insertInto(raw)
+
+    def batch_sizes():
+        def sizes(batches):
+            for batch in batches:
+                yield pd.Series([[{"chunk": str(len(batch)), "n_units": 1}]] * len(batch))
+
+        sizes.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
+        return F.pandas_udf(sizes, CHUNKS)(F.col("content"))
+
+    def run(target, rows):
+        ingest.ingest_chunks(
+            spark, raw, target, str(tmp_path / target), EMBEDDER, batch_sizes(),
+            documents_per_arrow_batch=rows,
+        )
+        return {int(r.content) for r in rows_of(spark, target).collect()}
+
+    assert run(f"{name}_few", 10) == {10}
+    assert run(f"{name}_all", None) == {40}
+
+
 def test_numbered_stream_survives_a_replay(spark, tmp_path, name):
     source, target = f"{name}_s", f"{name}_t"
     spark.range(50).select(F.col("id").alias("k")).write.saveAsTable(source)
