@@ -39,4 +39,15 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(covered.n, 0)::BIGINT AS n_h
 FROM doc LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)
 """
 
-ORACLES = {"op2_decontaminate": CONTAMINATION}
+ARCHIVE = """
+WITH page AS (
+  SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS n,
+         sha256(coalesce(html, '')) AS digest FROM pages
+), first AS (SELECT digest, min(page_id) AS first_id FROM page WHERE n >= 100 GROUP BY digest)
+SELECT page_id, n::BIGINT AS payload_bytes, digest AS payload_digest,
+       CASE WHEN page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM page LEFT JOIN first USING (digest)
+"""
+
+ORACLES = {"op2_decontaminate": CONTAMINATION, "op6_warc": ARCHIVE}

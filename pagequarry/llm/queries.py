@@ -6,8 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagequarry.llm import bpe
+from pagequarry.llm import bpe, warc
 from pagequarry.llm.decontaminate import contamination
+from pagequarry.scratch import scratch_path
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
@@ -38,7 +39,14 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).drop("items")
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "archives")
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    return warc.resolve_revisits(warc.read_archives(spark, path))
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_decontaminate": op2_decontaminate,
+    "op6_warc": op6_warc,
 }
