@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagequarry.llm import bpe, warc
+from pagequarry.llm import bpe, toxicity, warc
 from pagequarry.llm.decontaminate import contamination
 from pagequarry.scratch import scratch_path
 
@@ -45,8 +45,29 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.resolve_revisits(warc.read_archives(spark, path))
 
 
+def held_out(remainder: int) -> Column:
+    """Whether a document is kept out of training."""
+    return F.crc32(F.col("doc_id").cast("string")) % 5 == remainder
+
+
+def toxicity_model(docs: DataFrame, labels: DataFrame) -> toxicity.Model:
+    return toxicity.train(docs, labels.where(~held_out(0)).select("doc_id", "toxic"))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity_model(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        F.coalesce(held_out(0), F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_decontaminate": op2_decontaminate,
     "op6_warc": op6_warc,
+    "op10_toxicity": op10_toxicity,
 }
