@@ -8,12 +8,15 @@ from pyspark.sql import functions as F
 
 from pagequarry.llm import bpe, toxicity, warc
 from pagequarry.llm.decontaminate import contamination
+from pagequarry.llm.minmax import near_duplicates
 from pagequarry.scratch import scratch_path
+from pagequarry.session import ship_package
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -39,6 +42,10 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).drop("items")
 
 
+def op4_minmax(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "archives")
     warc.write_archives(table(spark, sf_dir, "pages"), path)
@@ -68,6 +75,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_decontaminate": op2_decontaminate,
+    "op4_minmax": op4_minmax,
     "op6_warc": op6_warc,
     "op10_toxicity": op10_toxicity,
 }
