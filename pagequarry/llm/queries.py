@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagequarry.llm import bpe, toxicity, warc
+from pagequarry.llm import bpe, sanitise, toxicity, warc
 from pagequarry.llm.decontaminate import contamination
 from pagequarry.llm.minmax import near_duplicates
 from pagequarry.scratch import scratch_path
@@ -52,6 +52,21 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.resolve_revisits(warc.read_archives(spark, path))
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    base, spans = sanitise.span_strings()
+    return (
+        sanitise.find(docs)
+        .withColumns({"base": base, "spans": spans})
+        .select(
+            "row.doc_id",
+            *[sanitise.count_of(k).alias(f"n_{k}") for k in sanitise.KINDS],
+            F.sha2("base", 256).alias("base_sha256"),
+            "spans",
+        )
+    )
+
+
 def held_out(remainder: int) -> Column:
     """Whether a document is kept out of training."""
     return F.crc32(F.col("doc_id").cast("string")) % 5 == remainder
@@ -77,5 +92,6 @@ QUERIES = {
     "op2_decontaminate": op2_decontaminate,
     "op4_minmax": op4_minmax,
     "op6_warc": op6_warc,
+    "op7_pii": op7_pii,
     "op10_toxicity": op10_toxicity,
 }
