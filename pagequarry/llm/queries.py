@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagequarry.llm import bpe, sanitise, toxicity, warc
+from pagequarry.llm import bpe, imatch, sanitise, toxicity, warc
 from pagequarry.llm.decontaminate import contamination
 from pagequarry.llm.minmax import near_duplicates
 from pagequarry.scratch import scratch_path
@@ -46,6 +46,24 @@ def op4_minmax(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = imatch.fingerprints(table(spark, sf_dir, "documents"))
+
+    def near(other: str, same_text: str) -> Column:
+        same = F.expr(f"cast({same_text} AS double)")
+        return F.coalesce(F.expr(imatch.likeness("print", other)), same)
+
+    return found.select(
+        "doc_id",
+        F.length("body").cast("long").alias("n_chars"),
+        F.sha2("edited", 256).alias("edited_sha256"),
+        F.expr(imatch.as_text("print")).alias("fingerprint"),
+        F.expr(imatch.as_text("edited_print")).alias("edited_fingerprint"),
+        near("edited_print", "body = edited").alias("near_edited"),
+        near("next_print", "md5(body) = next_body_md5").alias("near_next"),
+    )
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "archives")
     warc.write_archives(table(spark, sf_dir, "pages"), path)
@@ -91,6 +109,7 @@ QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_decontaminate": op2_decontaminate,
     "op4_minmax": op4_minmax,
+    "op5_imatch": op5_imatch,
     "op6_warc": op6_warc,
     "op7_pii": op7_pii,
     "op10_toxicity": op10_toxicity,
