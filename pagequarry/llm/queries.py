@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagequarry.llm import bpe, imatch, sanitise, toxicity, warc
+from pagequarry.llm import bpe, imatch, sanitise, toxicity, warc, wrappers
 from pagequarry.llm.decontaminate import contamination
 from pagequarry.llm.minmax import near_duplicates
 from pagequarry.scratch import scratch_path
@@ -85,6 +85,10 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.main_text(table(spark, sf_dir, "pages"))
+
+
 def held_out(remainder: int) -> Column:
     """Whether a document is kept out of training."""
     return F.crc32(F.col("doc_id").cast("string")) % 5 == remainder
@@ -112,5 +116,6 @@ QUERIES = {
     "op5_imatch": op5_imatch,
     "op6_warc": op6_warc,
     "op7_pii": op7_pii,
+    "op9_html": op9_html,
     "op10_toxicity": op10_toxicity,
 }
