@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagequarry.llm import bpe, imatch, sanitise, toxicity, warc, wrappers
+from pagequarry.llm import bpe, hmm, imatch, sanitise, toxicity, warc, wrappers
 from pagequarry.llm.decontaminate import contamination
 from pagequarry.llm.minmax import near_duplicates
 from pagequarry.scratch import scratch_path
@@ -42,6 +42,16 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).drop("items")
 
 
+def op3_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = F.coalesce(held_out(1), F.lit(False))
+    docs = table(spark, sf_dir, "documents").withColumn("train", ~out)
+    model, read = hmm.train(docs.select("doc_id", "train", "text"))
+    scored = hmm.score(read, model).withColumn("held_out", ~F.col("train"))
+    return scored.select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def op4_minmax(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -112,6 +122,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_decontaminate": op2_decontaminate,
+    "op3_hmm": op3_hmm,
     "op4_minmax": op4_minmax,
     "op5_imatch": op5_imatch,
     "op6_warc": op6_warc,
