@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pagequarry.llm import bpe, hmm, imatch, sanitise, toxicity, warc, wrappers
 from pagequarry.llm.decontaminate import contamination
 from pagequarry.llm.minmax import near_duplicates
+from pagequarry.llm.repeats import remove_repeats
 from pagequarry.scratch import scratch_path
 from pagequarry.session import ship_package
 
@@ -95,6 +96,11 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = remove_repeats(table(spark, sf_dir, "documents"), with_kept=False)
+    return found.drop("kept", "spans")
+
+
 def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wrappers.main_text(table(spark, sf_dir, "pages"))
 
@@ -127,6 +133,7 @@ QUERIES = {
     "op5_imatch": op5_imatch,
     "op6_warc": op6_warc,
     "op7_pii": op7_pii,
+    "op8_repeats": op8_repeats,
     "op9_html": op9_html,
     "op10_toxicity": op10_toxicity,
 }
