@@ -7,10 +7,12 @@ values: 50 bands. Two documents at the threshold of 0.75 miss each other in all
 with odds of about one in 700,000. Every link is confirmed on the full sets.
 
 Documents with equal sets are one class before the bands are formed. In a bucket the
-smallest id is compared with the others first; linked documents are then one component,
-and only documents of different components are compared further, with twice as many hubs
-in each round, until every bucket is through. So a bucket of near copies costs a
-comparison a document, and no pair of different components in a bucket is left out.
+document with the fewest shingles of its own (that no other candidate has) is compared
+with the others first: in a group of edited copies it is the least edited, and near to
+most. Linked documents are then one component, and only documents of different components
+are compared further, with more hubs in each round, until every bucket is through. A pair
+is left out only if its sizes and the shingles that either has alone rule it out. So a
+bucket of near copies costs about a comparison a document.
 
 Defined cases: a null text, or one without words, has no shingles and is linked with
 nothing. Fewer than five words are one shingle. A row without an id joins the class of
@@ -24,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -37,6 +39,7 @@ SIMILAR = 75  # per cent of the union that two sets must share
 ROWS = 5  # permutations of a band
 BANDS = 25  # of smallest values, and as many of largest
 SEED = 20240229
+GROWTH = 16  # times as many hubs in a round as in all before it
 
 
 def _permutations() -> tuple[np.ndarray, np.ndarray]:
@@ -166,7 +169,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _buckets(signed: DataFrame, classes: DataFrame) -> DataFrame:
-    """(key, id, n, rank): the classes in every band bucket that holds more than one."""
+    """(key, id, n): the classes in every band bucket that holds more than one."""
     first = signed.join(
         classes.select(F.col("rep").alias("doc_id"), "digest_a", "digest_b", "n_shingles"),
         ["doc_id", "digest_a", "digest_b", "n_shingles"],
@@ -181,8 +184,36 @@ def _buckets(signed: DataFrame, classes: DataFrame) -> DataFrame:
         .where("low < high")
         .select("key")
     )
-    within = Window.partitionBy("key").orderBy("id", "n")
-    return rows.join(shared, "key").distinct().withColumn("rank", F.row_number().over(within))
+    return rows.join(shared, "key").distinct()
+
+
+def _ranked(member: DataFrame, sets: DataFrame) -> DataFrame:
+    """``member`` with ``may``, the most shingles that a document may share with any other
+    candidate, and its rank in the bucket: those with few shingles of their own first."""
+    alone = (
+        sets.select(F.col("doc_id").alias("id"), F.explode("shingles").alias("s"))
+        .groupBy("s")
+        .agg(F.min("id").alias("id"), F.max("id").alias("high"))
+        .where("id = high")
+        .groupBy("id")
+        .agg(F.count("*").alias("own"))
+    )
+    # An id with several rows may stand for several sets: nothing is known to be its own.
+    several = sets.groupBy("doc_id").count().where("count > 1")
+    alone = alone.join(several.select(F.col("doc_id").alias("id")), "id", "left_anti")
+    own = F.coalesce("own", F.lit(0))
+    within = Window.partitionBy("key").orderBy(own, "id", "n")
+    return (
+        member.join(alone, "id", "left")
+        .withColumn("rank", F.row_number().over(within))
+        .select("key", "id", "n", (F.col("n") - own).alias("may"), "rank")
+    )
+
+
+def _possible() -> Column:
+    """Whether two documents may be similar enough: by what they can share at most."""
+    shared = F.least("may", "hub_may")
+    return 100 * shared >= SIMILAR * (F.col("n") + F.col("hub_n") - shared)
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -197,10 +228,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     sets = materialise(
         shingle_sets(docs.select("doc_id", "text").join(ids, "doc_id", "left_semi")), "sets"
     )
-    rows = member.select("key", "id", "n", "rank")
+    rows = materialise(_ranked(member, sets), "ranked")
     labelled = rows.withColumn("label", F.col("id"))
     links, tested, roots = None, None, None
-    low = 1
+    low, high = 1, 2
     while True:
         # Buckets that still hold more than one component and documents not yet hubs.
         open_keys = (
@@ -210,38 +241,39 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             .select("key")
         )
         left = labelled.join(open_keys, "key", "left_semi")
-        hub = left.where((F.col("rank") >= low) & (F.col("rank") < 2 * low)).select(
-            "key", F.col("id").alias("a"), F.col("n").alias("hub_n"),
-            F.col("rank").alias("hub_rank"), F.col("label").alias("hub_label"),
+        hub = left.where((F.col("rank") >= low) & (F.col("rank") < high)).select(
+            "key",
+            F.col("id").alias("a"),
+            F.col("n").alias("hub_n"),
+            F.col("may").alias("hub_may"),
+            F.col("rank").alias("hub_rank"),
+            F.col("label").alias("hub_label"),
         )
         pairs = (
             left.join(hub, "key")
             .where("rank > hub_rank AND label <> hub_label AND id <> a")
-            .where(100 * F.least("n", "hub_n") >= SIMILAR * F.greatest("n", "hub_n"))
+            .where(_possible())
             .select("a", F.col("id").alias("b"))
             .distinct()
         )
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = materialise(pairs, "pairs")
-        found = materialise(_confirmed(pairs, sets), "links")
-        links = found if links is None else links.unionByName(found)
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        if not found.isEmpty():
-            roots = materialise(components(links), "components")
-            labelled = materialise(
-                rows.join(roots, "id", "left").select(
-                    "key", "id", "n", "rank", F.coalesce("root", "id").alias("label")
-                ),
-                "labelled",
-            )
-        low *= 2
-        remaining = (
-            labelled.groupBy("key")
-            .agg(F.min("label").alias("a"), F.max("label").alias("b"), F.max("rank").alias("r"))
-            .where((F.col("a") < F.col("b")) & (F.col("r") > low))
-        )
-        if remaining.isEmpty():
+        if not pairs.isEmpty():
+            found = materialise(_confirmed(pairs, sets), "links")
+            links = found if links is None else links.unionByName(found)
+            tested = pairs if tested is None else tested.unionByName(pairs)
+            if not found.isEmpty():
+                roots = materialise(components(links), "components")
+                labelled = materialise(
+                    rows.join(roots, "id", "left").select(
+                        "key", "id", "n", "may", "rank", F.coalesce("root", "id").alias("label")
+                    ),
+                    "labelled",
+                )
+        low, high = high, high * GROWTH
+        last = labelled.agg(F.max("rank")).first()[0]
+        if last is None or last <= low:
             break
     base = signed.select("doc_id", *same_set).join(classes, same_set, "left")
     if roots is None:
