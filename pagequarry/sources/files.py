@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from pagequarry.functions.text import basename
 
+ANY_AGE = "36500d"
 BINARY_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
 
@@ -44,11 +45,16 @@ def exclude_by_name(df: DataFrame, name: Column, part: str) -> DataFrame:
 def stream_documents(
     spark: SparkSession, folder: str, glob: str | None = None, files_per_batch: int = 1000
 ) -> DataFrame:
-    """The folder as a stream: each file is delivered once per checkpoint."""
+    """The folder as a stream: each file is delivered once per checkpoint, whatever its date.
+
+    Spark passes over files a week older than the newest unless told otherwise; copies and
+    archives keep old dates.
+    """
     reader = (
         spark.readStream.format("binaryFile")
         .schema(BINARY_SCHEMA)
         .option("maxFilesPerTrigger", files_per_batch)
+        .option("maxFileAge", ANY_AGE)
     )
     if glob:
         reader = reader.option("pathGlobFilter", glob)

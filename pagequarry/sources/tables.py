@@ -22,9 +22,12 @@ def create_table(
     columns: str,
     properties: dict[str, object] | None = None,
     path: str | None = None,
+    partition_by: str | None = None,
 ) -> None:
     """Typed table, made only if absent; with ``path`` the files live there."""
     ddl = f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet"
+    if partition_by:
+        ddl += f" PARTITIONED BY ({partition_by})"
     if path:
         ddl += f" LOCATION {_quoted(path)}"
     if properties:
@@ -33,8 +36,56 @@ def create_table(
     spark.sql(ddl)
 
 
-def create_chunk_table(spark: SparkSession, name: str, path: str | None = None, **properties):
-    create_table(spark, name, CHUNK_COLUMNS, properties, path)
+def create_chunk_table(
+    spark: SparkSession, name: str, path: str | None = None, id_type: str = "BIGINT", **properties
+):
+    """The chunk table; ``id_type`` is STRING for ids of ``wide_id``."""
+    create_table(spark, name, CHUNK_COLUMNS.replace("id BIGINT", f"id {id_type}"), properties, path)
+
+
+def create_batch_table(
+    spark: SparkSession, name: str, columns: str, path: str | None = None
+) -> None:
+    """A table that streams write: a partition for each micro-batch of each query."""
+    columns = f"{columns}, writer STRING, batch_id BIGINT"
+    create_table(spark, name, columns, path=path, partition_by="writer, batch_id")
+
+
+def write_batch(df: DataFrame, name: str, writer: str, batch_id: int) -> None:
+    """Write a micro-batch as its own partition of a batch table.
+
+    A replay, also after half a write, replaces the partition; other queries, and the
+    same one under a new checkpoint, have partitions of their own.
+    """
+    spark = df.sparkSession
+    fields = [f for f in spark.table(name).schema if f.name not in ("writer", "batch_id")]
+    rows = df.select(
+        [
+            F.col(f.name).cast(f.dataType).alias(f.name)
+            if f.name in df.columns
+            else F.lit(None).cast(f.dataType).alias(f.name)
+            for f in fields
+        ]
+    )
+    spark.sql(
+        f"INSERT OVERWRITE TABLE {name} PARTITION (writer = {_quoted(writer)}, "
+        f"batch_id = {int(batch_id)}) SELECT * FROM {{rows}}",
+        rows=rows,
+    )
+
+
+def last_batches(spark: SparkSession, name: str, writer: str, batch_id: int) -> DataFrame:
+    """The rows of the last partition of each query, of ``writer`` before ``batch_id``."""
+    last: dict[str, int] = {}
+    for row in spark.sql(f"SHOW PARTITIONS {name}").collect():
+        parts = dict(p.split("=", 1) for p in row.partition.split("/"))
+        number = int(parts["batch_id"])
+        if parts["writer"] != writer or number < batch_id:
+            last[parts["writer"]] = max(number, last.get(parts["writer"], number))
+    chosen = F.lit(False)
+    for who, number in last.items():
+        chosen = chosen | ((F.col("writer") == who) & (F.col("batch_id") == number))
+    return spark.table(name).where(chosen)
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:

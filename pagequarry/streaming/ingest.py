@@ -19,7 +19,12 @@ from pagequarry.operators.ids import hash_id, with_dense_ids
 from pagequarry.operators.parse import html_text
 from pagequarry.session import small_arrow_batches
 from pagequarry.sources.files import stream_documents
-from pagequarry.sources.tables import add_to_collection, append_by_name, create_collection
+from pagequarry.sources.tables import (
+    add_to_collection,
+    create_collection,
+    last_batches,
+    write_batch,
+)
 
 
 def start_append(stream: DataFrame, table: str, checkpoint: str, path: str | None = None) -> StreamingQuery:
@@ -115,35 +120,38 @@ def ingest_numbered(
 ) -> None:
     """Append a stream with dense ids that go on from the largest in ``table``.
 
-    ``table`` has a ``batch_id`` column: a micro-batch that is replayed after a failure
-    finds its own number there and is skipped. One writer at a time.
+    ``table`` is a batch table (``create_batch_table``) with an ``id``. Only the last
+    partition of each query is read for the largest id. One writer at a time.
     """
 
-    def append(batch: DataFrame, batch_id: int) -> None:
-        have = batch.sparkSession.table(table)
+    def number(batch: DataFrame, writer: str, batch_id: int) -> DataFrame:
+        have = last_batches(batch.sparkSession, table, writer, batch_id)
         last = have.agg(F.coalesce(F.max("id"), F.lit(0)).alias("id")).first().id
-        numbered = with_dense_ids(batch, keys).withColumn("id", F.col("id") + F.lit(last))
-        append_by_name(numbered.withColumn("batch_id", F.lit(batch_id).cast("bigint")), table)
+        return with_dense_ids(batch, keys).withColumn("id", F.col("id") + F.lit(last))
 
-    append_batches(stream, table, checkpoint, append)
+    append_batches(stream, table, checkpoint, number)
 
 
 def append_batches(
-    stream: DataFrame, table: str, checkpoint: str, append: Callable[[DataFrame, int], None]
+    stream: DataFrame,
+    table: str,
+    checkpoint: str,
+    rows: Callable[[DataFrame, str, int], DataFrame],
 ) -> None:
-    """Give each micro-batch to ``append``, but none that ``table`` already holds.
+    """Write what ``rows`` makes of each micro-batch to its own partition of ``table``.
 
-    ``append`` writes the batch's number to the table's ``batch_id``.
+    ``rows`` gets the batch, the id that Spark keeps for the query in its checkpoint, and
+    the number of the batch. A batch that comes again replaces its partition, so
+    nothing is lost or doubled; the table is not searched.
     """
 
-    def once(batch: DataFrame, batch_id: int) -> None:
+    def write(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        session.catalog.refreshTable(table)
-        if session.table(table).where(F.col("batch_id") == batch_id).isEmpty():
-            append(batch, batch_id)
+        writer = session.sparkContext.getLocalProperty("sql.streaming.queryId")
+        write_batch(rows(batch, writer, batch_id), table, writer, batch_id)
 
     query = (
-        stream.writeStream.foreachBatch(once)
+        stream.writeStream.foreachBatch(write)
         .trigger(availableNow=True)
         .option("checkpointLocation", checkpoint)
         .start()

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pagequarry.operators.answer import Generator, answer_questions
 from pagequarry.operators.embed import Embedder
-from pagequarry.sources.tables import LOG_COLUMNS, append_by_name, create_table, inference_log
+from pagequarry.sources.tables import LOG_COLUMNS, create_batch_table, inference_log
 from pagequarry.streaming.ingest import append_batches
 
 
@@ -23,19 +23,13 @@ def answer_stream(
 ) -> None:
     """Answer a stream of (qid, question) rows from the chunk table as it is at the time,
     and append question, answer and sources to the log, once per question."""
-    spark = questions.sparkSession
-    create_table(spark, log_table, f"{LOG_COLUMNS}, batch_id BIGINT", path=path)
+    create_batch_table(questions.sparkSession, log_table, LOG_COLUMNS, path)
 
-    def respond(batch: DataFrame, batch_id: int) -> None:
+    def respond(batch: DataFrame, writer: str, batch_id: int) -> DataFrame:
         session = batch.sparkSession
         session.catalog.refreshTable(chunk_table)
         chunks = session.read.table(chunk_table)
         log = inference_log(answer_questions(batch, chunks, embedder, generator, k))
-        append_by_name(
-            log.withColumns(
-                {"ts": F.current_timestamp(), "batch_id": F.lit(batch_id).cast("bigint")}
-            ),
-            log_table,
-        )
+        return log.withColumn("ts", F.current_timestamp())
 
     append_batches(questions, log_table, checkpoint, respond)

@@ -122,22 +122,68 @@ def test_workers_of_a_stream_get_few_documents_at_a_time(spark, tmp_path, name):
     assert run(f"{name}_all", None) == {40}
 
 
+def forget_last_commit(checkpoint):
+    """Undo the note that the last batch is done, as a crash right before it would."""
+    last = max((int(f.name) for f in (checkpoint / "commits").iterdir() if f.name.isdigit()))
+    for file in (checkpoint / "commits").iterdir():
+        if file.name.strip(".").split(".")[0] == str(last):
+            file.unlink()
+
+
 def test_numbered_stream_survives_a_replay(spark, tmp_path, name):
     source, target = f"{name}_s", f"{name}_t"
     spark.range(50).select(F.col("id").alias("k")).write.saveAsTable(source)
-    tables.create_table(spark, target, "id BIGINT, k BIGINT, batch_id BIGINT")
+    tables.create_batch_table(spark, target, "id BIGINT, k BIGINT")
 
     def run(checkpoint):
         ingest.ingest_numbered(
             spark.readStream.table(source), target, str(tmp_path / checkpoint), ["k"]
         )
-        return sorted(r.id for r in rows_of(spark, target).collect())
+        return sorted((r.id, r.k) for r in rows_of(spark, target).collect())
 
-    assert run("c") == list(range(1, 51))
-    # The same batch again, as after a crash between the append and its checkpoint.
-    assert run("lost") == list(range(1, 51))
+    first = [(k + 1, k) for k in range(50)]
+    assert run("c") == first
+    forget_last_commit(tmp_path / "c")
+    assert run("c") == first
     spark.range(50, 80).select(F.col("id").alias("k")).write.insertInto(source)
-    assert run("c") == list(range(1, 81))
+    more = first + [(k + 1, k) for k in range(50, 80)]
+    assert run("c") == more
+    # A part of the last batch alone was written before the crash.
+    part = rows_of(spark, target).where("batch_id = 1").limit(3).collect()
+    writer = part[0].writer
+    rows = spark.createDataFrame([(r.id, r.k) for r in part], "id long, k long")
+    tables.write_batch(rows, target, writer, 1)
+    forget_last_commit(tmp_path / "c")
+    assert run("c") == more
+    # Another checkpoint is another query: it reads all, and its rows are kept beside.
+    assert [k for _, k in run("d")] == [*range(80), *range(80)]
+    assert len({i for i, _ in run("d")}) == 160
+
+
+def test_two_queries_share_a_log(spark, folder, tmp_path, name):
+    raw, chunks = f"{name}_raw", f"{name}_chunks"
+    ingest.ingest_files(spark, str(folder), raw, str(tmp_path / "c1"), glob="*.html")
+    ingest.ingest_chunks(spark, raw, chunks, str(tmp_path / "c2"), EMBEDDER)
+    for i in range(2):
+        asked = f"{name}_asked{i}"
+        spark.createDataFrame([(i, f"Document {i}?")], "qid long, question string").write.saveAsTable(asked)
+        answer_stream(
+            spark.readStream.table(asked), chunks, name, str(tmp_path / f"q{i}"), EMBEDDER, extractive()
+        )
+    assert {r.request_id for r in rows_of(spark, name).collect()} == {"0", "1"}
+
+
+def test_an_old_file_is_read_too(spark, folder, tmp_path, name):
+    import os
+
+    def run():
+        ingest.ingest_files(spark, str(folder), name, str(tmp_path / "c"), glob="*.html")
+        return rows_of(spark, name).count()
+
+    assert run() == 3
+    put(folder, "old.html", "from long ago")
+    os.utime(folder / "old.html", (1e9, 1e9))
+    assert run() == 4
 
 
 def test_questions_are_answered_once(spark, folder, tmp_path, name):
