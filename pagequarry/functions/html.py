@@ -23,7 +23,9 @@ SOURCES_CLOSE = "</ul>"
 
 
 def message_html(role: Column, text: Column, avatar_url: str | None = None) -> Column:
-    """One chat message; every role but ``user`` is rendered as the assistant."""
+    """One chat message; every role but ``user`` is rendered as the assistant, null text as
+    an empty message."""
+    text = F.coalesce(text, F.lit(""))
     avatar = (
         f'<img style="{AVATAR_STYLE}" src="{avatar_url}"/>\n        ' if avatar_url else ""
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -12,6 +13,9 @@ from pyspark.sql import functions as F
 SPACES = " \t\r\n"
 WORD_BREAK = f"[{SPACES}]+"
 
+# The names of HTML character references, from the standard library.
+NAMED = {name[:-1]: char for name, char in html5.items() if name.endswith(";")}
+
 _WORD = re.compile(f"[^{SPACES}]+")
 
 # Fixed value: the reply to a blank question.
@@ -66,9 +70,48 @@ def split_items(answer: Column) -> Column:
 
 
 def decode_text(content: Column, charset: str = "UTF-8") -> Column:
+    """Bytes as text. Malformed UTF-8 becomes U+FFFD: one bad page must not end a job."""
+    if charset.upper() == "UTF-8":
+        return F.make_valid_utf8(content.cast("string"))
     return F.decode(content, charset)
 
 
+def character(number: Column) -> Column:
+    """The character of a code point; U+FFFD for numbers that are none."""
+    valid = number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF)
+    code = F.lpad(F.hex(F.when(valid, number).otherwise(0xFFFD)), 8, "0")
+    return F.decode(F.unhex(code), "UTF-32")
+
+
+def unescape(text: Column) -> Column:
+    """Character references, named and numeric, as the characters they stand for.
+
+    Text without an ampersand passes at once; unknown names stay as they are.
+    """
+    names = F.create_map(*[F.lit(x) for pair in sorted(NAMED.items()) for x in pair])
+    pattern = "&(#[0-9]{1,9}|#[xX][0-9a-fA-F]{1,7}|[A-Za-z][A-Za-z0-9]*);"
+
+    def decoded(name: Column) -> Column:
+        hexadecimal = F.conv(F.substr(name, F.lit(3)), 16, 10).cast("bigint")
+        decimal = F.substr(name, F.lit(2)).try_cast("bigint")
+        return (
+            F.when(name.rlike("^#[xX]"), character(hexadecimal))
+            .when(name.startswith("#"), character(decimal))
+            .otherwise(
+                F.coalesce(F.try_element_at(names, name), F.concat(F.lit("&"), name, F.lit(";")))
+            )
+        )
+
+    found = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)), decoded)
+    between = F.split(text, pattern, -1)
+    whole = F.array_join(F.flatten(F.transform(F.arrays_zip(between, found), _pair)), "")
+    return F.when(F.contains(text, F.lit("&")), whole).otherwise(text)
+
+
+def _pair(item: Column) -> Column:
+    return F.array(item["0"], F.coalesce(item["1"], F.lit("")))
+
+
 def sorted_distinct(values: Column, sep: str) -> Column:
     """Aggregate: distinct values as strings, sorted, joined."""
     return F.array_join(F.array_sort(F.collect_set(values.cast("string"))), sep)

@@ -8,9 +8,17 @@ from pyspark.sql import functions as F
 from pagequarry.scratch import materialise
 
 
+# Timestamps to the microsecond, wherever they are nested.
+EXACT = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+    "ignoreNullFields": "false",
+}
+
+
 def fingerprint(*columns: str) -> Column:
     """Digest that tells null from empty and one column from the next."""
-    return F.sha2(F.to_json(F.struct(*columns)), 256)
+    return F.sha2(F.to_json(F.struct(*columns), EXACT), 256)
 
 
 def snapshot_changes(old: DataFrame, new: DataFrame, key: str) -> DataFrame:

@@ -2,8 +2,8 @@
 
 ``search_cells`` cuts the corpus into cells around k-means centres and probes the
 cells nearest to each question. By default it then opens every further cell that
-could hold a closer row, so its result is exact. ``search_buckets`` is approximate:
-it looks in the hash buckets of each question.
+could hold a closer row, so its result is exact. ``search_buckets`` looks in the hash
+buckets of each question and answers those exactly that these cannot settle.
 
 ``join_groups`` splits cells and buckets with many rows or many questions, so a cell
 with a third of all rows is many tasks' work. Questions and corpus are read more than
@@ -18,9 +18,9 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import BucketedRandomProjectionLSH, Normalizer
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.ml.feature import Normalizer
+from pyspark.ml.functions import array_to_vector
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagequarry.operators.nearest import (
@@ -80,30 +80,26 @@ def build_cells(
     cells: int,
     metric: str = "l2",
     seed: int = 17,
-    training_rows: int | None = None,
     iterations: int = 10,
 ) -> CellIndex:
     """Cut ``corpus`` (id, embedding) into cells.
 
-    The centres are learned from a sample (256 rows per cell by default); every row is
-    then put in the cell of its nearest centre, so the index holds all rows.
+    The centres are learned from all rows; every row is then put in the cell of its
+    nearest centre.
     """
     if metric not in ("l2", "cosine"):
         raise ValueError("cells need a metric with a triangle inequality: l2 or cosine")
     if not 0 < cells <= MAX_CELLS:
         raise ValueError(f"between 1 and {MAX_CELLS} cells")
-    total = corpus.count()
     corpus = corpus.select("id", "embedding").where(F.col("embedding").isNotNull())
     first = corpus.select(F.size("embedding").alias("n")).first()
     if first is None or cells * first.n * 8 > CENTRE_BYTES:
         raise ValueError(f"a corpus with rows, and centres of at most {CENTRE_BYTES} bytes")
-    training_rows = training_rows or max(10_000, 256 * cells)
-    sample = corpus if total <= training_rows else corpus.sample(training_rows / total, seed)
     # Random first centres: the default way gathers several times ``cells`` points on the driver.
     means = KMeans(
         k=cells, seed=seed, maxIter=iterations, initMode="random", featuresCol="_u"
     )
-    centres = np.array(means.fit(_as_vectors(sample, metric).select("_u")).clusterCenters())
+    centres = np.array(means.fit(_as_vectors(corpus, metric).select("_u")).clusterCenters())
     sent = corpus.sparkSession.sparkContext.broadcast(centres)
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -209,37 +205,81 @@ def search_cells(
     return top_k(first.select("qid", "id", "dist").unionByName(second), k)
 
 
+def _projected(df: DataFrame, key: str, directions: np.ndarray, metric: str) -> DataFrame:
+    """(key, embedding, places): where each vector lies along each direction."""
+    sent = df.sparkSession.sparkContext.broadcast(directions)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            places = _points(batch.column(1), metric) @ sent.value.T
+            flat = pa.array(np.nan_to_num(places).ravel())
+            ends = np.arange(0, places.size + 1, places.shape[1], dtype=np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.ListArray.from_arrays(pa.array(ends), flat)],
+                [key, "embedding", "places"],
+            )
+
+    kind = df.schema[key].dataType.simpleString()
+    return df.select(key, "embedding").mapInArrow(
+        run, f"{key} {kind}, embedding array<float>, places array<double>"
+    )
+
+
 def search_buckets(
     questions: DataFrame,
     corpus: DataFrame,
     k: int = 4,
     metric: str = "l2",
-    bucket_length: float = 0.5,
+    bucket_length: float | None = None,
     tables: int = 8,
     seed: int = 17,
 ) -> DataFrame:
-    """Approximate: the ``k`` nearest among rows that share a hash bucket.
+    """The ``k`` nearest rows, looked for in hash buckets first.
 
-    Spark ML's random projections give the buckets. Distances are exact, and questions
-    whose buckets hold fewer than ``k`` rows are answered by the exact search.
+    Random directions cut the space into slabs of ``bucket_length`` (by default twice the
+    spread of the corpus along them). Two vectors are never nearer than their places along
+    a direction, so a question is done if, along one, all within its k-th distance lie
+    in its own slab. The others are answered by the exact search.
     """
-    hasher = BucketedRandomProjectionLSH(
-        inputCol="_u", outputCol="_h", bucketLength=bucket_length, numHashTables=tables, seed=seed
-    )
-    corpus = corpus.select("id", "embedding").where(F.col("embedding").isNotNull())
-    questions = questions.select("qid", "embedding").where(F.col("embedding").isNotNull())
-    model = hasher.fit(_as_vectors(corpus, metric))
-
-    def bucketed(df: DataFrame, id: str) -> DataFrame:
-        hashed = model.transform(_as_vectors(df, metric))
-        return hashed.select(id, "embedding", F.posexplode("_h").alias("table", "hash")).select(
-            id, "embedding", F.xxhash64("table", vector_to_array("hash")).alias("group")
+    if metric not in ("l2", "cosine"):
+        raise ValueError("buckets need a metric with a triangle inequality: l2 or cosine")
+    vector = F.col("embedding").cast("array<float>").alias("embedding")
+    corpus = corpus.select("id", vector).where(F.col("embedding").isNotNull())
+    questions = questions.select("qid", vector).where(F.col("embedding").isNotNull())
+    first = corpus.select(F.size("embedding").alias("n")).first()
+    if first is None:
+        return nearest(questions, corpus, k, metric)
+    directions = np.random.default_rng(seed).normal(size=(tables, first.n))
+    directions /= np.linalg.norm(directions, axis=1, keepdims=True)
+    rows = materialise(_projected(corpus, "id", directions, metric), "places")
+    asked = materialise(_projected(questions, "qid", directions, metric), "places")
+    spread = rows.agg(*[F.stddev_pop(F.col("places")[t]) for t in range(tables)]).first()
+    lengths = [bucket_length or max(2 * (s or 0.0), 1e-9) for s in spread]
+    length = F.array(*[F.lit(x) for x in lengths])
+    slabs = F.transform(F.arrays_zip("places", length.alias("length")), _slab)
+
+    def bucketed(df: DataFrame, key: str) -> DataFrame:
+        return df.select(key, "embedding", F.posexplode(slabs).alias("table", "slab")).select(
+            key, "embedding", F.xxhash64("table", "slab").alias("group")
         )
 
-    candidates = join_groups(bucketed(questions, "qid"), bucketed(corpus, "id"), k, metric)
+    candidates = join_groups(bucketed(asked, "qid"), bucketed(rows, "id"), k, metric)
     candidates = candidates.dropDuplicates(["qid", "id"])
     found = materialise(top_k(candidates, k), "bucketed")
-    full = found.where(F.col("rank") == k).select("qid")
-    short = questions.join(full, "qid", "left_anti")
-    rest = nearest(short, corpus, k, metric)
-    return found.join(full, "qid", "left_semi").unionByName(rest)
+    # The k-th distance as one between points; room for the rounding of distances.
+    reach = F.sqrt(F.col("dist") * (2 if metric == "cosine" else 1)) + 1e-4
+    kth = found.where(F.col("rank") == k).select("qid", reach.alias("reach"))
+    inside = F.exists(
+        F.arrays_zip("places", length.alias("length")),
+        lambda x: (x["places"] - F.col("reach") >= _slab(x) * x["length"])
+        & (x["places"] + F.col("reach") < (_slab(x) + 1) * x["length"]),
+    )
+    done = materialise(asked.join(kth, "qid").where(inside).select("qid"), "certified")
+    rest = nearest(questions.join(done, "qid", "left_anti"), corpus, k, metric)
+    return found.join(done, "qid", "left_semi").unionByName(rest)
+
+
+def _slab(place: Column) -> Column:
+    return F.floor(place["places"] / place["length"])

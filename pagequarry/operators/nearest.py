@@ -105,7 +105,9 @@ class Distances:
         """How far ``block`` may be from ``pairs``: rounding to DECIMALS and of sums."""
         scale = 1.0
         if self.metric != "cosine":
-            scale += float((q * q).sum(axis=1).max()) + float((x * x).sum(axis=1).max())
+            for rows in (q, x):
+                squares = (rows * rows).sum(axis=1)
+                scale += float(squares[np.isfinite(squares)].max(initial=0.0))
         return 2 * 10.0**-DECIMALS + 1e-12 * scale
 
 
@@ -124,8 +126,11 @@ def block_nearest(
     best = (np.empty(0, np.int64), ids[:0], np.empty(0))
     for at in range(0, len(x), step):
         part, part_ids = x[at : at + step], ids[at : at + step]
-        approx = distances.block(q, part)
+        with np.errstate(invalid="ignore", over="ignore"):
+            approx = distances.block(q, part)
         kth = min(k, len(part)) - 1
+        # Distances that are no number come last, and are candidates if they are needed.
+        approx[np.isnan(approx)] = np.inf
         limit = np.partition(approx, kth, axis=1)[:, kth] + distances.slack(q, part)
         who, which = np.nonzero(approx <= limit[:, None])
         dist = np.concatenate(

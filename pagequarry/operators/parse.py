@@ -8,7 +8,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagequarry.functions.text import SPACES, clean_section, decode_text, join_sections
+from pagequarry.functions.arrays import let
+from pagequarry.functions.text import SPACES, clean_section, decode_text, join_sections, unescape
 from pagequarry.operators.concat import ordered_concat
 from pagequarry.operators.explode import explode_once
 
@@ -17,7 +18,7 @@ ELEMENTS = (
 )
 
 # HTML that is not text, tags that open or close a block of text,
-# the element type of each, and the entities decoded (the ampersand last).
+# and the element type of each.
 NOT_TEXT = (
     r"(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->|<!doctype[^>]*>"
 )
@@ -27,16 +28,6 @@ BLOCK_TAG = (
 )
 INLINE_BREAK = r"(?i)<br\b[^>]*>"
 ANY_TAG = "<[^>]*>"
-ENTITIES = [
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&#39;", "'"),
-    ("&nbsp;", " "),
-    ("&copy;", "©"),
-    ("&middot;", "·"),
-    ("&amp;", "&"),
-]
 EDGES = f"^[{SPACES}]+|[{SPACES}]+$"
 MARK, TAG_END = "\u0001", "\u0002"
 
@@ -49,15 +40,14 @@ def html_elements(html: Column) -> Column:
     built-in expressions: no Python worker.
     """
     marked = F.regexp_replace(
-        F.regexp_replace(html, NOT_TEXT, ""), BLOCK_TAG, f"{MARK}$1$2{TAG_END}"
+        F.regexp_replace(F.translate(html, MARK + TAG_END, ""), NOT_TEXT, ""), BLOCK_TAG, f"{MARK}$1$2{TAG_END}"
     )
 
     def element(piece: Column) -> Column:
         tag = F.lower(F.regexp_extract(piece, f"^([^/{TAG_END}]+){TAG_END}", 1))
         text = F.substring_index(piece, TAG_END, -1)
         text = F.regexp_replace(F.regexp_replace(text, INLINE_BREAK, "\n"), ANY_TAG, "")
-        for name, char in ENTITIES:
-            text = F.replace(text, F.lit(name), F.lit(char))
+        text = let(text, lambda t: F.translate(unescape(t), "\u00a0", " "))
         kind = (
             F.when(tag.rlike("^(title|h[1-6])$"), "Title")
             .when(tag == "li", "ListItem")
@@ -124,6 +114,23 @@ def parse_with(parser: Callable[..., list[dict]], content: Column, **options) ->
     return F.pandas_udf(parse, ELEMENTS).asNondeterministic()(content)
 
 
+def texts_by_page(df: DataFrame, elements: Column, *keys: str) -> DataFrame:
+    """Text of each page of each document, as ``page_texts``, from an array of elements.
+
+    A document's elements stay in its row until they are joined: nothing is shuffled.
+    """
+
+    def by_page(own: Column) -> Column:
+        def joined(page: Column) -> Column:
+            here = F.filter(own, lambda e: e["page_number"].eqNullSafe(page))
+            return F.struct(page.alias("page_number"), elements_text(here).alias("text"))
+
+        return F.transform(F.array_distinct(F.transform(own, lambda e: e["page_number"])), joined)
+
+    pages = explode_once(df, let(elements, by_page), *keys, item="_p")
+    return pages.select(*keys, "_p.*")
+
+
 def page_texts(elements: DataFrame, *keys: str) -> DataFrame:
     """Text of each page of each document: its cleaned elements, one per line."""
     return ordered_concat(

@@ -11,7 +11,25 @@ from pagequarry.functions.html import (
 )
 from pagequarry.functions.text import EMPTY_QUESTION
 from pagequarry.operators.answer import DETAILS_PREFIX, NAMES_PREFIX, PAGES_PREFIX
-from pagequarry.operators.parse import ANY_TAG, BLOCK_TAG, ENTITIES, INLINE_BREAK, NOT_TEXT
+
+# Fixed values, written out again so that the SQL checks those of the operators.
+NOT_TEXT = "(?is)<script\\b.*?</script>|<style\\b.*?</style>|<!--.*?-->|<!doctype[^>]*>"
+BLOCK_TAG = (
+    "(?i)<(/?)(html|head|title|body|nav|header|footer|article|section|aside|main|div"
+    "|ul|ol|li|table|tr|td|th|blockquote|pre|p|h1|h2|h3|h4|h5|h6)\\b[^>]*>"
+)
+INLINE_BREAK = "(?i)<br\\b[^>]*>"
+ANY_TAG = "<[^>]*>"
+ENTITIES = [
+    ("&lt;", "<"),
+    ("&gt;", ">"),
+    ("&quot;", '"'),
+    ("&#39;", "'"),
+    ("&nbsp;", " "),
+    ("&copy;", "©"),
+    ("&middot;", "·"),
+    ("&amp;", "&"),
+]
 
 # The folder the queries are checked on; SQL can list files by path only.
 FOLDER = "/root/testdata/sf0.01"
@@ -322,8 +340,8 @@ FROM read_blob('{FOLDER}/*.parquet')""",
 SELECT {hash_id('url', 'chunk_ix')} AS id, url, content, 64 AS dim FROM chunks""",
     "table_preview": "SELECT * FROM documents",
     "page_image_map": """
-SELECT regexp_extract(url, 'page=(\\d+)', 1)::INTEGER AS pdf_page, url AS page_image_loc
-FROM pages WHERE regexp_matches(url, 'page=\\d+')""",
+SELECT regexp_extract(url, '/(\\d+)(/|\\.html)?([?#].*)?$', 1)::INTEGER AS pdf_page, url AS page_image_loc
+FROM pages WHERE regexp_matches(url, '/\\d+(/|\\.html)?([?#].*)?$')""",
     "chunk_ids_hash": f"""{DOCUMENT_CHUNKS}
 SELECT {hash_id('doc_id', 'chunk_ix')} AS id, doc_id, chunk_ix FROM chunks""",
     "chunk_ids_dense": f"""{DOCUMENT_CHUNKS}
@@ -344,6 +362,10 @@ SELECT doc_id, text FROM latest WHERE r = 1 AND change <> 'delete'""",
     "index_build": f"""{PAGE_CHUNKS}
 SELECT {hash_id('url', 'chunk_ix')}::VARCHAR AS id, url AS uri, content AS document, 64 AS dim
 FROM chunks""",
+    "sync_collection": """
+SELECT doc_id::VARCHAR AS id, source AS uri,
+  CASE lang WHEN 'fr' THEN 'again ' || text ELSE text END AS document
+FROM documents WHERE lang <> 'de'""",
     "collection_search": f"""{COSINE_HITS}
 SELECT qid, rank::INTEGER AS rank, url, content FROM hits WHERE rank <= 2""",
     "stream_answers": f"""{ANSWERS}
@@ -369,10 +391,17 @@ SELECT item_id, variant,
        THEN {escaped(EMPTY_QUESTION)} ELSE question END AS reply
 FROM asked""",
     "json_field": """
+WITH events AS (
+  SELECT event_id, CASE event_id % 3
+    WHEN 0 THEN replace(props, '}', ', "ready": "yes"}')
+    WHEN 1 THEN replace(props, '}', ', "error_code": 7}') ELSE props END AS props
+  FROM events)
 SELECT event_id, json_extract_string(props, '$.k')::INTEGER AS k,
   json_extract_string(props, '$.ready') AS ready, json_exists(props, '$.error_code') AS has_error
 FROM events""",
-    "limit_questions": "SELECT text AS question FROM benchmark ORDER BY item_id LIMIT 50",
+    "limit_questions": """
+(SELECT 50 AS n, text AS question FROM benchmark ORDER BY item_id LIMIT 50)
+UNION ALL (SELECT 7 AS n, text AS question FROM benchmark ORDER BY item_id LIMIT 7)""",
     "parse_elements": f"WITH {ELEMENTS} SELECT * EXCLUDE url FROM elements",
     "element_slice": f"""
 WITH {ELEMENTS} SELECT * EXCLUDE url FROM elements WHERE pos >= 7 AND pos < 12""",
@@ -418,6 +447,7 @@ SELECT doc_id, (row_number() OVER (ORDER BY doc_id) - 1) // 150 AS batch FROM do
     "topk_ip": topk(4, IP),
     "topk_blocks": topk(4, L2),
     "topk_ivf": topk(4, L2),
+    "topk_lsh": topk(4, L2),
     "retrieve_documents": f"{HITS} SELECT qid, rank::INTEGER AS rank, id, url, content FROM hits",
     "answer_sources": f"{HITS}, {SOURCES} SELECT qid, sources FROM sources",
     "source_summary": f"""{HITS}
@@ -429,9 +459,9 @@ FROM hits GROUP BY qid""",
     "answer_questions": f"{ANSWERS} SELECT qid, result FROM answers",
     "qa_batch": f"{ANSWERS} SELECT qid, question, result, sources FROM answers",
     "format_answer": f"""{ANSWERS}
-SELECT qid,
-  replace(question, chr(10), '<br/>') || {escaped(SOURCES_OPEN)} || links || {escaped(SOURCES_CLOSE)} AS html,
-  replace(question, chr(10), '<br/>') AS html_without_sources
+SELECT qid, replace(result, ' ', '<br/>')
+    || {escaped(SOURCES_OPEN)} || links || {escaped(SOURCES_CLOSE)} AS html,
+  replace(result, ' ', '<br/>') AS html_without_sources
 FROM answers""",
     "render_conversation": f"""
 SELECT conv_id, string_agg(

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagequarry.functions import text
-from pagequarry.functions.html import answer_html
+from pagequarry.functions.text import decode_text
 from pagequarry.operators import answer, changes, chat, chunk, ids, index, nearest, parse
 from pagequarry.operators.embed import embed, hashed_words
 from pagequarry.operators.explode import explode_once
@@ -59,6 +59,11 @@ def page_elements(spark: SparkSession, folder: str) -> DataFrame:
     return elements.withColumn("tag", F.col("metadata")["tag"]).drop("metadata")
 
 
+def page_texts_of(spark: SparkSession, folder: str) -> DataFrame:
+    elements = parse.html_elements(decode_text(F.col("content")))
+    return parse.texts_by_page(raw_pages(spark, folder), elements, "page_id")
+
+
 def page_text_chunks(content: Column) -> Column:
     return chunk.stride_chunks(parse.html_text(content))
 
@@ -186,7 +191,7 @@ def table_preview(spark, folder):
 
 @query
 def page_image_map(spark, folder):
-    return files.page_images(table(spark, folder, "pages"), F.col("url"), r"page=(\d+)")
+    return files.page_images(table(spark, folder, "pages"), F.col("url"), r"/(\d+)(?:/|\.html)?(?:[?#].*)?$")
 
 
 # -- tables ------------------------------------------------------------------------
@@ -259,6 +264,29 @@ def index_build(spark, folder):
     return rows.select("id", "uri", "document", F.size("embedding").alias("dim"))
 
 
+@query
+def sync_collection(spark, folder):
+    """Fill a collection twice (the same rows, once), then bring it in step with changes."""
+    name, where = fresh_name("synced"), scratch_path(spark, "synced")
+    embedder = hashed_words(8)
+    rows = documents(spark, folder).select(
+        F.col("doc_id").alias("id"), F.col("source").alias("url"), F.col("text").alias("content"),
+        "lang",
+    )
+    vector = embed(F.col("content"), embedder).alias("embedding")
+    tables.create_collection(spark, name, embedder.dim, embedder.name, path=where)
+    for _ in range(2):
+        tables.add_to_collection(rows.select("id", "url", "content", vector), name, embedder)
+    changed = rows.where("lang IN ('de', 'fr')").withColumn(
+        "change", F.when(F.col("lang") == "de", "delete").otherwise("update")
+    )
+    changed = changed.withColumn("content", F.concat(F.lit("again "), "content"))
+    tables.sync_collection(
+        changed.select("id", "change", "url", "content", vector), name, embedder
+    )
+    return spark.table(name).select("id", "uri", "document")
+
+
 @query
 def collection_search(spark, folder):
     name = page_collection(spark, folder)
@@ -341,7 +369,12 @@ def question_guard(spark, folder):
 
 @query
 def json_field(spark, folder):
-    props = F.from_json("props", "map<string,string>")
+    # Some rows get each of the keys that are looked for.
+    more = F.when(F.col("event_id") % 3 == 0, ', "ready": "yes"}').when(
+        F.col("event_id") % 3 == 1, ', "error_code": 7}'
+    )
+    filled = F.replace("props", F.lit("}"), F.coalesce(more, F.lit("}")))
+    props = F.from_json(filled, "map<string,string>")
     parsed = table(spark, folder, "events").select("event_id", props.alias("props"))
     return parsed.select(
         "event_id",
@@ -354,7 +387,11 @@ def json_field(spark, folder):
 @query
 def limit_questions(spark, folder):
     asked = table(spark, folder, "benchmark").withColumnRenamed("text", "question")
-    return answer.limit_questions(asked, "item_id")
+    limits = [
+        answer.limit_questions(asked, "item_id", n).select(F.lit(n).alias("n"), "question")
+        for n in (50, 7)
+    ]
+    return limits[0].unionByName(limits[1])
 
 
 # -- elements ----------------------------------------------------------------------
@@ -409,12 +446,12 @@ def extract_doc_text(spark, folder):
 
 @query
 def page_texts(spark, folder):
-    return parse.page_texts(page_elements(spark, folder), "page_id")
+    return page_texts_of(spark, folder)
 
 
 @query
 def load_and_split(spark, folder):
-    texts = parse.page_texts(page_elements(spark, folder), "page_id")
+    texts = page_texts_of(spark, folder)
     return chunk.explode_chunks(
         texts, chunk.recursive_chunks(F.col("text")), "page_id", "page_number"
     )
@@ -570,14 +607,13 @@ def qa_batch(spark, folder):
 
 @query
 def format_answer(spark, folder):
-    # Once with the sources found, once without any.
-    answered = all_answers(spark, folder)
-    none = F.array().cast("array<string>")
-    return answered.select(
-        "qid",
-        answer_html(F.col("question"), F.col("sources")).alias("html"),
-        answer_html(F.col("question"), none).alias("html_without_sources"),
+    # Answers with line breaks; once with the sources found, once without any.
+    answered = all_answers(spark, folder).withColumn(
+        "result", F.replace("result", F.lit(" "), F.lit("\n"))
     )
+    none = answered.withColumn("sources", F.array().cast("array<string>"))
+    bare = answer.format_answers(none).withColumnRenamed("html", "html_without_sources")
+    return answer.format_answers(answered).join(bare, "qid")
 
 
 @query

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pagequarry.scratch import materialise
+
 CHUNK_COLUMNS = "id BIGINT, url STRING, content STRING, embedding ARRAY<FLOAT>"
 COLLECTION_COLUMNS = "id STRING, embedding ARRAY<FLOAT>, uri STRING, document STRING"
 LOG_COLUMNS = (
@@ -167,8 +169,36 @@ def collection_rows(chunks: DataFrame) -> DataFrame:
 
 
 def add_to_collection(chunks: DataFrame, name: str, embedder) -> None:
+    """Add chunk rows by id: a row whose id is there already is replaced.
+
+    New ids are appended; the collection is written anew only if some id is known.
+    """
     check_embedder(chunks.sparkSession, name, embedder)
-    append_by_name(collection_rows(chunks), name)
+    _put(collection_rows(chunks).dropDuplicates(["id"]), None, name)
+
+
+def sync_collection(changes: DataFrame, name: str, embedder) -> None:
+    """Bring a collection in step with ``changes``: chunk rows with ``change``, which is
+    insert, update or delete (a delete needs the id alone)."""
+    check_embedder(changes.sparkSession, name, embedder)
+    gone = changes.where("change = 'delete'").select(F.col("id").cast("string").alias("id"))
+    upserts = collection_rows(changes.where("change <> 'delete'")).dropDuplicates(["id"])
+    _put(upserts, gone, name)
+
+
+def _put(rows: DataFrame, gone: DataFrame | None, name: str) -> None:
+    """Replace rows by id and leave out ids in ``gone``."""
+    spark = rows.sparkSession
+    spark.catalog.refreshTable(name)
+    rows = materialise(rows, "added")
+    touched = rows.select("id") if gone is None else rows.select("id").unionByName(gone).distinct()
+    old = spark.table(name)
+    if old.join(touched, "id", "left_semi").isEmpty():
+        append_by_name(rows, name)
+    else:
+        kept = materialise(old.join(touched, "id", "left_anti").unionByName(rows), "collection")
+        kept.select(old.columns).write.insertInto(name, overwrite=True)
+    spark.catalog.refreshTable(name)
 
 
 # -- inference log -----------------------------------------------------------------

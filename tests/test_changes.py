@@ -48,3 +48,12 @@ def test_latest_version_of_a_hot_key_wins(spark):
     )
     got = {r.id: r.v for r in apply_changes(base, deleted.repartition(9), "id", "version").collect()}
     assert got[0] == "v3999" and got[1] == "kept" and 4500 not in got and len(got) == 1001
+
+
+def test_microseconds_are_a_change(spark):
+    old = spark.sql("SELECT 1 AS id, struct(timestamp'2024-01-01 00:00:00.000123') AS s, timestamp_ntz'2024-01-01 00:00:00' AS t")
+    nested = spark.sql("SELECT 1 AS id, struct(timestamp'2024-01-01 00:00:00.000999') AS s, timestamp_ntz'2024-01-01 00:00:00' AS t")
+    plain = spark.sql("SELECT 1 AS id, struct(timestamp'2024-01-01 00:00:00.000123') AS s, timestamp_ntz'2024-01-01 00:00:00.000001' AS t")
+    assert snapshot_changes(old, old, "id").count() == 0
+    assert [r.change for r in snapshot_changes(old, nested, "id").collect()] == ["update"]
+    assert [r.change for r in snapshot_changes(old, plain, "id").collect()] == ["update"]

@@ -156,7 +156,7 @@ def test_cells_are_exact(spark, metric):
 
 def test_cells_learned_from_a_sample_hold_all_rows(spark):
     q, x = random_vectors(13, 10), random_vectors(14, 400)
-    cells = index.build_cells(frame(spark, x, "id"), 5, training_rows=100)
+    cells = index.build_cells(frame(spark, x, "id"), 5)
     assert cells.rows.count() == 400
     assert ranks(index.search_cells(cells, frame(spark, q, "qid"), 4, 1)) == brute_force(q, x, 4, "l2")
 
@@ -194,14 +194,25 @@ def test_cells_need_a_fit_metric(spark):
         index.build_cells(frame(spark, random_vectors(1, 9), "id"), 2, "ip")
 
 
-def test_buckets(spark):
+@pytest.mark.parametrize("metric", ["l2", "cosine"])
+@pytest.mark.parametrize("length", [None, 2.0, 50.0])
+def test_buckets_are_exact(spark, metric, length):
     q, x = random_vectors(19, 40), random_vectors(20, 400, hot=0.3)
-    exact = {(i, j) for i, _, j in brute_force(q, x, 4, "l2")}
-    found = ranks(
-        index.search_buckets(frame(spark, q, "qid"), frame(spark, x, "id"), 4, bucket_length=2.0)
+    found = index.search_buckets(
+        frame(spark, q, "qid"), frame(spark, x, "id"), 4, metric, bucket_length=length
     )
-    assert len(found) == 160
-    assert len({(i, j) for i, _, j in found} & exact) / 160 > 0.9
+    assert ranks(found) == brute_force(q, x, 4, metric)
+
+
+@pytest.mark.parametrize("metric", ["l2", "cosine", "ip"])
+def test_numbers_that_are_none_come_last(metric):
+    q = np.array([[1.0, 0.0], [np.nan, 1.0], [np.inf, 0.0]])
+    x = np.array([[np.nan, 0.0], [1.0, 0.1], [np.inf, 1.0], [0.5, 0.5]])
+    with np.errstate(invalid="ignore"):
+        who, found, dist = nearest.block_nearest(q, x, np.arange(4), 2, nearest.Distances(metric))
+    first = [i for w, i in zip(who, found, strict=True) if w == 0]
+    assert set(first) == ({1, 3} if metric != "ip" else set(first)) and len(first) == 2
+    assert {w for w in who} == {0, 1, 2}
 
 
 def test_questions_alone_in_their_buckets_are_answered_exactly(spark):

@@ -100,3 +100,25 @@ def test_render_conversations(spark):
     got = {r.conv_id: r.html for r in render_conversations(df).collect()}
     assert got[1].index("A\n") < got[1].index("B\n")
     assert got[1].count("</div>") == 2 and "#e3f6fc" in got[2]
+
+
+def test_a_turn_without_text_is_an_empty_message(spark):
+    rows = [(1, 0, "user", "a"), (1, 1, "assistant", None), (1, 2, "user", "b")]
+    df = spark.createDataFrame(rows, "conv_id int, turn int, role string, text string")
+    [row] = render_conversations(df).collect()
+    assert row.html.count("<div") == 3
+
+
+def test_texts_by_page_equals_regrouping(spark):
+    docs = spark.createDataFrame([(1, [("x .", 2), ("a", 1), ("y", 2)]), (2, [])], "id int, e array<struct<text:string,page_number:int>>")
+    elements = F.transform("e", lambda x: F.struct(F.lit("Text").alias("type"), x["text"].alias("text"), x["page_number"].alias("page_number")))
+    got = parse.texts_by_page(docs, elements, "id")
+    rows = docs.select("id", F.posexplode("e")).select("id", "pos", "col.*")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, parse.page_texts(rows, "id").collect()))
+    assert sorted(map(tuple, got.collect())) == [(1, 1, "a"), (1, 2, "x.\ny")]
+
+
+def test_control_marks_in_a_page_do_not_split_it(spark):
+    df = spark.createDataFrame([("<p>a\u0001b\u0002c</p>",)], "html string")
+    [row] = df.select(parse.html_elements(F.col("html")).alias("e")).collect()
+    assert [e.text for e in row.e] == ["abc"]

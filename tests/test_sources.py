@@ -95,3 +95,38 @@ def test_inference_log(spark, name):
     as_json = tables.log_as_json(spark.table(name)).first()
     assert as_json.request == '{"messages":[{"role":"user","content":"q\\n?"}]}'
     assert as_json.response == '{"result":"a","sources":["u"]}'
+
+
+def test_adding_again_replaces_and_sync_follows(spark, name):
+    embedder = hashed_words(4)
+    tables.create_collection(spark, name, embedder.dim, embedder.name)
+
+    def chunks(*rows):
+        return spark.createDataFrame(
+            [(i, "u", text, [0.0] * 4, change) for i, text, change in rows],
+            "id string, url string, content string, embedding array<float>, change string",
+        )
+
+    def held():
+        return {r.id: r.document for r in spark.table(name).collect()}
+
+    for _ in range(2):
+        tables.add_to_collection(chunks(("1", "a", ""), ("2", "b", "")), name, embedder)
+        assert spark.table(name).count() == 2
+    tables.add_to_collection(chunks(("2", "B", ""), ("3", "c", ""), ("3", "c", "")), name, embedder)
+    assert held() == {"1": "a", "2": "B", "3": "c"}
+    changes = chunks(("1", None, "delete"), ("3", "C", "update"), ("4", "d", "insert"))
+    tables.sync_collection(changes, name, embedder)
+    assert held() == {"2": "B", "3": "C", "4": "d"}
+
+
+def test_wide_ids_fit_the_chunk_table(spark, name):
+    from pagequarry.operators.ids import wide_id
+
+    tables.create_chunk_table(spark, name, id_type="STRING")
+    rows = spark.range(3).select(
+        wide_id(F.col("id")).alias("id"), F.lit("u").alias("url"), F.lit("c").alias("content"),
+        F.array(F.lit(0.0)).cast("array<float>").alias("embedding"),
+    )
+    tables.append_by_name(rows, name)
+    assert {len(r.id) for r in spark.table(name).collect()} == {32}

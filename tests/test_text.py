@@ -87,3 +87,23 @@ def test_answer_html(spark):
 
 def test_current_user_and_first_row(spark):
     assert spark.sql("select current_user()").first()[0]
+
+
+def test_malformed_bytes_do_not_end_a_job(spark):
+    rows = [(1, "grün".encode()), (2, "grün".encode("latin-1")), (3, None)]
+    df = spark.createDataFrame(rows, "id int, content binary")
+    got = {r.id: r.t for r in df.select("id", text.decode_text(F.col("content")).alias("t")).collect()}
+    assert got == {1: "grün", 2: "gr�n", 3: None}
+
+
+def test_character_references(spark):
+    cases = {
+        "&lt;a&gt; &amp;amp; &#160;&#x27;&mdash;&eacute;&#128512;&#X41;": "<a> &amp;  '—é\U0001f600A",
+        "no reference & none": "no reference & none",
+        "&nosuch; &#0; &#xD800; &#99999999;": "&nosuch; � � �",
+        "": "",
+        "&amp;": "&",
+    }
+    df = spark.createDataFrame([(c,) for c in cases], "t string")
+    got = {r.t: r.u for r in df.select("t", text.unescape(F.col("t")).alias("u")).collect()}
+    assert got == cases
