@@ -130,12 +130,13 @@ def neighbours(docs: DataFrame) -> DataFrame:
 
 def fingerprints(docs: DataFrame, words: DataFrame | None = None) -> DataFrame:
     """Each row of (doc_id, text) with its fingerprint, that of its edited text and the next
-    document's: (doc_id, body, edited, print, edited_print, next_print, next_body_md5).
+    document's: (doc_id, body, edited, print, edited_print, next_id, next_print, next_body_md5).
 
     The edit replaces the last third of a text by the beginning of the next document. That
     document's row sends as much of its text as is needed, and its fingerprint, to the row
-    before it, so texts are shuffled once. The lexicon reaches the expressions as one
-    value of bounded size.
+    before it. Both sides of that join begin with one exchange, which Spark writes once
+    as both use the same columns. The lexicon reaches the expressions as one value of
+    bounded size.
     """
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("body"))
     number = F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))
@@ -150,7 +151,6 @@ def fingerprints(docs: DataFrame, words: DataFrame | None = None) -> DataFrame:
         .selectExpr("doc_id", "body", "key", f"{in_lexicon('body', 'shards')} AS hashes")
         .selectExpr("doc_id", "body", "key", f"{fingerprint('hashes')} AS print")
     )
-    own = printed.join(links, "key")
     before = links.select(
         F.col("next_key").alias("key"),
         F.col("key").alias("to_key"),
@@ -160,15 +160,17 @@ def fingerprints(docs: DataFrame, words: DataFrame | None = None) -> DataFrame:
         printed.join(before, "key")
         .select(
             F.col("to_key").alias("key"),
+            F.col("doc_id").alias("next_id"),
             F.expr("substring(body, 1, head_size)").alias("head"),
             F.col("print").alias("next_print"),
             F.md5("body").alias("next_body_md5"),
         )
         .dropDuplicates(["key"])
     )
-    met = own.join(sent, "key")
-    edited = "concat(substring(body, 1, length(body) - need), head)"
-    kept = ["doc_id", "body", "print", "next_print", "next_body_md5"]
+    met = printed.join(sent, "key")
+    need = "cast(floor(length(body) / 3) AS int)"
+    edited = f"concat(substring(body, 1, length(body) - {need}), head)"
+    kept = ["doc_id", "body", "print", "next_id", "next_print", "next_body_md5"]
     return (
         met.withColumn("shards", shards.scalar())
         .selectExpr(*kept, f"{edited} AS edited", f"{in_lexicon(edited, 'shards')} AS hashes")

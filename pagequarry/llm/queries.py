@@ -72,6 +72,7 @@ def op5_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr(imatch.as_text("edited_print")).alias("edited_fingerprint"),
         near("edited_print", "body = edited").alias("near_edited"),
         near("next_print", "md5(body) = next_body_md5").alias("near_next"),
+        F.col("next_id").alias("next_doc_id"),
     )
 
 
