@@ -41,6 +41,7 @@ CANDIDATES = 600
 SENTENCES = 3  # the worst of a training document, in each round
 ROUNDS = 4
 REMEMBERED = 300_000
+CHOICES = 400_000  # subsequences that are looked at together
 SENTENCE_END = re.compile(r"[.!?\n]+(?:\s|$)|\n")
 
 
@@ -101,7 +102,7 @@ def by_length(words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.nda
             continue
         places, weight = triples(int(size))
         which = np.flatnonzero(sizes == size)
-        step = max(1, 2_000_000 // len(places))
+        step = max(1, CHOICES // len(places))
         for i in range(0, len(which), step):
             part = which[i : i + step]
             letters = np.array([codes(words[k]) for k in part], np.int32)
@@ -123,8 +124,8 @@ def kernel(words: list[str], landmarks: list[str]) -> np.ndarray:
         row = rows[code]
         word, at = np.nonzero(row)
         part = np.zeros((len(which), len(landmarks)), np.float32)
-        for i in range(0, len(word), 200_000):
-            w, a = word[i : i + 200_000], at[i : i + 200_000]
+        for i in range(0, len(word), CHOICES // 10):
+            w, a = word[i : i + CHOICES // 10], at[i : i + CHOICES // 10]
             np.add.at(part, w, short[row[w, a]] * weight[a][:, None])
         out[which] = part
     return out
@@ -162,13 +163,18 @@ def constant(share: float) -> Model:
 
 def _squared_hinge(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float) -> np.ndarray:
     """Linear support vector machine with squared loss, by Newton steps."""
-    x = np.hstack([x, np.ones((len(x), 1))])
-    w = np.zeros(x.shape[1])
-    keep = np.diag([ridge] * (x.shape[1] - 1) + [1e-6])
+    size = x.shape[1]
+    w = np.zeros(size + 1)
+    keep = np.diag([ridge] * size + [1e-6])
     for _ in range(40):
-        inside = y * (x @ w) < 1
-        xi = x[inside] * weight[inside, None]
-        step = np.linalg.solve(xi.T @ x[inside] + keep, xi.T @ y[inside])
+        inside = np.flatnonzero(y * (x @ w[:-1] + w[-1]) < 1)
+        square, side = keep.copy(), np.zeros(size + 1)
+        for i in range(0, len(inside), 10_000):
+            part = inside[i : i + 10_000]
+            rows = np.hstack([x[part], np.ones((len(part), 1))])
+            square += (rows * weight[part, None]).T @ rows
+            side += rows.T @ (weight[part] * y[part])
+        step = np.linalg.solve(square, side)
         if np.abs(step - w).max() < 1e-6:
             break
         w = step
@@ -246,7 +252,7 @@ class Machine:
         label = np.array([self.label[d] for d in docs])
         distinct, place = np.unique(np.array(words, dtype=object), return_inverse=True)
         near = kernel(list(distinct), self.landmarks)
-        x = (near @ self.root)[place]
+        x = (near @ self.root.astype(np.float32))[place]
         worst = near[place][:, : max(1, len(self.landmarks) - CLEAN_LANDMARKS)].max(axis=1)
         toxic = label[doc] == 1
         for _ in range(4):
