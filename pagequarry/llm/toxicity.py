@@ -3,9 +3,11 @@
 The kernel of two strings sums over their common subsequences of three letters, each
 weighted by how far it is stretched in either string, so an insult with letters put in, or
 with another ending, stays close to itself. Strings are the words of a sentence (single
-letters in a row are put together first). A sentence is as toxic as its worst word, a
-document as its worst sentence: a multiple-instance machine, trained on sentences of
-labelled documents, picks the word that counts in each and is fitted again.
+letters in a row are put together first). A sentence is as toxic as its worst word: a
+multiple-instance machine, trained on sentences of labelled documents, picks the word
+that counts in each and is fitted again. The decisions for the worst three words of a
+document, and how many different words it has, give its probability: one clear insult is
+enough, a word that only looks like one is not.
 
 For a fixed model the decision is linear in the subsequences of a word, so the landmarks
 fold into one weight per subsequence: a broadcast table of fixed size.
@@ -23,6 +25,7 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from heapq import nlargest
 from itertools import combinations
 
 import numpy as np
@@ -32,14 +35,16 @@ from pyspark.sql import functions as F
 
 from pagequarry.scratch import materialise
 
+REACH = 8  # letters from the first to the last of a subsequence, at most
 STRETCH = 0.5  # the weight of one more letter between the ends of a subsequence
 LETTERS = 64
 LONGEST = 24  # longer words are seen through overlapping windows of this size
 MOST_LABELLED = 4000  # documents of each class that the machine is fitted on, at most
-LANDMARKS, CLEAN_LANDMARKS = 48, 16
+LANDMARKS, CLEAN_LANDMARKS, HARD_LANDMARKS = 48, 16, 32
 CANDIDATES = 600
 SENTENCES = 3  # the worst of a training document, in each round
 ROUNDS = 4
+WORST = 3  # words of a document that its probability rests on
 REMEMBERED = 300_000
 CHOICES = 400_000  # subsequences that are looked at together
 SENTENCE_END = re.compile(r"[.!?\n]+(?:\s|$)|\n")
@@ -56,9 +61,12 @@ def units(text: str) -> list[str]:
     return tokens + ["".join(tokens[a:b]) for a, b in runs]
 
 
+BEGIN, END = "\x02", "\x03"
+
+
 def spell(word: str) -> list[str]:
-    """Letters and digits of a word, in windows if it is long."""
-    word = "".join(filter(str.isalnum, word))
+    """Letters and digits of a word between marks of its ends, in windows if it is long."""
+    word = BEGIN + "".join(filter(str.isalnum, word)) + END
     if len(word) <= LONGEST:
         return [word]
     return [word[i : i + LONGEST] for i in range(0, len(word) - LONGEST // 2, LONGEST // 2)]
@@ -69,7 +77,9 @@ def _code(char: str) -> int:
         return ord(char) - 96
     if "0" <= char <= "9":
         return ord(char) - 21
-    return 37 + ord(char) % 27
+    if char in (BEGIN, END):
+        return 0 if char == BEGIN else 63
+    return 37 + ord(char) % 26
 
 
 _CODES: dict[str, int] = {}
@@ -87,9 +97,10 @@ def codes(word: str) -> list[int]:
 
 @lru_cache(maxsize=LONGEST + 1)
 def triples(size: int) -> tuple[np.ndarray, np.ndarray]:
-    """All choices of three places in a string, and their weights, which depend on its length
-    alone and have norm 1."""
+    """All choices of three places of a string within ``REACH``, and their weights, which
+    depend on its length alone and have norm 1."""
     places = np.array(list(combinations(range(size), 3)), np.int32).reshape(-1, 3)
+    places = places[places[:, 2] - places[:, 0] < REACH]
     weight = STRETCH ** (places[:, 2] - places[:, 0] + 1).astype(np.float32)
     return places, (weight / max(np.sqrt((weight**2).sum()), 1e-9)).astype(np.float32)
 
@@ -133,11 +144,11 @@ def kernel(words: list[str], landmarks: list[str]) -> np.ndarray:
 
 @dataclass
 class Model:
-    """Weights of subsequences, and the line from a decision to a probability."""
+    """Weights of subsequences, and those of the worst words for a probability."""
 
     table: np.ndarray
     bias: float
-    slope: float
+    slopes: np.ndarray  # of the worst decisions and the logarithm of the number of words
     offset: float
 
     def decisions(self, words: list[str]) -> np.ndarray:
@@ -145,20 +156,30 @@ class Model:
         spelled = [spell(w) for w in words]
         owner = np.repeat(np.arange(len(words)), [len(s) for s in spelled])
         windows = [w for s in spelled for w in s]
-        value = np.full(len(windows), self.bias, np.float32)
-        for which, code, weight in by_length(windows):
-            value[which] += self.table[code] @ weight
+        value = _of_spelled(self, windows)
         worst = np.full(len(words), -np.inf, np.float32)
         np.maximum.at(worst, owner, value)
         return worst
 
-    def probability(self, decision: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.slope * decision + self.offset, -50, 50)))
+    def probability(self, seen: np.ndarray) -> np.ndarray:
+        """Of documents, by their rows of ``evidence``."""
+        return 1 / (1 + np.exp(-np.clip(seen @ self.slopes + self.offset, -50, 50)))
+
+
+def evidence(decisions: list[list[float]], words: list[int], bias: float) -> np.ndarray:
+    """A row for each document: its worst decisions, and the logarithm of its words."""
+    rows = np.full((len(decisions), WORST + 1), bias)
+    for row, own in zip(rows, decisions, strict=True):
+        worst = nlargest(WORST, own)
+        row[: len(worst)] = worst
+    rows[:, WORST] = np.log1p(words)
+    return rows
 
 
 def constant(share: float) -> Model:
     share = min(max(share, 0.0), 0.49) or 1e-12
-    return Model(np.zeros(LETTERS**3, np.float32), 0.0, 0.0, float(np.log(share / (1 - share))))
+    none = np.zeros(WORST + 1)
+    return Model(np.zeros(LETTERS**3, np.float32), 0.0, none, float(np.log(share / (1 - share))))
 
 
 def _squared_hinge(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float) -> np.ndarray:
@@ -181,15 +202,16 @@ def _squared_hinge(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: floa
     return w
 
 
-def _line(decision: np.ndarray, label: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
-    """Logistic regression on one number, with a small ridge against a perfect split."""
-    x = np.stack([decision, np.ones(len(decision))], 1).astype(float)
-    w = np.zeros(2)
+def _logistic(x: np.ndarray, label: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Logistic regression with a small ridge against a perfect split; the offset is last."""
+    x = np.hstack([x, np.ones((len(x), 1))])
+    ridge = np.append(np.full(x.shape[1] - 1, 0.05), 1e-6)
+    w = np.zeros(x.shape[1])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -50, 50)))
-        curve = (x * (weight * p * (1 - p))[:, None]).T @ x + np.diag([0.05, 1e-6])
-        w = w + np.linalg.solve(curve, x.T @ (weight * (label - p)) - np.array([0.05, 1e-6]) * w)
-    return float(w[0]), float(w[1])
+        curve = (x * (weight * p * (1 - p))[:, None]).T @ x + np.diag(ridge)
+        w = w + np.linalg.solve(curve, x.T @ (weight * (label - p)) - ridge * w)
+    return w
 
 
 def choose_landmarks(
@@ -231,18 +253,32 @@ class Machine:
     """What is learned: landmarks, and the words of training sentences seen so far."""
 
     def __init__(self, landmarks: list[str], clean_weight: float):
-        self.landmarks, self.clean_weight = landmarks, clean_weight
+        self.clean_weight = clean_weight
+        self.words: dict[int, set[str]] = {}
+        self.label: dict[int, int] = {}
+        self.size: dict[int, int] = {}
+        self.toxic_landmarks = max(1, len(landmarks) - CLEAN_LANDMARKS)
+        self._stand_on(landmarks)
+
+    def _stand_on(self, landmarks: list[str]) -> None:
+        self.landmarks = landmarks
         own = kernel(landmarks, landmarks).astype(float)
         value, vector = np.linalg.eigh((own + own.T) / 2)
         scale = np.where(value > 1e-3, 1 / np.sqrt(np.maximum(value, 1e-3)), 0)
         self.root = (vector * scale) @ vector.T
-        self.words: dict[int, set[str]] = {}
-        self.label: dict[int, int] = {}
 
-    def see(self, bags: list[tuple[int, int, list[str]]]) -> None:
-        """More words of (document, label, words)."""
-        for doc, label, words in bags:
-            self.label[doc] = label
+    def learn_mistakes(self, model: Model) -> None:
+        """Add the words of clean documents that look most toxic as landmarks."""
+        words = sorted({w for d, own in self.words.items() if not self.label[d] for w in own})
+        value = _of_spelled(model, words)
+        hard = [words[k] for k in np.argsort(-value, kind="stable")[:CANDIDATES]]
+        known = set(self.landmarks)
+        self._stand_on(self.landmarks + _apart([w for w in hard if w not in known], HARD_LANDMARKS))
+
+    def see(self, bags: list[tuple[int, int, int, list[str]]]) -> None:
+        """More words of (document, label, number of its words, words)."""
+        for doc, label, size, words in bags:
+            self.label[doc], self.size[doc] = label, size
             self.words.setdefault(doc, set()).update(words)
 
     def fit(self) -> Model:
@@ -253,7 +289,7 @@ class Machine:
         distinct, place = np.unique(np.array(words, dtype=object), return_inverse=True)
         near = kernel(list(distinct), self.landmarks)
         x = (near @ self.root.astype(np.float32))[place]
-        worst = near[place][:, : max(1, len(self.landmarks) - CLEAN_LANDMARKS)].max(axis=1)
+        worst = near[place][:, : self.toxic_landmarks].max(axis=1)
         toxic = label[doc] == 1
         for _ in range(4):
             # Of a toxic document the worst sentence counts, of a clean one all do.
@@ -264,19 +300,27 @@ class Machine:
             balance = np.where(y > 0, 1 / max((y > 0).sum(), 1), 1 / max((y < 0).sum(), 1))
             w = _squared_hinge(x[chosen], y, balance * len(y), 0.5)
             worst = x @ w[:-1] + w[-1]
-        best = np.full(len(docs), w[-1])
-        np.maximum.at(best, doc, worst)
-        slope, offset = _line(best, label, np.where(label == 1, 1.0, self.clean_weight))
+        ends = np.cumsum([len(self.words[d]) for d in docs])
+        decisions = [list(part) for part in np.split(worst, ends[:-1])]
+        seen = evidence(decisions, [self.size[d] for d in docs], w[-1])
+        line = _logistic(seen, label, np.where(label == 1, 1.0, self.clean_weight))
         table = np.zeros(LETTERS**3, np.float64)
         for which, code, weight in by_length(self.landmarks):
             for k, row in zip(which, code, strict=True):
                 np.add.at(table, row, weight * (self.root @ w[:-1])[k])
-        return Model(table.astype(np.float32), float(w[-1]), max(slope, 0.0), offset)
+        return Model(table.astype(np.float32), float(w[-1]), line[:-1], float(line[-1]))
+
+
+def _of_spelled(model: Model, windows: list[str]) -> np.ndarray:
+    value = np.full(len(windows), model.bias, np.float32)
+    for which, code, weight in by_length(windows):
+        value[which] += model.table[code] @ weight
+    return value
 
 
 def _strings(word: str) -> set[str]:
     """What may become a landmark: a word and its beginnings."""
-    return {w[:k] for w in spell(word) for k in (4, 5, 6, 7, LONGEST) if len(w) >= 4}
+    return {w[:k] for w in spell(word) for k in (5, 6, 7, 8, LONGEST) if len(w) >= 6}
 
 
 def _count_strings(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -346,18 +390,21 @@ def train(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> Mode
 
     machine = Machine(landmarks, (size[0] / clean) / (size[1] / toxic))
     model = None
-    for _ in range(ROUNDS):
+    for turn in range(ROUNDS):
+        if turn == ROUNDS // 2:
+            machine.learn_mistakes(model)
         found = chosen.mapInArrow(
-            _worst_sentences(landmarks, model), "doc long, toxic int, words array<string>"
+            _worst_sentences(landmarks, model), "doc long, toxic int, size long, words array<string>"
         ).collect()
-        machine.see([(r.doc, r.toxic, [v for w in r.words for v in spell(w)]) for r in found])
+        machine.see([(r.doc, r.toxic, r["size"], [v for w in r.words for v in spell(w)]) for r in found])
         model = machine.fit()
     return model
 
 
 def _worst_sentences(landmarks: list[str], model: Model | None):
-    """A job that picks the worst word of the worst sentences of each training document: by
-    the kernel with the landmarks at first, then by the decision of the model so far."""
+    """A job that picks the worst words of each training document, and the worst word of its
+    worst sentences: by the kernel with the landmarks at first, then by the decision of the
+    model so far."""
 
     def values(words: list[str]) -> dict[str, float]:
         if model:
@@ -379,11 +426,20 @@ def _worst_sentences(landmarks: list[str], model: Model | None):
                     for t in rows["text"]
                 ]
                 value = values(sorted({w for doc in split for s in doc for w in s}))
-                worst = [{max((value[w], w) for w in s) for s in doc} for doc in split]
-                words = [[w for _, w in sorted(d, reverse=True)[:SENTENCES]] for d in worst]
+                distinct = [{w for s in doc for w in s} for doc in split]
+                words = []
+                for doc, own in zip(split, distinct, strict=True):
+                    of_sentences = nlargest(SENTENCES, {max((value[w], w) for w in s) for s in doc})
+                    worst = nlargest(WORST, ((value[w], w) for w in own))
+                    words.append(sorted({w for _, w in of_sentences + worst}))
                 yield pa.RecordBatch.from_arrays(
-                    [rows["doc"], rows["toxic"], pa.array(words, pa.list_(pa.string()))],
-                    names=["doc", "toxic", "words"],
+                    [
+                        rows["doc"],
+                        rows["toxic"],
+                        pa.array([len(own) for own in distinct], pa.int64()),
+                        pa.array(words, pa.list_(pa.string())),
+                    ],
+                    names=["doc", "toxic", "size", "words"],
                 )
 
     return run
@@ -405,9 +461,8 @@ class Scorer:
         new = [w for w in new if w not in again]
         self.known.update(again)
         self.known.update(zip(new, self.model.decisions(new).tolist(), strict=True))
-        nothing = self.model.bias
-        worst = [max(map(self.known.__getitem__, w), default=nothing) for w in words]
-        return self.model.probability(np.array(worst, float))
+        found = [list(map(self.known.__getitem__, w)) for w in words]
+        return self.model.probability(evidence(found, [len(w) for w in words], self.model.bias))
 
 
 _SCORERS: dict[int, Scorer] = {}
