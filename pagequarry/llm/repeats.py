@@ -329,6 +329,9 @@ def shared_windows(
     The suffix array of all pieces, with a mark between them, has equal windows side by
     side; neighbours are compared byte by byte.
     """
+    none = np.empty(0, np.int64)
+    if not pieces:
+        return none, none
     sizes = np.array([len(p) for p in pieces])
     text = np.frombuffer(b"\0".join(pieces) + b"\0", np.uint8).astype(np.int64) + 2
     ends = np.cumsum(sizes + 1) - 1
@@ -339,7 +342,7 @@ def shared_windows(
     whole = ends[piece] - order >= WINDOW
     order, piece = order[whole], piece[whole]
     if len(order) < 2:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
+        return none, none
     views = np.lib.stride_tricks.sliding_window_view(text, WINDOW)
     equal = np.zeros(len(order), bool)
     for i in range(1, len(order), 20_000):

@@ -295,6 +295,14 @@ def test_long_texts_are_read_in_parts(monkeypatch):
     assert runs() == whole
 
 
+def test_pieces_that_share_no_window():
+    for pieces in ([], [b"x" * 99], [b"a" * 120, b"b" * 120]):
+        at = np.zeros(len(pieces), np.int64)
+        piece, window = repeats.shared_windows(pieces, np.arange(len(pieces)), at)
+        # Of a run of one letter every window but the first starts earlier too.
+        assert len(piece) == len(window) == sum(max(len(p) - 100, 0) for p in pieces)
+
+
 def test_repeats_of_odd_rows(spark, odd, none):
     rows = [(r.doc_id, r.n_bytes, r.n_removed) for r in remove_repeats(odd).collect()]
     assert sorted(rows, key=str) == sorted(
