@@ -123,13 +123,15 @@ def by_length(words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.nda
 
 def kernel(words: list[str], landmarks: list[str]) -> np.ndarray:
     """The subsequence kernel of every word with every landmark."""
-    table = np.zeros((LETTERS**3, len(landmarks)), np.float32)
-    for which, code, weight in by_length(landmarks):
+    own = list(by_length(landmarks))
+    used = np.unique(np.concatenate([code.ravel() for _, code, _ in own] or [np.empty(0, int)]))
+    rows = np.zeros(LETTERS**3, np.int32)
+    rows[used] = np.arange(1, len(used) + 1)
+    # Row 0 is for the subsequences that no landmark has.
+    short = np.zeros((len(used) + 1, len(landmarks)), np.float32)
+    for which, code, weight in own:
         for k, row in zip(which, code, strict=True):
-            np.add.at(table[:, k], row, weight)
-    used = np.concatenate([[False], table.any(axis=1)])
-    rows = np.cumsum(used[1:]) * used[1:]
-    short = np.concatenate([np.zeros((1, len(landmarks)), np.float32), table[used[1:]]])
+            np.add.at(short[:, k], rows[row], weight)
     out = np.zeros((len(words), len(landmarks)), np.float32)
     for which, code, weight in by_length(words):
         row = rows[code]
