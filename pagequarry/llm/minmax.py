@@ -11,8 +11,9 @@ document with the fewest shingles of its own (that no other candidate has) is co
 with the others first: in a group of edited copies it is the least edited, and near to
 most. Linked documents are then one component, and only documents of different components
 are compared further, with more hubs in each round, until every bucket is through. A pair
-is left out only if its sizes and the shingles that either has alone rule it out. So a
-bucket of near copies costs about a comparison a document.
+is left out only if its sizes, the shingles that either has alone, and what both share
+with the first hub rule it out: they can share no more of the hub than the one that
+shares less of it. So a bucket of near copies costs about a comparison a document.
 
 Defined cases: a null text, or one without words, has no shingles and is linked with
 nothing. Fewer than five words are one shingle. A row without an id joins the class of
@@ -152,19 +153,16 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, f"doc_id {kind}, shingles array<long>")
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Of (a, b), a the hub: those whose full sets are similar enough."""
+def _measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b, shared, linked) of (a, b), a the hub: the full sets compared."""
     left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("set_a"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("set_b"))
-    shared = F.size(F.array_intersect("set_a", "set_b"))
     union = F.size("set_a") + F.size("set_b") - F.col("shared")
     return (
         pairs.join(right, "b")
         .join(left, "a")
-        .withColumn("shared", shared)
-        .where(100 * F.col("shared") >= SIMILAR * union)
-        .select("a", "b")
-        .distinct()
+        .withColumn("shared", F.size(F.array_intersect("set_a", "set_b")))
+        .select("a", "b", "shared", (100 * F.col("shared") >= SIMILAR * union).alias("linked"))
     )
 
 
@@ -189,7 +187,8 @@ def _buckets(signed: DataFrame, classes: DataFrame) -> DataFrame:
 
 def _ranked(member: DataFrame, sets: DataFrame) -> DataFrame:
     """``member`` with ``may``, the most shingles that a document may share with any other
-    candidate, and its rank in the bucket: those with few shingles of their own first."""
+    candidate, and its rank in the bucket: those with few shingles of their own first.
+    ``single`` tells whether the id stands for one set."""
     alone = (
         sets.select(F.col("doc_id").alias("id"), F.explode("shingles").alias("s"))
         .groupBy("s")
@@ -199,20 +198,42 @@ def _ranked(member: DataFrame, sets: DataFrame) -> DataFrame:
         .agg(F.count("*").alias("own"))
     )
     # An id with several rows may stand for several sets: nothing is known to be its own.
-    several = sets.groupBy("doc_id").count().where("count > 1")
-    alone = alone.join(several.select(F.col("doc_id").alias("id")), "id", "left_anti")
-    own = F.coalesce("own", F.lit(0))
+    sizes = sets.groupBy(F.col("doc_id").alias("id")).agg((F.count("*") == 1).alias("single"))
+    own = F.when(F.col("single"), F.coalesce("own", F.lit(0))).otherwise(0)
     within = Window.partitionBy("key").orderBy(own, "id", "n")
     return (
         member.join(alone, "id", "left")
+        .join(sizes, "id")
         .withColumn("rank", F.row_number().over(within))
-        .select("key", "id", "n", (F.col("n") - own).alias("may"), "rank")
+        .select("key", "id", "n", (F.col("n") - own).alias("may"), "rank", "single")
+    )
+
+
+def _with_hub(rows: DataFrame, measured: DataFrame) -> DataFrame:
+    """``rows`` with ``core``: how much each shares with the first hub of its bucket, null if
+    it was not compared with it."""
+    hub = rows.where("rank = 1").select("key", F.col("id").alias("a"), F.col("single").alias("one"))
+    shared = measured.select("a", F.col("b").alias("id"), "shared").dropDuplicates(["a", "id"])
+    core = F.when(F.col("rank") == 1, F.col("n")).otherwise(F.col("shared"))
+    return (
+        rows.join(hub, "key")
+        .join(shared, ["a", "id"], "left")
+        .withColumn("core", F.when(F.col("single") & F.col("one"), core))
+        .select(*rows.columns, "core")
     )
 
 
 def _possible() -> Column:
-    """Whether two documents may be similar enough: by what they can share at most."""
+    """Whether two documents may be similar enough: by what they can share at most.
+
+    Of the first hub that is the lesser of their shares of it, and outside of it the lesser
+    of what others may have as well.
+    """
     shared = F.least("may", "hub_may")
+    outside = F.least(F.col("may") - F.col("core"), F.col("hub_may") - F.col("hub_core"))
+    shared = F.least(shared, F.least("core", "hub_core") + outside)
+    by_hub = F.col("core").isNotNull() & F.col("hub_core").isNotNull()
+    shared = F.when(by_hub, shared).otherwise(F.least("may", "hub_may"))
     return 100 * shared >= SIMILAR * (F.col("n") + F.col("hub_n") - shared)
 
 
@@ -229,6 +250,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         shingle_sets(docs.select("doc_id", "text").join(ids, "doc_id", "left_semi")), "sets"
     )
     rows = materialise(_ranked(member, sets), "ranked")
+    rows = rows.withColumn("core", F.lit(None).cast("long"))
     labelled = rows.withColumn("label", F.col("id"))
     links, tested, roots = None, None, None
     low, high = 1, 2
@@ -246,6 +268,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             F.col("id").alias("a"),
             F.col("n").alias("hub_n"),
             F.col("may").alias("hub_may"),
+            F.col("core").alias("hub_core"),
             F.col("rank").alias("hub_rank"),
             F.col("label").alias("hub_label"),
         )
@@ -260,15 +283,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = materialise(pairs, "pairs")
         if not pairs.isEmpty():
-            found = materialise(_confirmed(pairs, sets), "links")
+            measured = materialise(_measured(pairs, sets), "measured")
+            found = measured.where("linked").select("a", "b").distinct()
+            if low == 1:
+                rows = materialise(_with_hub(rows.drop("core"), measured), "ranked")
             links = found if links is None else links.unionByName(found)
             tested = pairs if tested is None else tested.unionByName(pairs)
             if not found.isEmpty():
                 roots = materialise(components(links), "components")
                 labelled = materialise(
-                    rows.join(roots, "id", "left").select(
-                        "key", "id", "n", "may", "rank", F.coalesce("root", "id").alias("label")
-                    ),
+                    rows.join(roots, "id", "left").withColumn("label", F.coalesce("root", "id")),
                     "labelled",
                 )
         low, high = high, high * GROWTH
