@@ -66,9 +66,9 @@ class Encoder:
             self.tokens[rank] = token
         self.split = regex.compile(pattern)
         self.packed = {t: r.to_bytes(4, "little") for t, r in ranks.items()}
-        self.seams = Memory(lambda pair: self.short(pair[0] + pair[1]), 100_000)
-        self.leaves = Memory(self.merge, 60_000)
-        self.pieces = Memory(self.piece, 300_000)
+        self.seams = Memory(lambda pair: self.short(pair[0] + pair[1]), 40_000)
+        self.leaves = Memory(self.merge, 30_000)
+        self.pieces = Memory(self.piece, 100_000)
 
     def piece(self, piece: str) -> bytes:
         """Packed ids of one match of the pattern: of the token it is, or of its encoding."""

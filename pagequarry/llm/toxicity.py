@@ -45,7 +45,7 @@ CANDIDATES = 600
 SENTENCES = 3  # the worst of a training document, in each round
 ROUNDS = 4
 WORST = 3  # words of a document that its probability rests on
-REMEMBERED = 300_000
+REMEMBERED = 100_000
 CHOICES = 400_000  # subsequences that are looked at together
 SENTENCE_END = re.compile(r"[.!?\n]+(?:\s|$)|\n")
 
