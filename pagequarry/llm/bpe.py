@@ -70,6 +70,11 @@ class Encoder:
         self.leaves = Memory(self.merge, 30_000)
         self.pieces = Memory(self.piece, 100_000)
 
+    def forget(self) -> None:
+        for memory in (self.seams, self.leaves, self.pieces):
+            memory.clear()
+            memory.old = {}
+
     def piece(self, piece: str) -> bytes:
         """Packed ids of one match of the pattern: of the token it is, or of its encoding."""
         raw = piece.encode()
@@ -216,6 +221,7 @@ def encode(docs: DataFrame, ranks, pattern: str) -> DataFrame:
             texts = batch.column("text").cast(pa.binary())
             ids = [encoder.encode((t.as_py() or b"").decode("utf-8", "replace")) for t in texts]
             yield _replace(batch, "text", pa.array(ids, pa.binary()), "ids")
+        encoder.forget()  # an idle worker keeps what it holds
 
     docs = docs.select("doc_id", "text")
     kind = docs.schema["doc_id"].dataType.simpleString()

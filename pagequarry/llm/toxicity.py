@@ -326,7 +326,7 @@ def _strings(word: str) -> set[str]:
 
 
 def _count_strings(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in parts:
+    for batch in (b.slice(i, 200) for b in parts for i in range(0, b.num_rows, 200)):
         counts = {0: Counter(), 1: Counter()}
         for text, label in zip(batch["text"], batch["toxic"].to_pylist(), strict=True):
             found = set()
