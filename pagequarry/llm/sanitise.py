@@ -1,14 +1,16 @@
 """Personal data and the words that give it away, found with built-in expressions only.
 
 Fixed kinds (email, ip, card, phone) are found by patterns. Then an estimate from the
-corpus tells how strongly a word discloses such an entity: the words around each
-occurrence are its contexts, and a word whose pointwise mutual information with the entity
-comes close to the entity's own information content (``share`` of it) is a disclosure, if
-at least ``support`` documents show the two together. Disclosing words are further spans;
-in sanitised text entities become their kind and disclosing words a mark.
+corpus tells how strongly a word discloses such an entity: the document is the context, and
+a word whose pointwise mutual information with a target comes close to the target's own
+information content (``share`` of it) is a disclosure, if at least ``support`` documents
+show the two together. The targets of an entity are its value and what recurs where values
+do not: its kind, and its domain or block of numbers. Disclosing words are further spans in
+every document, with an entity or without; in sanitised text entities become their kind and
+disclosing words a mark.
 
 Defined cases: a null or empty text has no spans. Repeated rows each get their row and
-count as documents. Other columns may have any name. All positions are code points, the
+count as documents. Words inside entities are not counted. Other columns may have any name. All positions are code points, the
 end exclusive.
 """
 
@@ -21,7 +23,8 @@ from pagequarry.scratch import materialise
 
 SUPPORT = 3
 SHARE = 0.8
-CONTEXT = 60  # code points on either side of an entity
+BITS = 1 << 16  # numbers of 64 bits in a filter of hashes
+PARTS = 64  # that a target is copied to, as frequent ones meet many words
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
 
@@ -84,17 +87,53 @@ def entities(text: str, kind: str) -> str:
     return f"if({maybe}, {found}, {EMPTY})"
 
 
-def _near(side: str) -> str:
-    """SQL for the words beside entity x, those cut off by the edge left out."""
-    if side == "left":
-        begin, size = f"greatest(x.s - {CONTEXT}, 0)", f"least(x.s, {CONTEXT})"
-        whole = f"(w.s > 0 OR x.s <= {CONTEXT})"
-    else:
-        begin, size = "x.e", f"{CONTEXT}"
-        whole = f"(w.e < {CONTEXT} OR x.e + {CONTEXT} >= length(body))"
-    words = matches(f"substring(body, {begin} + 1, {size})", WORD)
-    return f"""transform(filter({words}, w -> {whole}),
-        w -> struct(x.v AS entity, lower(w.v) AS word, {begin} + w.s AS s, {begin} + w.e AS e))"""
+def _outside(text: str) -> str:
+    """SQL for ``text`` with entities blanked; all else keeps its place."""
+    spans = "array_sort(transform(found, x -> struct(x.s AS s, x.e AS e)))"
+    return f"""if(size(found) = 0, {text}, aggregate({spans},
+        struct(0 AS at, cast(array() AS array<string>) AS out),
+        (acc, x) -> struct(greatest(acc.at, x.e) AS at, concat(acc.out, array(
+          if(x.s > acc.at, substring({text}, acc.at + 1, x.s - acc.at), ''),
+          repeat(' ', greatest(x.e - greatest(acc.at, x.s), 0)))) AS out),
+        acc -> concat(array_join(acc.out, ''), substring({text}, acc.at + 1))))"""
+
+
+def _words(text: str) -> str:
+    """SQL for the distinct lower-case words of ``text``."""
+    found = f"array_distinct(regexp_extract_all({text}, {quoted(WORD)}, 0))"
+    return f"array_distinct(transform({found}, w -> lower(w)))"
+
+
+def _targets() -> str:
+    """SQL for what the words of a document may disclose: of each entity in ``found`` the kind,
+    the domain or block of numbers, and the value."""
+    names = "array(" + ", ".join(f"'{k}'" for k in KINDS) + ")"
+    block = """CASE x.k WHEN 0 THEN substring_index(x.v, '@', -1) WHEN 1 THEN substring_index(x.v, '.', 3)
+        WHEN 2 THEN left(x.v, 6) ELSE left(x.v, length(x.v) - 4) END"""
+    return f"""array_distinct(flatten(transform(found, x -> array({names}[x.k],
+        concat({names}[x.k], '~', {block}), concat({names}[x.k], '=', x.v)))))"""
+
+
+def _bits(values: DataFrame) -> DataFrame:
+    """One row: a filter of the hashes of ``values`` (value), of a size that is always the same."""
+    hashed = values.select(F.xxhash64("value").alias("h"))
+    filled = hashed.groupBy(F.expr(f"pmod(shiftright(h, 6), {BITS})").alias("k")).agg(
+        F.expr("bit_or(shiftleft(1L, cast(h & 63 AS int)))").alias("b")
+    )
+    return (
+        values.sparkSession.range(BITS)
+        .select(F.col("id").alias("k"))
+        .join(filled, "k", "left")
+        .agg(F.array_sort(F.collect_list(F.struct("k", F.coalesce("b", F.lit(0)).alias("b")))).alias("all"))
+        .select(F.col("all.b").alias("bits"))
+    )
+
+
+def _maybe(value: str) -> str:
+    """SQL: whether ``value`` may be among those of ``bits``; none of them is missed."""
+    h = f"xxhash64({value})"
+    number = f"bits[cast(pmod(shiftright({h}, 6), {BITS}) AS int)]"
+    return f"(shiftright({number}, cast({h} & 63 AS int)) & 1) = 1"
 
 
 def _as_strings(kind: str, spans: str) -> str:
@@ -102,10 +141,8 @@ def _as_strings(kind: str, spans: str) -> str:
 
 
 def detect(docs: DataFrame) -> DataFrame:
-    """(row, key, n, base, found, near): each row with its entities and the words near them.
-
-    ``found`` is array<struct<k, s, e, v>> with kinds by number, ``near`` the context words that
-    lie in no entity. Written once, as both the counts and the result are taken from it.
+    """(row, key, found): each row with its entities, array<struct<k, s, e, v>> with kinds by
+    number. Written once, as both the counts and the result are taken from it.
     """
     named = docs.select(F.struct("*").alias("row")).withColumn(
         "body", F.coalesce(F.col("row.text"), F.lit(""))
@@ -118,73 +155,95 @@ def detect(docs: DataFrame) -> DataFrame:
         + " AS v))"
         for i, k in enumerate(KINDS)
     )
-    near = f"flatten(transform(found, x -> concat({_near('left')}, {_near('right')})))"
     return (
         named.withColumn("found", F.expr(f"concat({tagged})"))
-        .withColumn("near", F.expr(f"if(size(found) > 0, {near}, array())"))
-        .withColumn("near", F.expr("filter(near, w -> NOT exists(found, x -> w.s < x.e AND x.s < w.e))"))
         .withColumn("key", F.monotonically_increasing_id())
         .drop("body", *[f"of_{k}" for k in KINDS])
     )
 
 
-def _document_counts(docs: DataFrame) -> DataFrame:
-    """(word, n_word): in how many documents each word occurs. Counted before the shuffle."""
-    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0)))
-    return (
-        docs.select(F.explode(words).alias("word")).groupBy("word").agg(F.count("*").alias("n_word"))
+def _listed(detected: DataFrame) -> DataFrame:
+    """(key, found, words): the distinct words of each row outside of entities."""
+    body = _outside("coalesce(row.text, '')")
+    return detected.selectExpr("key", "found", f"{body} AS body").selectExpr(
+        "key", "found", f"{_words('body')} AS words"
     )
 
 
 def disclosures(
-    detected: DataFrame, docs: DataFrame, support: int = SUPPORT, share: float = SHARE
+    detected: DataFrame, support: int = SUPPORT, share: float = SHARE
 ) -> DataFrame:
-    """(entity, word, information): words that disclose an entity.
+    """(target, word, information): words that disclose a target.
 
-    With N documents, n(e) with the entity, n(w) with the word and n(e, w) with the word
-    in a context of it: log2(N n(e, w) / (n(e) n(w))) is compared with log2(N / n(e)).
+    With N documents, n(t) with the target, n(w) with the word and n(t, w) with both:
+    log2(N n(t, w) / (n(t) n(w))) is compared with log2(N / n(t)). Targets in fewer than
+    ``support`` documents are left out before words are put beside them.
     """
     total = detected.count()
-    entity = (
-        detected.select("key", F.explode(F.array_distinct("found.v")).alias("entity"))
-        .groupBy("entity")
-        .agg(F.count("*").alias("n_entity"))
-        .where(F.col("n_entity") >= support)
+    some = detected.where("size(found) > 0")
+    target = materialise(
+        some.select(F.explode(F.expr(_targets())).alias("target"))
+        .groupBy("target")
+        .agg(F.count("*").alias("n_target"))
+        .where(F.col("n_target") >= support),
+        "targets",
     )
+    bits = materialise(_bits(target.select(F.col("target").alias("value"))), "target_bits")
     pair = (
-        detected.select("key", F.explode("near").alias("x"))
-        .select("key", "x.entity", "x.word")
-        .distinct()
-        .groupBy("entity", "word")
+        _listed(some)
+        .withColumn("bits", bits.scalar())
+        .selectExpr("words", f"filter({_targets()}, t -> {_maybe('t')}) AS targets")
+        .select("words", F.explode("targets").alias("target"))
+        .select("target", F.explode("words").alias("word"))
+        .groupBy("target", "word")
         .agg(F.count("*").alias("n_pair"))
         .where(F.col("n_pair") >= support)
+        .withColumn("part", F.pmod(F.xxhash64("word"), F.lit(PARTS)))
     )
-    content = F.log2(F.lit(float(total)) / F.col("n_entity"))
-    shared = F.log2(F.lit(float(total)) * F.col("n_pair") / F.col("n_entity") / F.col("n_word"))
+    copies = target.withColumn("part", F.expr(f"explode(sequence(0L, {PARTS - 1}L))"))
+    counts = (
+        _listed(detected)
+        .select(F.explode("words").alias("word"))
+        .groupBy("word")
+        .agg(F.count("*").alias("n_word"))
+    )
+    content = F.log2(F.lit(float(total)) / F.col("n_target"))
+    shared = F.log2(F.lit(float(total)) * F.col("n_pair") / F.col("n_target") / F.col("n_word"))
     return (
-        pair.join(entity, "entity")
-        .join(_document_counts(docs), "word")
+        pair.join(copies, ["target", "part"])
+        .join(counts, "word")
         .withColumn("information", shared)
         .where((F.col("information") > 0) & (F.col("information") >= share * content))
-        .select("entity", "word", "information")
+        .select("target", "word", "information")
     )
 
 
 def find(docs: DataFrame, support: int = SUPPORT, share: float = SHARE) -> DataFrame:
     """(row, found, terms): each row of ``docs`` with its entities and disclosing words."""
     detected = materialise(detect(docs), "detected")
-    words = disclosures(detected, docs, support, share)
-    terms = (
-        detected.where("size(found) > 0")
-        .select("key", F.explode("near").alias("x"))
-        .select("key", "x.entity", "x.word", "x.s", "x.e")
-        .join(words, ["entity", "word"], "left_semi")
+    words = materialise(disclosures(detected, support, share).select("word").distinct(), "words")
+    bits = materialise(_bits(words.select(F.col("word").alias("value"))), "word_bits")
+    # A word is marked wherever it occurs; the filter keeps most words out of the join.
+    giving = (
+        _listed(detected)
+        .withColumn("bits", bits.scalar())
+        .selectExpr("key", f"explode(filter(words, w -> {_maybe('w')})) AS word")
+        .join(words, "word")
         .groupBy("key")
-        .agg(F.array_sort(F.collect_set(F.struct("s", "e"))).alias("terms"))
+        .agg(F.collect_list("word").alias("giving"))
     )
-    none = F.expr("cast(array() AS array<struct<s: int, e: int>>)")
-    return detected.join(terms, "key", "left").select(
-        "row", "found", F.coalesce("terms", none).alias("terms")
+    body = _outside("coalesce(row.text, '')")
+    none = "cast(array() AS array<struct<s: int, e: int>>)"
+    gaps, every = f"split(body, {quoted(WORD)}, -1)", f"regexp_extract_all(body, {quoted(WORD)}, 0)"
+    terms = f"""if(giving IS NULL, {none}, aggregate(zip_with({every}, {gaps}, (v, g) -> struct(v, length(g) AS g)),
+        struct(0 AS at, {none} AS a), (acc, x) -> if(x.v IS NULL, acc, struct(
+          acc.at + x.g + length(x.v) AS at,
+          if(array_contains(giving, lower(x.v)), concat(acc.a, array(struct(
+            acc.at + x.g AS s, acc.at + x.g + length(x.v) AS e))), acc.a) AS a)), acc -> acc.a))"""
+    return (
+        detected.join(giving, "key", "left")
+        .selectExpr("row", "found", "giving", f"if(giving IS NULL, '', {body}) AS body")
+        .selectExpr("row", "found", f"{terms} AS terms")
     )
 
 

@@ -365,6 +365,20 @@ def test_words_that_give_an_entity_away(spark):
     assert all(rows[i].text == t for i, t in docs[4:])
 
 
+def test_words_far_off_give_a_class_of_values_away(spark):
+    """No value occurs twice, and the words stand far from the entity, or without one."""
+    far = " ".join(["filler"] * 40)
+    docs = [(i, f"Quorvex {far} mail u{i}@corp.io {far} quorvex {i}") for i in range(5)]
+    docs += [(i, f"call Brindle {far} +49 (30) 5550 00{i}") for i in range(5, 10)]
+    docs += [(10, f"{far} QUORVEX alone")]
+    docs += [(i, f"mail and call {far} {i}") for i in range(11, 80)]
+    rows = {r.doc_id: r for r in sanitise.sanitise(spark.createDataFrame(docs, SCHEMA)).collect()}
+    assert rows[0].text == f"[TERM] {far} mail [EMAIL] {far} [TERM] 0"
+    assert rows[5].text == f"call [TERM] {far} [PHONE]"
+    assert rows[10].text == f"{far} [TERM] alone"
+    assert all(rows[i].text == t for i, t in docs[11:])
+
+
 def test_sanitising_odd_rows(odd, none):
     clean = sanitise.sanitise(odd)
     assert clean.columns == odd.columns
