@@ -1,7 +1,10 @@
 """I-Match fingerprints over randomised lexicons, with built-in expressions only.
 
 The lexicon holds the terms whose document frequency lies in a band: terms of nearly every
-document say nothing, rare ones change with any edit. Since a term must occur in a fixed
+document say nothing, rare ones change with any edit. Copies of one text, exact or near,
+are one document where frequent terms are left out, else a large group of them would have no
+term of its own in the lexicon: texts are counted by their shapes, the smallest hashes of
+their terms, as soon as a shape is that of more than one in ``GROUPS`` rows. Since a term must occur in a fixed
 share of all documents, the lexicon has at most (mean distinct terms of a document) / share
 entries however large the corpus is. It is cut into random subsets of several sizes; the
 distinct terms of a text that lie in a subset, sorted, are hashed. The fingerprint lists
@@ -24,6 +27,9 @@ from pagequarry.scratch import materialise
 
 LEAST_SHARE, MOST_SHARE = 0.0005, 0.2  # document frequencies of the lexicon
 LEAST_DOCUMENTS = 2
+# Shapes of a text, hashes in one, and the least; at most GROUPS of a kind are weighed.
+SHAPES, SMALLEST, FEWEST, GROUPS = 4, 5, 3, 128
+UNIT = 1 << 30  # the weight of a document, in whole numbers
 SHARDS = 1 << 16
 # (subsets, one in so many terms): small subsets see few terms and bear many edits.
 SUBSETS = ((4, 8), (8, 64), (12, 512))
@@ -35,22 +41,59 @@ def terms(text: str) -> Column:
     return F.array_distinct(F.split(F.lower(text), TERMS, -1))
 
 
+def _shaped(texts: DataFrame) -> DataFrame:
+    """(terms, shapes) of (text). Each shape looks at terms of its own; near copies are likely
+    to have one in common. A text with too few terms for a shape has the set of them instead."""
+    hashes = "array_sort(transform(terms, t -> xxhash64(t))) AS hs"
+    parts = [f"filter(hs, h -> (h & {SHAPES - 1}) = {k}) AS p{k}" for k in range(SHAPES)]
+    shapes = ", ".join(
+        f"xxhash64({k}, if(size(p{k}) < {FEWEST}, hs, slice(p{k}, 1, {SMALLEST})))"
+        for k in range(SHAPES)
+    )
+    return (
+        texts.select(F.filter(terms("text"), lambda t: t != "").alias("terms"))
+        .selectExpr("terms", hashes)
+        .selectExpr("terms", "hs", *parts)
+        .selectExpr("terms", f"array({shapes}) AS shapes")
+    )
+
+
 def lexicon(
     texts: DataFrame,
     least: float = LEAST_SHARE,
     most: float = MOST_SHARE,
     documents: int = LEAST_DOCUMENTS,
 ) -> DataFrame:
-    """(term) of the band, counted over all documents (text), before the shuffle and after."""
-    total = texts.count()
+    """(term) of the band, counted over all documents (text), before the shuffle and after.
+
+    A term must be in the least share of rows, and in no more than the most of documents when
+    the rows of each large group of copies weigh as much as one.
+    """
+    shaped = _shaped(texts)
+    shapes = materialise(shaped.select("shapes"), "shapes")
+    total = shapes.count()
+    large = (
+        shapes.select(F.explode("shapes").alias("shape"))
+        .groupBy("shape")
+        .agg(F.count("*").alias("n"))
+        .where(F.col("n") >= max(2, total / GROUPS))
+    )
+    # One row of at most SHAPES * GROUPS numbers.
+    sizes = materialise(
+        large.agg(F.map_from_entries(F.collect_list(F.struct("shape", "n"))).alias("sizes")), "sizes"
+    )
+    weight = f"{UNIT} div array_max(transform(shapes, s -> coalesce(sizes[s], 1L))) AS weight"
+    weighed = shapes.withColumn("sizes", sizes.scalar()).selectExpr(weight)
+    whole = weighed.agg(F.sum("weight").alias("w")).first()["w"] or 0
     found = (
-        texts.select(F.explode(terms("text")).alias("term"))
-        .where("term <> ''")
+        shaped.withColumn("sizes", sizes.scalar())
+        .selectExpr("terms", weight)
+        .select(F.explode("terms").alias("term"), "weight")
         .groupBy("term")
-        .agg(F.count("*").alias("n"))
+        .agg(F.count("*").alias("n"), F.sum("weight").alias("w"))
     )
-    low, high = max(documents, least * total), max(documents, most * total)
-    return found.where(F.col("n").between(F.lit(low), F.lit(high))).select("term")
+    low, high = max(documents, least * total), max(documents * UNIT, most * whole)
+    return found.where((F.col("n") >= low) & (F.col("w") <= high)).select("term")
 
 
 def _sharded(words: DataFrame) -> DataFrame:

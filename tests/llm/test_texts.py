@@ -406,6 +406,30 @@ def test_edits_and_likeness(spark):
         assert by_id[a].next_print == by_id[b].print
 
 
+@pytest.mark.parametrize("edits", [0, 3])
+def test_a_third_of_the_rows_are_copies(spark, edits):
+    rng = random.Random(edits)
+    own = [f"own{i}" for i in range(60)]
+    docs = []
+    for i in range(300):
+        if i % 3:
+            words = rng.sample([f"w{k}" for k in range(900)], 60)
+        else:
+            words = list(own)
+            for k in rng.sample(range(60), edits):
+                words[k] = f"w{rng.randrange(900)}"
+        docs.append((i, " ".join([*words, "the"])))
+    frame = spark.createDataFrame(docs, SCHEMA).repartition(3)
+    found = {r.term for r in imatch.lexicon(frame.select("text")).collect()}
+    assert set(own) <= found and "the" not in found
+    rows = imatch.fingerprints(frame).selectExpr(
+        "*", f"{imatch.likeness('print', 'edited_print')} AS near"
+    ).collect()
+    copies = [r for r in rows if r.doc_id % 3 == 0]
+    assert all(any(p is not None for p in r.print) for r in copies)
+    assert sum(r.near > 0 for r in copies) > 0.9 * len(copies)
+
+
 def test_fingerprints_of_odd_rows(odd, none):
     rows = imatch.fingerprints(odd).collect()
     assert len(rows) == len(ODD)
