@@ -50,4 +50,40 @@ SELECT page_id, n::BIGINT AS payload_bytes, digest AS payload_digest,
 FROM page LEFT JOIN first USING (digest)
 """
 
-ORACLES = {"op2_decontaminate": CONTAMINATION, "op6_warc": ARCHIVE}
+FILL_IN_MIDDLE = """
+WITH doc AS (
+  SELECT doc_id, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS units,
+         sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS hash
+  FROM documents
+), drawn AS (
+  SELECT doc_id, text, units, len(units) AS n,
+         ('0x' || hash[1:8])::BIGINT % (len(units) + 1) AS one,
+         ('0x' || hash[9:16])::BIGINT % (len(units) + 1) AS two,
+         CASE WHEN text = '' OR regexp_matches(text, '<[PSM]>')
+                OR ('0x' || hash[17:24])::BIGINT % 100 >= 90 THEN 'plain'
+              WHEN ('0x' || hash[25:32])::BIGINT % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM doc
+), cut AS (
+  SELECT doc_id, text, n, form,
+         array_to_string(units[1 : least(one, two)], '') AS prefix,
+         array_to_string(units[least(one, two) + 1 : greatest(one, two)], '') AS middle,
+         array_to_string(units[greatest(one, two) + 1 :], '') AS suffix
+  FROM drawn
+)
+SELECT doc_id, n::BIGINT AS n, form,
+       CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text
+                        WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END
+       ) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM cut
+"""
+
+ORACLES = {
+    "op2_decontaminate": CONTAMINATION,
+    "op6_warc": ARCHIVE,
+    "op12_middle": FILL_IN_MIDDLE,
+}

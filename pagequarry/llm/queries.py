@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagequarry.llm import bpe, hmm, imatch, sanitise, toxicity, warc, wrappers
+from pagequarry.llm import bpe, hmm, imatch, middle, sanitise, toxicity, warc, wrappers
 from pagequarry.llm.decontaminate import contamination
 from pagequarry.llm.minmax import near_duplicates
 from pagequarry.llm.repeats import remove_repeats
@@ -126,6 +126,20 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = middle.fill_in_middle(table(spark, sf_dir, "documents"))
+    made = made.withColumn("cut", middle.parts(F.col("output"), F.col("form")))
+    return made.select(
+        "doc_id",
+        "n",
+        "form",
+        F.length("cut.prefix").cast("long").alias("prefix_chars"),
+        F.length("cut.middle").cast("long").alias("middle_chars"),
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(middle.restore(F.col("output"), F.col("cut")), 256).alias("restored_sha256"),
+    )
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_decontaminate": op2_decontaminate,
@@ -137,4 +151,5 @@ QUERIES = {
     "op8_repeats": op8_repeats,
     "op9_html": op9_html,
     "op10_toxicity": op10_toxicity,
+    "op12_middle": op12_middle,
 }
