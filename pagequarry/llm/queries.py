@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagequarry.llm import bpe, hmm, imatch, middle, sanitise, toxicity, warc, wrappers
+from pagequarry.llm import bpe, hmm, imatch, languages, middle, sanitise, toxicity, warc, wrappers
 from pagequarry.llm.decontaminate import contamination
 from pagequarry.llm.minmax import near_duplicates
 from pagequarry.llm.repeats import remove_repeats
@@ -106,9 +106,9 @@ def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wrappers.main_text(table(spark, sf_dir, "pages"))
 
 
-def held_out(remainder: int) -> Column:
+def held_out(remainder: int, folds: int = 5) -> Column:
     """Whether a document is kept out of training."""
-    return F.crc32(F.col("doc_id").cast("string")) % 5 == remainder
+    return F.crc32(F.col("doc_id").cast("string")) % folds == remainder
 
 
 def toxicity_model(docs: DataFrame, labels: DataFrame) -> toxicity.Model:
@@ -126,6 +126,15 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = F.coalesce(held_out(1, 3), F.lit(False))
+    model = languages.train(docs.where(~out))
+    return languages.identify(docs, model).select(
+        "doc_id", out.alias("held_out"), "lang_pred", "score", F.to_json("languages").alias("languages")
+    )
+
+
 def op12_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = middle.fill_in_middle(table(spark, sf_dir, "documents"))
     made = made.withColumn("cut", middle.parts(F.col("output"), F.col("form")))
@@ -151,5 +160,6 @@ QUERIES = {
     "op8_repeats": op8_repeats,
     "op9_html": op9_html,
     "op10_toxicity": op10_toxicity,
+    "op11_language": op11_language,
     "op12_middle": op12_middle,
 }

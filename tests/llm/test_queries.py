@@ -24,6 +24,7 @@ COLUMNS = {
     "op8_repeats": "doc_id n_bytes n_removed n_spans kept_sha256",
     "op9_html": "page_id url text n_chars",
     "op10_toxicity": "doc_id held_out score predicted",
+    "op11_language": "doc_id held_out lang_pred score",
     "op12_middle": "doc_id n form prefix_chars middle_chars output_sha256 restored_sha256",
 }
 
