@@ -6,7 +6,18 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagequarry.llm import bpe, hmm, imatch, languages, middle, sanitise, toxicity, warc, wrappers
+from pagequarry.llm import (
+    bpe,
+    hmm,
+    imatch,
+    languages,
+    middle,
+    sanitise,
+    toxicity,
+    warc,
+    whitening,
+    wrappers,
+)
 from pagequarry.llm.decontaminate import contamination
 from pagequarry.llm.minmax import near_duplicates
 from pagequarry.llm.repeats import remove_repeats
@@ -149,6 +160,11 @@ def op12_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = whitening.on_lattice(table(spark, sf_dir, "embeddings"))
+    return whitening.whiten(vectors, whitening.fit(vectors, components=4))
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_decontaminate": op2_decontaminate,
@@ -162,4 +178,5 @@ QUERIES = {
     "op10_toxicity": op10_toxicity,
     "op11_language": op11_language,
     "op12_middle": op12_middle,
+    "op13_whitening": op13_whitening,
 }
