@@ -327,6 +327,41 @@ def summed(prefix: str, value: str, sep: str) -> str:
     )
 
 
+PAGE_WORDS = f"WITH {PAGE_TEXTS}, worded AS (SELECT page_id, {words('text')} AS w FROM texts)"
+
+
+def some(first: int, last: int) -> str:
+    """Words of a sheet, joined; the first word is number 1."""
+    return f"array_to_string(list_slice(w, s + {first}, s + {last}), ' ')"
+
+
+def cell(nth: int, spans: str = "") -> str:
+    shown = some(nth, nth)
+    for old, new in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+        shown = f"replace({shown}, '{old}', '{new}')"
+    return f"'<td{spans}>' || {shown} || '</td>'"
+
+
+def row(*cells: str) -> str:
+    return " || ".join(["'<tr>'", *cells, "'</tr>'"])
+
+
+# A sheet has 5 words of title, two columns of 120, and 6 cells.
+SHEETS = f"""{PAGE_WORDS},
+sheets AS (SELECT page_id, w, unnest(range(0, len(w), 251)) AS s FROM worded),
+parts AS (
+  SELECT page_id, s, 1 AS part, {some(1, 5)} AS text, NULL AS shown FROM sheets
+  UNION ALL SELECT page_id, s, 2, {some(6, 125)}, NULL FROM sheets
+  UNION ALL SELECT page_id, s, 3, {some(126, 245)}, NULL FROM sheets
+  UNION ALL SELECT page_id, s, 4, {some(246, 251)}, '<table>'
+    || {row(cell(246, ' colspan="3"'))}
+    || {row(cell(247, ' rowspan="2"'), cell(248), cell(249))}
+    || {row(cell(250), cell(251))} || '</table>' FROM sheets)
+SELECT page_id, (s // 251 + 1)::INTEGER AS page_number,
+  (row_number() OVER (PARTITION BY page_id ORDER BY s, part) - 1)::INTEGER AS pos,
+  text, shown AS "table"
+FROM parts WHERE text <> ''"""
+
 ORACLES: dict[str, str] = {
     "list_documents": f"""
 SELECT {basename('filename')} AS name, size AS length FROM read_blob('{FOLDER}/*.parquet')""",
@@ -473,4 +508,10 @@ FROM conversations GROUP BY conv_id""",
 SELECT (SELECT count(*) FROM documents) AS n_rows, (SELECT count(*) FROM benchmark) AS n_expected,
   (SELECT count(*) FROM documents) >= (SELECT count(*) FROM benchmark) AS complete,
   false AS missing_complete""",
+    "parse_pdf": f"""{PAGE_WORDS},
+sheets AS (SELECT page_id, w, unnest(range(0, len(w), 320)) AS s FROM worded)
+SELECT page_id, (s // 320 + 1)::INTEGER AS page_number, {some(1, 320)} AS text FROM sheets""",
+    "parse_mixed": f"""{PAGE_WORDS}
+SELECT page_id, page_id % 3 <> 0 AS pdf, array_to_string(w, ' ') AS text FROM worded""",
+    "reading_order": SHEETS,
 }

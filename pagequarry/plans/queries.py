@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 
 from pagequarry.functions import text
 from pagequarry.functions.text import decode_text
-from pagequarry.operators import answer, changes, chat, chunk, ids, index, nearest, parse
+from pagequarry.operators import answer, changes, chat, chunk, ids, index, nearest, parse, pdf
+from pagequarry.operators.concat import ordered_concat
 from pagequarry.operators.embed import embed, hashed_words
 from pagequarry.operators.explode import explode_once
+from pagequarry.plans.pdf_files import write_pdf
 from pagequarry.scratch import materialise, scratch_path
 from pagequarry.session import ship_package, spread
 from pagequarry.sources import files, tables
@@ -125,6 +127,13 @@ def fresh_name(label: str) -> str:
     return f"{label}_{uuid.uuid4().hex}"
 
 
+def page_files(spark: SparkSession, folder: str, columns: bool = False) -> DataFrame:
+    """PDF files of the words of every page, in the styles of two writers."""
+    words = text.words(parse.html_text(F.col("content")))
+    file = write_pdf(words, F.col("page_id"), columns).alias("content")
+    return raw_pages(spark, folder).select("page_id", "path", F.col("content").alias("html"), file)
+
+
 # -- sources -----------------------------------------------------------------------
 
 
@@ -646,3 +655,41 @@ def table_complete(spark, folder):
         F.lit(complete).alias("complete"),
         F.lit(missing).alias("missing_complete"),
     )
+
+
+# -- PDF files ---------------------------------------------------------------------
+
+
+@query
+def parse_pdf(spark, folder):
+    files = page_files(spark, folder)
+    elements = parse.element_rows(files, pdf.pdf_elements(F.col("content")), "page_id")
+    return ordered_concat(elements, ["page_id", "page_number"], "pos", F.col("text"), " ", "text")
+
+
+@query
+def parse_mixed(spark, folder):
+    """Every third page as HTML, the others as PDF: each is read by what it is."""
+    own = F.when(F.col("page_id") % 3 == 0, F.col("html")).otherwise(F.col("content"))
+    rows = page_files(spark, folder).select("page_id", own.alias("content"))
+    texts = rows.select(
+        "page_id",
+        pdf.is_pdf(F.col("content")).alias("pdf"),
+        pdf.document_elements(F.col("content")).alias("found"),
+    )
+    # The words in the files have been cleaned before.
+    drawn = F.array_join(F.transform("found", lambda e: e["text"]), " ")
+    whole = F.when(F.col("pdf"), drawn).otherwise(parse.elements_text(F.col("found")))
+    return texts.select("page_id", "pdf", F.array_join(text.words(whole), " ").alias("text"))
+
+
+@query
+def reading_order(spark, folder):
+    elements = parse.element_rows(
+        page_files(spark, folder, columns=True),
+        pdf.pdf_elements(F.col("content"), "hi_res"),
+        "page_id",
+    )
+    return elements.select(
+        "page_id", "page_number", "pos", "text", F.col("metadata")["text_as_html"].alias("table")
+    )
