@@ -327,6 +327,38 @@ def summed(prefix: str, value: str, sep: str) -> str:
     )
 
 
+def cosine(a: str, b: str) -> str:
+    return f"list_dot_product({a}, {b}) / sqrt(list_dot_product({a}, {a}) * list_dot_product({b}, {b}))"
+
+
+def marginal(k: int, fetch_k: int, balance: float) -> str:
+    """The nearest rows, then one after the other the best of those not taken yet."""
+    nearest = topk(fetch_k, L2).replace("WITH corpus", "WITH RECURSIVE corpus", 1)
+    return f"""{nearest.rpartition('SELECT qid, rank')[0].rstrip()},
+candidates AS (
+  SELECT r.qid, r.rank, r.id, r.dist, c.x, round({cosine('a.q', 'c.x')}, 9) AS likeness
+  FROM ranked r JOIN corpus c ON c.id = r.id JOIN asked a ON a.qid = r.qid WHERE r.rank <= {fetch_k}),
+pairs AS (
+  SELECT a.qid, a.id AS one, b.id AS other, round({cosine('a.x', 'b.x')}, 9) AS likeness
+  FROM candidates a JOIN candidates b ON a.qid = b.qid AND a.id <> b.id),
+taken AS (
+  SELECT qid, 1 AS step, [id] AS ids FROM (
+    SELECT qid, id, row_number() OVER (PARTITION BY qid ORDER BY likeness DESC, rank) AS n FROM candidates)
+  WHERE n = 1
+  UNION ALL
+  SELECT qid, step + 1, list_append(ids, id) FROM (
+    SELECT qid, step, ids, id, row_number() OVER (PARTITION BY qid ORDER BY gain DESC, rank) AS n
+    FROM (
+      SELECT t.qid, t.step, t.ids, c.id, c.rank,
+        round({balance} * c.likeness - (1 - {balance}) * max(p.likeness), 9) AS gain
+      FROM taken t JOIN candidates c ON c.qid = t.qid AND NOT list_contains(t.ids, c.id)
+        JOIN pairs p ON p.qid = t.qid AND p.one = c.id AND list_contains(t.ids, p.other)
+      WHERE t.step < {k} GROUP BY t.qid, t.step, t.ids, c.id, c.rank, c.likeness))
+  WHERE n = 1)
+SELECT t.qid, t.step::INTEGER AS rank, t.ids[t.step] AS id, round(c.dist, 6) + 0.0 AS dist
+FROM taken t JOIN candidates c ON c.qid = t.qid AND c.id = t.ids[t.step]"""
+
+
 PAGE_WORDS = f"WITH {PAGE_TEXTS}, worded AS (SELECT page_id, {words('text')} AS w FROM texts)"
 
 
@@ -481,6 +513,7 @@ SELECT doc_id, (row_number() OVER (ORDER BY doc_id) - 1) // 150 AS batch FROM do
     "topk_cosine": topk(4, COSINE),
     "topk_ip": topk(4, IP),
     "topk_blocks": topk(4, L2),
+    "topk_mmr": marginal(4, 12, 0.5),
     "topk_ivf": topk(4, L2),
     "topk_lsh": topk(4, L2),
     "retrieve_documents": f"{HITS} SELECT qid, rank::INTEGER AS rank, id, url, content FROM hits",

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from pagequarry.functions import text
 from pagequarry.functions.text import decode_text
-from pagequarry.operators import answer, changes, chat, chunk, ids, index, nearest, parse, pdf
+from pagequarry.operators import answer, changes, chat, chunk, diverse, ids, index, nearest, parse, pdf
 from pagequarry.operators.concat import ordered_concat
 from pagequarry.operators.embed import embed, hashed_words
 from pagequarry.operators.explode import explode_once
@@ -567,6 +567,11 @@ def topk_blocks(spark, folder):
     return shown(nearest.nearest(*vectors(spark, folder), k=4, **limits))
 
 
+@query
+def topk_mmr(spark, folder):
+    return shown(diverse.diverse(*vectors(spark, folder), k=4, fetch_k=12))
+
+
 @query
 def topk_ivf(spark, folder):
     asked, corpus = vectors(spark, folder)
