@@ -29,6 +29,7 @@ from pagequarry.operators.nearest import (
     as_matrix,
     join_groups,
     nearest,
+    points_of,
     top_k,
 )
 from pagequarry.scratch import materialise
@@ -51,15 +52,6 @@ class CellIndex:
     metric: str
 
 
-def _points(column: pa.Array, metric: str) -> np.ndarray:
-    """Vectors as points whose distances rank like the metric."""
-    points = as_matrix(column)
-    if metric != "cosine":
-        return points
-    norms = np.linalg.norm(points, axis=1, keepdims=True)
-    return np.divide(points, norms, out=np.zeros_like(points), where=norms > 0)
-
-
 def _distances_to(centres: np.ndarray, points: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """Slices of the points (first position, distances to all centres)."""
     step = max(1, DISTANCE_CELLS // len(centres))
@@ -106,7 +98,7 @@ def build_cells(
         for batch in batches:
             if not batch.num_rows:
                 continue
-            x = _points(batch.column(1), metric)
+            x = points_of(batch.column(1), metric)
             cell = np.concatenate([a.argmin(axis=1) for _, a in _distances_to(sent.value, x)])
             gap = np.sqrt(((x - sent.value[cell]) ** 2).sum(axis=1))
             yield pa.RecordBatch.from_arrays(
@@ -140,7 +132,7 @@ def _open_cells(index: CellIndex, questions: DataFrame, probes: int, further: bo
         centres, radius = sent.value
         largest = (centres * centres).sum(axis=1).max()
         for batch in batches:
-            q = _points(batch.column(1), metric)
+            q = points_of(batch.column(1), metric)
             for at, away in _distances_to(centres, q):
                 away[:, radius < 0] = np.inf
                 nearest_first = np.argsort(away, axis=1, kind="stable")[:, :probes]
@@ -213,7 +205,7 @@ def _projected(df: DataFrame, key: str, directions: np.ndarray, metric: str) ->
         for batch in batches:
             if not batch.num_rows:
                 continue
-            places = _points(batch.column(1), metric) @ sent.value.T
+            places = points_of(batch.column(1), metric) @ sent.value.T
             flat = pa.array(np.nan_to_num(places).ravel())
             ends = np.arange(0, places.size + 1, places.shape[1], dtype=np.int32)
             yield pa.RecordBatch.from_arrays(

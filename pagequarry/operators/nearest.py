@@ -15,22 +15,19 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from pagequarry.scratch import materialise
+from pagequarry.scratch import materialise, scratch_path
 
 METRICS = ("l2", "cosine", "ip")
 DECIMALS = 9
 
-# Most bytes of question vectors sent to every task, of corpus vectors held by one
-# task, and of one block of distances.
+# Most bytes of question vectors sent to every task at once, of corpus vectors sent instead,
+# and most cells of one block of distances.
 QUESTION_BYTES = 8 << 20
 BLOCK_BYTES = 64 << 20
 DISTANCE_CELLS = 1 << 21
 
-# Most questions streamed past one block of corpus rows, in sizes of such a block.
-QUESTION_BLOCKS = 8
-
-# Fewest rows a block is cut down to for the sake of more tasks.
-SMALL_BLOCK_ROWS = 10_000
+# Fewest questions of a block, however small the limit.
+LEAST_BLOCK = 16
 
 # Most rows of a small table broadcast to a join: top-k rows, groups to be split.
 BROADCAST_ROWS = 200_000
@@ -48,6 +45,18 @@ def as_matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), int(sizes[0]) if len(sizes) else 0)
 
 
+def points_of(column: pa.Array, metric: str) -> np.ndarray:
+    return points(as_matrix(column), metric)
+
+
+def points(vectors: np.ndarray, metric: str) -> np.ndarray:
+    """Vectors as points whose distances rank like the metric."""
+    if metric != "cosine":
+        return vectors
+    norms = np.linalg.norm(vectors, axis=1, keepdims=True)
+    return np.divide(vectors, norms, out=np.zeros_like(vectors), where=norms > 0)
+
+
 def smallest(who: np.ndarray, ids: np.ndarray, dist: np.ndarray, k: int) -> np.ndarray:
     """Positions of the ``k`` smallest (dist, id) of each ``who``, grouped by it."""
     order = np.argsort(ids, kind="stable")
@@ -206,8 +215,9 @@ def nearest(
     """Exact ``k`` nearest corpus rows of every question: (qid, rank, id, dist).
 
     ``questions`` has columns ``qid, embedding`` and ``corpus`` has ``id, embedding``.
-    Few questions are sent to every task and the corpus stays where it is; many are
-    joined block by block. Distances are squared L2, 1 - cosine, or 1 - dot product.
+    Questions of up to ``question_bytes`` are sent to every task, and the corpus stays where
+    it is; more are sent in blocks of that size, one after the other, or a corpus of up to
+    ``block_bytes`` goes to them. Nothing but the ``k`` best is shuffled. Distances are squared L2, 1 - cosine, or 1 - dot product.
     Questions are read more than once: store vectors that a model computed.
     """
     return _search(questions, corpus, k, metric, question_bytes, block_bytes)[0]
@@ -224,15 +234,19 @@ def _search(
     """The neighbours, and the most rows there can be where that is known."""
     if metric not in METRICS:
         raise ValueError(f"metric must be one of {METRICS}")
-    given = questions, corpus
+    given = corpus
     questions = _prepared(questions, "qid")
     corpus = _prepared(corpus, "id")
     block = collect_questions(questions, question_bytes)
-    if block is None:
-        # Counted without the vectors: null ones make the blocks smaller, not larger.
-        counts = [df.count() for df in given]
-        return top_k(_blocked(questions, corpus, k, metric, block_bytes, *counts), k), None
-    return top_k(_scanned(block, questions, corpus, k, metric), k), k * len(block.vectors)
+    if block is not None:
+        return top_k(_scanned(block, questions, corpus, k, metric), k), k * len(block.vectors)
+    # Counted without the vectors: null ones make it smaller, not larger.
+    first = corpus.select(F.size("embedding").alias("n")).first()
+    if first is None or 8 * max(1, first.n) * given.count() <= block_bytes:
+        whole = collect_questions(corpus.withColumnRenamed("id", "qid"), block_bytes)
+        if whole is not None:
+            return top_k(_scanned_questions(whole, questions, corpus, k, metric), k), None
+    return _in_turn(questions, corpus, k, metric, question_bytes), None
 
 
 def _candidate_schema(questions: DataFrame, corpus: DataFrame) -> str:
@@ -273,30 +287,67 @@ def _scanned(
     return corpus.mapInArrow(scan, schema)
 
 
-def _blocked(
-    questions: DataFrame,
-    corpus: DataFrame,
-    k: int,
-    metric: str,
-    block_bytes: int,
-    n_questions: int,
-    n_corpus: int,
+def _scanned_questions(
+    corpus_block: QuestionBlock, questions: DataFrame, corpus: DataFrame, k: int, metric: str
 ) -> DataFrame:
-    """All questions against all corpus rows, both cut into parts of bounded size."""
-    first = corpus.select(F.size("embedding").alias("n")).first()
-    rows = max(1, block_bytes // (8 * max(1, first.n if first else 1)))
-    # Enough parts to bound them, and to keep all cores busy on a small corpus.
-    cores = corpus.sparkSession.sparkContext.defaultParallelism
-    bounded, busy = -(-n_corpus // rows), min(cores, n_corpus // SMALL_BLOCK_ROWS)
-    corpus_parts = F.lit(max(1, bounded, busy))
-    question_parts = F.lit(max(1, -(-n_questions // (rows * QUESTION_BLOCKS))))
-    one = F.lit(0).alias("group")
-    return join_blocks(
-        _placed(corpus.select(one, "*"), "corpus", corpus_parts, question_parts),
-        _placed(questions.select(one, "*"), "question", question_parts, corpus_parts),
-        k,
-        metric,
-    )
+    """A corpus small enough to be sent: each task reads its questions once."""
+    schema = _candidate_schema(questions, corpus)
+    sent = corpus.sparkSession.sparkContext.broadcast(corpus_block)
+    distances = Distances(metric)
+    id_type = to_arrow_type(corpus.schema[0].dataType)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        x, ids = sent.value.vectors, sent.value.ids.to_numpy(zero_copy_only=False)
+        for batch in batches:
+            if len(x) and batch.num_rows:
+                who, near, dist = block_nearest(as_matrix(batch.column(1)), x, ids, k, distances)
+                yield _rows(batch.column(0).take(pa.array(who)), near, id_type, dist)
+
+    return questions.mapInArrow(scan, schema)
+
+
+def question_blocks(
+    questions: DataFrame, limit_bytes: int = QUESTION_BYTES
+) -> Iterator[QuestionBlock]:
+    """All questions (qid, embedding), in blocks of bounded size, at least one.
+
+    More than one block's worth are written once, in files of at most that many; the driver
+    knows the names of the files and holds one block at a time.
+    """
+    spark = questions.sparkSession
+    questions = _prepared(questions, "qid")
+    whole = collect_questions(questions, limit_bytes)
+    if whole is not None:
+        yield whole
+        return
+    width = questions.select(F.size("embedding").alias("n")).first().n
+    most = max(LEAST_BLOCK, limit_bytes // (8 * max(1, width)))
+    path = scratch_path(spark, "questions")
+    questions.write.option("maxRecordsPerFile", most).parquet(path)
+    stored = spark.read.schema(questions.schema).parquet(path)
+    files = stored.groupBy(F.input_file_name().alias("file")).count().orderBy("file").collect()
+    waiting: list[str] = []
+    rows = 0
+    for file, count in [*files, (None, most + 1)]:
+        if waiting and rows + count > most:
+            table = spark.read.schema(questions.schema).parquet(*waiting).toArrow().combine_chunks()
+            ids, vectors = (table.column(c).combine_chunks() for c in ("qid", "embedding"))
+            yield QuestionBlock(ids, as_matrix(vectors))
+            waiting, rows = [], 0
+        waiting.append(file)
+        rows += count
+
+
+def _in_turn(
+    questions: DataFrame, corpus: DataFrame, k: int, metric: str, question_bytes: int
+) -> DataFrame:
+    """Many questions: the corpus stays where it is, and one block of them after the other
+    is sent to it. Reading the corpus again costs little beside a block's distances."""
+    spark, path = corpus.sparkSession, scratch_path(corpus.sparkSession, "nearest")
+    for block in question_blocks(questions, question_bytes):
+        found = top_k(_scanned(block, questions, corpus, k, metric), k)
+        found.write.mode("append").parquet(path)
+    return spark.read.schema(found.schema).parquet(path)
 
 
 def large_groups(

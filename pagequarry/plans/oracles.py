@@ -514,6 +514,7 @@ SELECT doc_id, (row_number() OVER (ORDER BY doc_id) - 1) // 150 AS batch FROM do
     "topk_ip": topk(4, IP),
     "topk_blocks": topk(4, L2),
     "topk_mmr": marginal(4, 12, 0.5),
+    "topk_pq": topk(4, L2),
     "topk_ivf": topk(4, L2),
     "topk_lsh": topk(4, L2),
     "retrieve_documents": f"{HITS} SELECT qid, rank::INTEGER AS rank, id, url, content FROM hits",

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from pagequarry.functions import text
 from pagequarry.functions.text import decode_text
-from pagequarry.operators import answer, changes, chat, chunk, diverse, ids, index, nearest, parse, pdf
+from pagequarry.operators import answer, changes, chat, chunk, diverse, ids, index, nearest, parse, pdf, quantise
 from pagequarry.operators.concat import ordered_concat
 from pagequarry.operators.embed import embed, hashed_words
 from pagequarry.operators.explode import explode_once
@@ -562,8 +562,8 @@ def topk_ip(spark, folder):
 
 @query
 def topk_blocks(spark, folder):
-    # Limits so low that the questions are joined block by block, as many are.
-    limits = {"question_bytes": 1 << 14, "block_bytes": 1 << 16}
+    # Limits so low that the questions are sent block by block, as many are.
+    limits = {"question_bytes": 1 << 17, "block_bytes": 1 << 16}
     return shown(nearest.nearest(*vectors(spark, folder), k=4, **limits))
 
 
@@ -572,6 +572,12 @@ def topk_mmr(spark, folder):
     return shown(diverse.diverse(*vectors(spark, folder), k=4, fetch_k=12))
 
 
+@query
+def topk_pq(spark, folder):
+    asked, corpus = vectors(spark, folder)
+    return shown(quantise.search_codes(quantise.build_codes(corpus), asked, k=4))
+
+
 @query
 def topk_ivf(spark, folder):
     asked, corpus = vectors(spark, folder)
