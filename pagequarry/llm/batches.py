@@ -21,6 +21,7 @@ WORD_BYTES = np.array([48 <= b <= 57 or 97 <= b <= 122 or b >= 128 for b in rang
 STEP = np.uint64(0x9E3779B97F4A7C15)
 STEP_BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
 PIECE_BYTES = 2 << 20
+KEPT_POWERS = (2 << 20) + 1
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -49,17 +50,21 @@ def pieces(
         first = last
 
 
-@lru_cache(maxsize=8)
 def _powers(step: int, size: int) -> np.ndarray:
     powers = np.full(size, step, np.uint64)
-    powers[0] = 1
+    powers[:1] = 1
     return np.cumprod(powers, dtype=np.uint64)
 
 
+_kept_powers = lru_cache(maxsize=2)(_powers)
+
+
 def powers(step: np.uint64, size: int) -> np.ndarray:
-    """The first powers of ``step`` modulo 2**64."""
-    room = max(1 << 21, 1 << (max(size, 1) - 1).bit_length())
-    return _powers(int(step), room)[:size]
+    """The first powers of ``step`` modulo 2**64. A fixed number of them is kept; those that
+    one long text needs beyond are not, as an idle worker would hold them."""
+    if size <= KEPT_POWERS:
+        return _kept_powers(int(step), KEPT_POWERS)[:size]
+    return _powers(int(step), size)
 
 
 def mix(x: np.ndarray) -> np.ndarray:

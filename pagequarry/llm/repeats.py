@@ -14,8 +14,9 @@ Hashes of 48 bits deal the cores and tell halves of one core apart; windows in t
 array are compared byte by byte.
 
 Defined cases: a null or empty text, or one shorter than a window, keeps its bytes. Ids are
-integers, null is the largest. Rows of one id are ordered by the start alone: of rows that
-are repeated exactly none is earlier, so all come out alike.
+integers, null is the largest. Rows of one id are ordered by the start alone, and told apart by
+64 bits of hash of their texts: of rows that are repeated exactly none is earlier, so all come
+out alike.
 """
 
 from __future__ import annotations
@@ -42,7 +43,6 @@ LONG = 4 << 20  # texts beyond this are read in overlapping parts
 POOL_BYTES = 128 << 10  # text of one suffix array
 NO_ID = 2**63 - 1
 PLACE = np.uint64(0xFFFFFFF)  # low bits of an anchor's hash give way to its place
-MARK_BITS = 40  # a start takes the low bits, a mark of the text the 23 above
 HASH_BITS = np.uint64(16)
 
 
@@ -90,25 +90,25 @@ def _from_six(raw: bytes) -> np.ndarray:
     return wide.reshape(-1).view("<u8")
 
 
-def pack(core, whole, ident, start, count, distance) -> bytes:
-    """Half runs as bytes: two hashes, then the numbers by byte, compressed."""
+def pack(core, whole, ident, mark, start, count, distance) -> bytes:
+    """Half runs as bytes: the hashes, then the numbers by byte, compressed."""
     steps = np.diff(ident, prepend=0)
     numbers = b"".join(
         x.astype(f"<i{w}").view(np.uint8).reshape(-1, w).T.tobytes()
         for x, w in ((steps, 8), (start, 8), (count, 1), (distance, 1))
     )
-    return _six(core) + _six(whole) + zlib.compress(numbers, 1)
+    return _six(core) + _six(whole) + mark.astype("<i8").tobytes() + zlib.compress(numbers, 1)
 
 
 def unpack(blob: bytes, size: int) -> list[np.ndarray]:
     core, whole = _from_six(blob[: 6 * size]), _from_six(blob[6 * size : 12 * size])
-    numbers, out, at = zlib.decompress(blob[12 * size :]), [], 0
+    mark = np.frombuffer(blob, "<i8", size, 12 * size)
+    numbers, out, at = zlib.decompress(blob[20 * size :]), [], 0
     for w in (8, 8, 1, 1):
         rows = np.frombuffer(numbers, np.uint8, size * w, at).reshape(w, size).T.copy()
         out.append(rows.view(f"<i{w}").reshape(-1).astype(np.int64))
         at += size * w
-    out[0] = np.cumsum(out[0])
-    return [core, whole, *out]
+    return [core, whole, np.cumsum(out[0]), mark, *out[1:]]
 
 
 def _parts(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -129,11 +129,11 @@ def _dealt(docs: DataFrame, buckets: int) -> DataFrame:
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts:
             idents = batch["ident"].to_numpy()
-            marks = batch["mark"].to_numpy().astype(np.int64) << MARK_BITS
+            marks = batch["mark"].to_numpy()
             for data, texts, rows, offset in _parts(batch):
                 owner, start, count, distance, core, whole = halves(data, texts)
-                ident = idents[rows[owner]]
-                at = (start - texts[owner] + offset[owner]) | marks[rows[owner]]
+                ident, mark = idents[rows[owner]], marks[rows[owner]]
+                at = start - texts[owner] + offset[owner]
                 bucket = (core % np.uint64(buckets)).astype(np.int64)
                 order = np.lexsort((at, ident, bucket))
                 cuts = np.flatnonzero(np.diff(bucket[order])) + 1
@@ -141,9 +141,8 @@ def _dealt(docs: DataFrame, buckets: int) -> DataFrame:
                 for which in np.split(order, cuts) if len(order) else ():
                     names.append(int(bucket[which[0]]))
                     sizes.append(len(which))
-                    blobs.append(
-                        pack(*(x[which] for x in (core, whole, ident, at, count, distance)))
-                    )
+                    columns = (core, whole, ident, mark, at, count, distance)
+                    blobs.append(pack(*(x[which] for x in columns)))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(names, pa.int64()),
@@ -156,8 +155,7 @@ def _dealt(docs: DataFrame, buckets: int) -> DataFrame:
     return docs.mapInArrow(run, "bucket long, n long, runs binary")
 
 
-LOW = np.int64((1 << MARK_BITS) - 1)
-FOUND = "ident long, at long, count int, distance int, core long, same boolean"
+FOUND = "ident long, mark long, at long, count int, distance int, core long, same boolean"
 
 
 def _met(dealt: DataFrame) -> DataFrame:
@@ -173,7 +171,7 @@ def _met(dealt: DataFrame) -> DataFrame:
                 held.setdefault(name, []).append((size, blob.as_py()))
         for name in sorted(held):
             unpacked = [unpack(blob, size) for size, blob in held.pop(name)]
-            core, whole, ident, at, count, distance = map(
+            core, whole, ident, mark, at, count, distance = map(
                 np.concatenate, zip(*unpacked, strict=True)
             )
             # Only cores that come up twice are sorted further.
@@ -183,9 +181,9 @@ def _met(dealt: DataFrame) -> DataFrame:
             kept = kept[~(new[:-1] & new[1:])]
             if not len(kept):
                 continue
-            order = kept[np.lexsort((at[kept] & LOW, ident[kept], whole[kept], core[kept]))]
+            order = kept[np.lexsort((at[kept], ident[kept], whole[kept], core[kept]))]
             core, whole, ident, at = core[order], whole[order], ident[order], at[order]
-            count, distance = count[order], distance[order]
+            mark, count, distance = mark[order], count[order], distance[order]
             head = np.ones(len(order), bool)
             head[1:] = core[1:] != core[:-1]
             first = head.copy()
@@ -194,11 +192,12 @@ def _met(dealt: DataFrame) -> DataFrame:
             kinds = np.bincount(group, first)
             # Equal to one that starts earlier; a tie (rows of one id) is not earlier.
             lead = np.maximum.accumulate(np.where(first, np.arange(len(order)), 0))
-            same = ~first & ((ident != ident[lead]) | (at & LOW != at[lead] & LOW))
+            same = ~first & ((ident != ident[lead]) | (at != at[lead]))
             out = np.flatnonzero(same | (kinds[group] > 1) & ~same)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(ident[out]),
+                    pa.array(mark[out]),
                     pa.array(at[out]),
                     pa.array(count[out].astype(np.int32)),
                     pa.array(distance[out].astype(np.int32)),
@@ -281,7 +280,7 @@ def _meet(docs: DataFrame, found: DataFrame, with_kept: bool) -> DataFrame:
     """Each document with its repeats: finished, or with its text and the pieces for the pool;
     then ``starts`` and ``counts`` keep the windows already known to go."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    runs = found.groupBy("ident", F.shiftrightunsigned("at", MARK_BITS).alias("mark")).agg(
+    runs = found.groupBy("ident", "mark").agg(
         F.collect_list(F.struct("at", "count", "distance", "core", "same")).alias("runs")
     )
 
@@ -294,7 +293,7 @@ def _meet(docs: DataFrame, found: DataFrame, with_kept: bool) -> DataFrame:
                 packed = batch["packed"][k].as_py()
                 text = zlib.decompress(packed)
                 own = batch["runs"][k].as_py() or []
-                gone = [(x["at"] & int(LOW), x["count"]) for x in own if x["same"]]
+                gone = [(x["at"], x["count"]) for x in own if x["same"]]
                 start = np.array([x[0] for x in gone], np.int64)
                 count = np.array([x[1] for x in gone], np.int64)
                 if len(gone) == len(own):
@@ -303,7 +302,7 @@ def _meet(docs: DataFrame, found: DataFrame, with_kept: bool) -> DataFrame:
                     pool = [
                         {
                             **{c: x[c] for c in ("core", "at", "count", "distance")},
-                            "piece": text[(a := x["at"] & int(LOW)) : a + x["count"] - 1 + WINDOW],
+                            "piece": text[x["at"] : x["at"] + x["count"] - 1 + WINDOW],
                         }
                         for x in own
                         if not x["same"]
@@ -350,7 +349,7 @@ def shared_windows(
         equal[now] = (views[order[now]] == views[order[i - 1 : now.stop - 1]]).all(axis=1)
     group = np.cumsum(~equal)
     offset = order - (ends[piece] - sizes[piece])
-    owner, start = ident[piece], (at[piece] & LOW) + offset
+    owner, start = ident[piece], at[piece] + offset
     by = np.lexsort((start, owner, group))
     head = np.ones(len(by), bool)
     head[1:] = group[by][1:] != group[by][:-1]
@@ -359,9 +358,9 @@ def shared_windows(
     return piece[by][later], offset[by][later]
 
 
-def _fine(rows: list[tuple]) -> list[tuple[bytes, int, int]]:
+def _fine(rows: list[tuple]) -> list[tuple[bytes, int, int, int]]:
     """Parts of the pieces whose windows have a finer core that another piece has as well:
-    (text, ident, at). Every eight windows by distance from the anchor share a core."""
+    (text, ident, at, mark). Every eight windows by distance from the anchor share a core."""
     pieces = [r[5] for r in rows]
     sizes = np.array([len(p) for p in pieces])
     begin = np.cumsum(sizes) - sizes
@@ -380,10 +379,12 @@ def _fine(rows: list[tuple]) -> list[tuple[bytes, int, int]]:
     last = (REACH - 1) // FINE
     low = np.where(block == last, begin[owner] + distance[owner], low)
     cores = np.array([r[0] for r in rows], np.int64)[owner]
-    key = np.stack([cores, block, batches.span_hash(sums, low, high).view(np.int64)], 1)
-    _, which, times = np.unique(key, axis=0, return_inverse=True, return_counts=True)
-    kept = times[which.reshape(-1)] > 1
-    out: list[tuple[bytes, int, int]] = []
+    # Two keys with one hash would only be compared for nothing.
+    key = batches.mix(cores.view(np.uint64) * batches.STEP + block.astype(np.uint64))
+    key = batches.mix(key ^ batches.span_hash(sums, low, high))
+    _, which, times = np.unique(key, return_inverse=True, return_counts=True)
+    kept = times[which] > 1
+    out: list[tuple[bytes, int, int, int]] = []
     before = None
     for k, b in zip(owner[kept].tolist(), block[kept].tolist(), strict=True):
         first = max(b * FINE - (REACH - 1) + int(distance[k]), 0)
@@ -399,21 +400,22 @@ def _fine(rows: list[tuple]) -> list[tuple[bytes, int, int]]:
     return out
 
 
-def _cut(rows: list[tuple], part: list[int]) -> tuple[bytes, int, int]:
+def _cut(rows: list[tuple], part: list[int]) -> tuple[bytes, int, int, int]:
     k, first, stop = part
-    return rows[k][5][first : stop - 1 + WINDOW], rows[k][1], rows[k][2] + first
+    return rows[k][5][first : stop - 1 + WINDOW], rows[k][1], rows[k][2] + first, rows[k][6]
 
 
 def _pooled(met: DataFrame) -> DataFrame:
-    """(ident, at, count): windows of the pool that start earlier elsewhere."""
-    pool = met.select("ident", F.explode("pool").alias("x")).select(
-        "x.core", "ident", "x.at", "x.count", "x.distance", "x.piece"
+    """(ident, mark, at, count): windows of the pool that start earlier elsewhere."""
+    pool = met.select("ident", "mark", F.explode("pool").alias("x")).select(
+        "x.core", "ident", "x.at", "x.count", "x.distance", "x.piece", "mark"
     )
 
     def solve(rows: list[tuple]) -> pa.RecordBatch:
         parts = _fine(rows)
         owner = np.array([p[1] for p in parts], np.int64)
         start = np.array([p[2] for p in parts], np.int64)
+        mark = np.array([p[3] for p in parts], np.int64)
         piece, window = shared_windows([p[0] for p in parts], owner, start)
         by = np.lexsort((window, piece))
         piece, window = piece[by], window[by]
@@ -423,10 +425,11 @@ def _pooled(met: DataFrame) -> DataFrame:
         return pa.RecordBatch.from_arrays(
             [
                 pa.array(owner[piece[head]]),
+                pa.array(mark[piece[head]]),
                 pa.array(start[piece[head]] + window[head]),
                 pa.array(np.diff(np.append(head, len(by))).astype(np.int32)),
             ],
-            names=["ident", "at", "count"],
+            names=["ident", "mark", "at", "count"],
         )
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -444,14 +447,14 @@ def _pooled(met: DataFrame) -> DataFrame:
 
     return (
         pool.repartition("core")
-        .sortWithinPartitions("core", "ident", "at")
-        .mapInArrow(run, "ident long, at long, count int")
+        .sortWithinPartitions("core", "ident", "at", "mark")
+        .mapInArrow(run, "ident long, mark long, at long, count int")
     )
 
 
 def _settled(met: DataFrame, pooled: DataFrame, with_kept: bool) -> DataFrame:
     """The documents that waited for the pool, finished."""
-    runs = pooled.groupBy("ident", F.shiftrightunsigned("at", MARK_BITS).alias("mark")).agg(
+    runs = pooled.groupBy("ident", "mark").agg(
         F.collect_list(F.struct("at", "count")).alias("runs")
     )
 
@@ -462,7 +465,7 @@ def _settled(met: DataFrame, pooled: DataFrame, with_kept: bool) -> DataFrame:
             heads = zip(*(batch[c].to_pylist() for c in names), strict=True)
             for k, head in enumerate(heads):
                 own = batch["runs"][k].as_py() or []
-                start = batch["starts"][k].as_py() + [x["at"] & int(LOW) for x in own]
+                start = batch["starts"][k].as_py() + [x["at"] for x in own]
                 count = batch["counts"][k].as_py() + [x["count"] for x in own]
                 text = zlib.decompress(batch["packed"][k].as_py())
                 now = np.array(start, np.int64), np.array(count, np.int64)
@@ -487,7 +490,7 @@ def remove_repeats(docs: DataFrame, with_kept: bool = True) -> DataFrame:
     docs = docs.select(
         "doc_id",
         F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("ident"),
-        F.xxhash64(text).bitwiseAND(F.lit((1 << 23) - 1)).alias("mark"),
+        F.xxhash64(text).alias("mark"),
         text.alias("text"),
     )
     buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -244,6 +244,29 @@ def plain_repeats(docs):
     return out
 
 
+def test_repeats_of_many_rows_of_one_id(spark):
+    """Rows without an id are told apart however many there are."""
+    passage = "".join(random.Random(7).choices("abcdefgh ", k=180))
+    rows = [(f"{i:010d}" * 11, i) for i in range(24_000)]
+    rows += [(f"{i:07d}"[: i % 7] + passage + f"{i:09d}", i) for i in range(2_000)]
+    starts = {}
+    for text, _ in rows:
+        for i in range(len(text) - 99):
+            window = text[i : i + 100]
+            starts[window] = min(starts.get(window, i), i)
+    want = collections.Counter()
+    for text, _ in rows:
+        gone = np.zeros(len(text), bool)
+        for i in range(len(text) - 99):
+            if starts[text[i : i + 100]] < i:
+                gone[i : i + 100] = True
+        kept = "".join(c for c, g in zip(text, gone.tolist(), strict=True) if not g)
+        want[len(text), int(gone.sum()), hashlib.sha256(kept.encode()).hexdigest()] += 1
+    frame = spark.createDataFrame([(None, t) for t, _ in rows], SCHEMA).repartition(4)
+    got = remove_repeats(frame, with_kept=False)
+    assert collections.Counter((r.n_bytes, r.n_removed, r.kept_sha256) for r in got.collect()) == want
+
+
 def passages(seed, n=120):
     rng = random.Random(seed)
     known = ["".join(rng.choice("abcdef gh\n") for _ in range(rng.randint(60, 400))) for _ in range(9)]
