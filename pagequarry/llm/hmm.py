@@ -292,18 +292,18 @@ class Chunk:
 
     def forward(self, states: States) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(scaled forward probabilities, scale of each token, emissions)."""
-        emit = states.emit.T[self.kind]
-        scale = np.empty(len(self.kind))
-        past = emit[: self.start[1]] * states.start
-        ahead = emit.copy()
+        emit = np.ascontiguousarray(states.emit.T)[self.kind]
+        scale = np.empty(len(self.kind), emit.dtype)
+        ahead, ones = np.empty_like(emit), np.ones(emit.shape[1], emit.dtype)
+        ahead[: self.start[1]] = states.start
         for t, n in enumerate(self.active.tolist()):
             a, b = self.start[t], self.start[t] + n
+            now = ahead[a:b]
             if t:
-                past = (past[:n] @ states.move) * emit[a:b]
-            sums = past.sum(axis=1)
-            past = past / sums[:, None]
-            scale[a:b] = sums
-            ahead[a:b] = past
+                np.matmul(ahead[self.start[t - 1] : self.start[t - 1] + n], states.move, out=now)
+            now *= emit[a:b]
+            np.matmul(now, ones, out=scale[a:b])
+            now /= scale[a:b, None]
         return ahead, scale, emit
 
     def log10(self, states: States) -> np.ndarray:
@@ -314,19 +314,19 @@ class Chunk:
 
     def expected(self, states: States) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Expected counts of starts, moves and emissions."""
-        ahead, scale, emit = self.forward(states)
-        moves = np.zeros_like(states.move)
-        back = np.ones((self.active[-1], len(states.start)))
-        for t in range(len(self.active) - 1, -1, -1):
-            a, n = self.start[t], self.active[t]
-            if t + 1 < len(self.active):
-                m, b = self.active[t + 1], self.start[t + 1]
-                later = emit[b : b + m] * back / scale[b : b + m, None]
-                moves += ahead[a : a + m].T @ later
-                new = np.ones((n, len(states.start)))
-                new[:m] = later @ states.move.T
-                back = new
-            ahead[a : a + n] *= back
+        ahead, scale, later = self.forward(states)
+        later /= scale[:, None]
+        after, back = np.ones_like(ahead), np.ascontiguousarray(states.move.T)
+        for t in range(len(self.active) - 2, -1, -1):
+            a, m, b = self.start[t], self.active[t + 1], self.start[t + 1]
+            now = later[b : b + m]
+            now *= after[b : b + m]
+            np.matmul(now, back, out=after[a : a + m])
+        # The token before each token that has one.
+        step = np.arange(self.active[0], len(scale))
+        before = step - np.repeat(self.active[:-1], self.active[1:])
+        moves = ahead[before].T @ later[self.active[0] :]
+        ahead *= after
         starts = ahead[: self.active[0]].sum(axis=0)
         seen = np.stack(
             [np.bincount(self.kind, ahead[:, k], states.emit.shape[1]) for k in range(len(starts))]
@@ -362,7 +362,9 @@ def _classes(batch: pa.RecordBatch) -> list[np.ndarray]:
 def _baum_welch(texts: DataFrame, states: States, lexicon: Lexicon) -> States:
     """One round over all of ``texts`` (classes)."""
     count, classes = states.emit.shape
-    sent = texts.sparkSession.sparkContext.broadcast(states)
+    # Counts are expectations over all texts: single precision is enough, and scores have double.
+    small = States(*(x.astype(np.float32) for x in (states.start, states.move, states.emit)))
+    sent = texts.sparkSession.sparkContext.broadcast(small)
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         states = sent.value
