@@ -28,6 +28,9 @@ CONTEXT_SEPARATOR = "\n\n"
 PROMPT = "{context}\n\nQuestion: {question}\nAnswer:"
 
 
+Search = Callable[[DataFrame, int], DataFrame]
+
+
 @dataclass(frozen=True)
 class Generator:
     """A language model by name. ``load()`` runs in the worker and returns the call
@@ -128,13 +131,20 @@ def answer_questions(
     metric: str = "l2",
     template: str = PROMPT,
     parallel: int | None = None,
+    search: Search | None = None,
 ) -> DataFrame:
     """Guard, retrieve, generate: (qid, question, result, sources) per question.
 
     ``questions`` is (qid, question), ``chunks`` (id, url, content, embedding).
-    ``parallel`` bounds the number of concurrent model callers.
+    ``parallel`` bounds the number of concurrent model callers. ``search`` finds the
+    neighbours of (qid, embedding) rows, by a stored index or in another way, and returns
+    (qid, rank, id, dist); by default the chunks are scanned.
     """
-    hits = retrieve(embed_questions(questions, embedder), chunks, k, metric)
+    asked = embed_questions(questions, embedder)
+    if search is None:
+        hits = retrieve(asked, chunks, k, metric)
+    else:
+        hits = search(asked, k).join(chunks.drop("embedding"), "id")
     prompts = build_prompts(questions, hits, template)
     if parallel:
         prompts = prompts.repartition(parallel)

@@ -28,6 +28,7 @@ from pagequarry.operators.nearest import (
     Distances,
     as_matrix,
     join_groups,
+    k_means,
     nearest,
     points_of,
     top_k,
@@ -40,6 +41,10 @@ MAX_CELLS = 65_536
 # Most bytes of cell centres sent to every task.
 CENTRE_BYTES = 128 << 20
 
+# Rows that centres are learned from on the driver, for each cell and at most.
+ROWS_PER_CELL = 64
+SAMPLE_BYTES = 64 << 20
+
 
 @dataclass(frozen=True)
 class CellIndex:
@@ -67,31 +72,38 @@ def _as_vectors(df: DataFrame, metric: str) -> DataFrame:
     return vectors.withColumnRenamed("_v", "_u")
 
 
-def build_cells(
-    corpus: DataFrame,
-    cells: int,
-    metric: str = "l2",
-    seed: int = 17,
-    iterations: int = 10,
-) -> CellIndex:
-    """Cut ``corpus`` (id, embedding) into cells.
+def learn_centres(
+    corpus: DataFrame, cells: int, metric: str = "l2", seed: int = 17, iterations: int = 10
+) -> np.ndarray:
+    """At most ``cells`` k-means centres of ``corpus`` (id, embedding).
 
-    The centres are learned from all rows; every row is then put in the cell of its
-    nearest centre.
+    Up to as many cells as ``SAMPLE_BYTES`` of rows, picked by the hash of the id, can
+    tell apart (``ROWS_PER_CELL`` each) are learned from these; more from all rows.
+    Searches are exact with any centres.
     """
     if metric not in ("l2", "cosine"):
         raise ValueError("cells need a metric with a triangle inequality: l2 or cosine")
     if not 0 < cells <= MAX_CELLS:
         raise ValueError(f"between 1 and {MAX_CELLS} cells")
-    corpus = corpus.select("id", "embedding").where(F.col("embedding").isNotNull())
     first = corpus.select(F.size("embedding").alias("n")).first()
     if first is None or cells * first.n * 8 > CENTRE_BYTES:
         raise ValueError(f"a corpus with rows, and centres of at most {CENTRE_BYTES} bytes")
+    if cells * ROWS_PER_CELL * max(1, first.n) * 8 <= SAMPLE_BYTES:
+        some = corpus.orderBy(F.xxhash64(F.lit(seed), "id"), "id").limit(cells * ROWS_PER_CELL)
+        vectors = some.select("embedding").toArrow().combine_chunks().column(0).combine_chunks()
+        rows = points_of(vectors, metric)
+        rows = rows[np.isfinite(rows).all(axis=1)]
+        rows = rows if len(rows) else np.zeros((1, first.n))
+        return k_means(rows, cells, np.random.default_rng(seed), iterations)
     # Random first centres: the default way gathers several times ``cells`` points on the driver.
     means = KMeans(
         k=cells, seed=seed, maxIter=iterations, initMode="random", featuresCol="_u"
     )
-    centres = np.array(means.fit(_as_vectors(corpus, metric).select("_u")).clusterCenters())
+    return np.array(means.fit(_as_vectors(corpus, metric).select("_u")).clusterCenters())
+
+
+def assigned(corpus: DataFrame, centres: np.ndarray, metric: str) -> DataFrame:
+    """(id, embedding) with the nearest centre of each row and its distance to it."""
     sent = corpus.sparkSession.sparkContext.broadcast(centres)
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -107,18 +119,43 @@ def build_cells(
             )
 
     id_type = corpus.schema["id"].dataType.simpleString()
-    assigned = corpus.mapInArrow(
+    return corpus.select("id", "embedding").mapInArrow(
         assign, f"id {id_type}, embedding array<float>, cell long, gap double"
     )
+
+
+def build_cells(
+    corpus: DataFrame,
+    cells: int,
+    metric: str = "l2",
+    seed: int = 17,
+    iterations: int = 10,
+) -> CellIndex:
+    """Cut ``corpus`` (id, embedding) into cells: every row is put in that of its nearest
+    centre."""
+    vector = F.col("embedding").cast("array<float>").alias("embedding")
+    corpus = corpus.select("id", vector).where(F.col("embedding").isNotNull())
+    centres = learn_centres(corpus, cells, metric, seed, iterations)
     # A folder per cell, so that a search reads the opened cells only. The range shuffle
     # gives each task few cells to write, and a large cell to many tasks.
-    rows = materialise(assigned.repartitionByRange("cell", "id"), "cells", partition_by="cell")
+    placed = assigned(corpus, centres, metric).repartitionByRange("cell", "id")
+    rows = materialise(placed, "cells", partition_by="cell")
     radius = np.full(len(centres), -1.0)
     for row in rows.groupBy("cell").agg(F.max("gap").alias("r")).collect():
         radius[row.cell] = row.r
     return CellIndex(rows, centres, radius, metric)
 
 
+def reach_of(kth: np.ndarray, q: np.ndarray, centres: np.ndarray, metric: str) -> np.ndarray:
+    """How far rows may lie from questions whose k-th distance is ``kth``, with room for the
+    rounding of distances."""
+    squares = kth * 2 if metric == "cosine" else kth
+    with np.errstate(invalid="ignore", over="ignore"):
+        sizes = np.concatenate([(q * q).sum(axis=1), (centres * centres).sum(axis=1)])
+    scale = np.sqrt(sizes[np.isfinite(sizes)].max(initial=0.0))
+    return np.sqrt(np.maximum(squares, 0)) + 1e-4 + 1e-6 * scale
+
+
 def _open_cells(index: CellIndex, questions: DataFrame, probes: int, further: bool) -> DataFrame:
     """One row per question and cell to look into: (group, qid, embedding).
 
@@ -130,7 +167,6 @@ def _open_cells(index: CellIndex, questions: DataFrame, probes: int, further: bo
 
     def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         centres, radius = sent.value
-        largest = (centres * centres).sum(axis=1).max()
         for batch in batches:
             q = points_of(batch.column(1), metric)
             for at, away in _distances_to(centres, q):
@@ -141,10 +177,7 @@ def _open_cells(index: CellIndex, questions: DataFrame, probes: int, further: bo
                 if further:
                     part = slice(at, at + len(away))
                     bound = batch.column(2).to_numpy(zero_copy_only=False)[part]
-                    squares = bound * 2 if metric == "cosine" else bound
-                    scale = np.sqrt(max((q[part] ** 2).sum(axis=1).max(), largest))
-                    # Room for the rounding of distances.
-                    reach = np.sqrt(np.maximum(squares, 0)) + 1e-4 + 1e-6 * scale
+                    reach = reach_of(bound, q[part], centres, metric)
                     chosen = ~chosen & (away - radius <= reach[:, None])
                 chosen[:, radius < 0] = False
                 who, cell = np.nonzero(chosen)

@@ -158,6 +158,30 @@ def block_nearest(
     return best
 
 
+def nearest_centre(rows: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    step = max(1, DISTANCE_CELLS // len(centres))
+    parts = [
+        Distances("l2").block(rows[at : at + step], centres).argmin(axis=1)
+        for at in range(0, len(rows), step)
+    ]
+    return np.concatenate(parts) if parts else np.empty(0, np.int64)
+
+
+def k_means(rows: np.ndarray, count: int, rng: np.random.Generator, rounds: int = 10) -> np.ndarray:
+    """At most ``count`` centres: rounds of the nearest centre of each row and the means."""
+    different = np.unique(rows, axis=0)
+    if len(different) <= count:
+        return different
+    centres = different[rng.choice(len(different), count, replace=False)]
+    for _ in range(rounds):
+        nearest = nearest_centre(rows, centres)
+        size = np.bincount(nearest, minlength=len(centres))
+        for dim in range(rows.shape[1]):
+            total = np.bincount(nearest, rows[:, dim], len(centres))
+            centres[:, dim] = np.where(size > 0, total / np.maximum(size, 1), centres[:, dim])
+    return centres
+
+
 # -- DataFrame operators -----------------------------------------------------------
 
 

@@ -27,6 +27,8 @@ from pagequarry.operators.nearest import (
     Distances,
     QuestionBlock,
     as_matrix,
+    k_means,
+    nearest_centre,
     points,
     points_of,
     question_blocks,
@@ -37,7 +39,6 @@ from pagequarry.scratch import materialise, scratch_path
 
 CENTRES = 256
 SAMPLE = 20_000
-ROUNDS = 10
 # Pairs of a question and a row that a task keeps before it looks which are still needed.
 WAITING = 1 << 20
 
@@ -55,30 +56,6 @@ class Codes:
         return len(self.books) + 16
 
 
-def _learn(points: np.ndarray, count: int, rng: np.random.Generator) -> np.ndarray:
-    """Centres of one part, by rounds of the nearest centre and the mean."""
-    different = np.unique(points, axis=0)
-    if len(different) <= count:
-        return different
-    centres = different[rng.choice(len(different), count, replace=False)]
-    for _ in range(ROUNDS):
-        nearest = _nearest(points, centres)
-        size = np.bincount(nearest, minlength=len(centres))
-        for dim in range(points.shape[1]):
-            total = np.bincount(nearest, points[:, dim], len(centres))
-            centres[:, dim] = np.where(size > 0, total / np.maximum(size, 1), centres[:, dim])
-    return centres
-
-
-def _nearest(points: np.ndarray, centres: np.ndarray) -> np.ndarray:
-    step = max(1, DISTANCE_CELLS // len(centres))
-    parts = [
-        Distances("l2").block(points[at : at + step], centres).argmin(axis=1)
-        for at in range(0, len(points), step)
-    ]
-    return np.concatenate(parts) if parts else np.empty(0, np.int64)
-
-
 def _cut(width: int, parts: int) -> list[slice]:
     edges = np.linspace(0, width, min(parts, width) + 1).astype(int).tolist()
     return [slice(a, b) for a, b in zip(edges, edges[1:], strict=False)]
@@ -103,7 +80,7 @@ def build_codes(
     rng = np.random.default_rng(seed)
     cuts = _cut(sampled.shape[1], parts)
     sampled = sampled if len(sampled) else np.zeros((1, sampled.shape[1]))
-    books = [_learn(sampled[:, c], CENTRES, rng) for c in cuts]
+    books = [k_means(sampled[:, c], CENTRES, rng) for c in cuts]
     sent = corpus.sparkSession.sparkContext.broadcast(books)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -113,7 +90,7 @@ def build_codes(
                 continue
             x = points_of(batch.column(1), metric)
             with np.errstate(invalid="ignore", over="ignore"):
-                code = np.stack([_nearest(x[:, c], b) for c, b in zip(cuts, books, strict=True)], 1)
+                code = np.stack([nearest_centre(x[:, c], b) for c, b in zip(cuts, books, strict=True)], 1)
                 gap = np.sqrt(((x - _decoded(code, books)) ** 2).sum(axis=1))
             code = np.ascontiguousarray(code.astype(np.uint8))
             raw = pa.py_buffer(code.tobytes())

@@ -516,6 +516,11 @@ SELECT doc_id, (row_number() OVER (ORDER BY doc_id) - 1) // 150 AS batch FROM do
     "topk_mmr": marginal(4, 12, 0.5),
     "topk_pq": topk(4, L2),
     "topk_ivf": topk(4, L2),
+    "topk_stored": topk(4, L2),
+    "sync_index": topk(4, L2).replace(
+        "* (1 + label / 10))::FLOAT)",
+        "* (1 + label / 10))::FLOAT * CASE WHEN label = 1 THEN -1 ELSE 1 END)",
+    ).replace("FROM embeddings),\nasked", "FROM embeddings WHERE label <> 0),\nasked"),
     "topk_lsh": topk(4, L2),
     "retrieve_documents": f"{HITS} SELECT qid, rank::INTEGER AS rank, id, url, content FROM hits",
     "answer_sources": f"{HITS}, {SOURCES} SELECT qid, sources FROM sources",
@@ -527,6 +532,7 @@ FROM hits GROUP BY qid""",
     "build_prompt": prompt_sql(),
     "answer_questions": f"{ANSWERS} SELECT qid, result FROM answers",
     "qa_batch": f"{ANSWERS} SELECT qid, question, result, sources FROM answers",
+    "qa_index": f"{ANSWERS} SELECT qid, question, result, sources FROM answers",
     "format_answer": f"""{ANSWERS}
 SELECT qid, replace(result, ' ', '<br/>')
     || {escaped(SOURCES_OPEN)} || links || {escaped(SOURCES_CLOSE)} AS html,

@@ -10,7 +10,20 @@ from pyspark.sql import functions as F
 
 from pagequarry.functions import text
 from pagequarry.functions.text import decode_text
-from pagequarry.operators import answer, changes, chat, chunk, diverse, ids, index, nearest, parse, pdf, quantise
+from pagequarry.operators import (
+    answer,
+    changes,
+    chat,
+    chunk,
+    diverse,
+    ids,
+    index,
+    nearest,
+    parse,
+    pdf,
+    quantise,
+    stored,
+)
 from pagequarry.operators.concat import ordered_concat
 from pagequarry.operators.embed import embed, hashed_words
 from pagequarry.operators.explode import explode_once
@@ -585,6 +598,46 @@ def topk_ivf(spark, folder):
     return shown(index.search_cells(cells, asked, k=4, probes=4))
 
 
+@query
+def topk_stored(spark, folder):
+    """An index is written, opened again by its folder, and searched."""
+    asked, corpus = vectors(spark, folder)
+    root = scratch_path(spark, "index")
+    stored.create_index(corpus, root, cells=16)
+    return shown(stored.search_index(stored.open_index(spark, root), asked, k=4))
+
+
+@query
+def sync_index(spark, folder):
+    """Rows of one label come later, those of another go, and a third is moved."""
+    asked, corpus = vectors(spark, folder)
+    label = table(spark, folder, "embeddings").select(F.col("vec_id").alias("id"), "label")
+    rows, root = corpus.join(label, "id"), scratch_path(spark, "index")
+    stored.create_index(rows.where("label <> 2"), root, cells=16)
+    moved = F.transform("embedding", lambda x: (-x).cast("float"))
+    changes = rows.where("label IN (0, 1, 2)").select(
+        "id",
+        F.expr("CASE label WHEN 0 THEN 'delete' WHEN 1 THEN 'update' ELSE 'insert' END").alias("change"),
+        F.when(F.col("label") == 1, moved).otherwise(F.col("embedding")).alias("embedding"),
+    )
+    return shown(stored.search_index(stored.sync_index(changes, root), asked, k=4))
+
+
+@query
+def qa_index(spark, folder):
+    """The answers of ``qa_batch``, the chunks found by a stored index."""
+    chunks, root = chunk_table(spark, folder), scratch_path(spark, "index")
+    opened = stored.create_index(chunks.select("id", "embedding"), root, cells=32)
+    answers = answer.answer_questions(
+        questions(spark, folder),
+        chunks,
+        EMBEDDER,
+        GENERATOR,
+        search=lambda asked, k: stored.search_index(opened, asked, k),
+    )
+    return answers.withColumn("sources", F.array_join("sources", ","))
+
+
 @query
 def topk_lsh(spark, folder):
     asked, corpus = vectors(spark, folder)
