@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagequarry.scratch import materialise
 
 CHUNK_COLUMNS = "id BIGINT, url STRING, content STRING, embedding ARRAY<FLOAT>"
-COLLECTION_COLUMNS = "id STRING, embedding ARRAY<FLOAT>, uri STRING, document STRING"
+COLLECTION_COLUMNS = "id STRING, embedding ARRAY<FLOAT>, uri STRING, document STRING, bucket INT"
+# Folders that the ids of a collection are dealt to: a change rewrites those it touches.
+COLLECTION_BUCKETS = 64
 LOG_COLUMNS = (
     "request_id STRING, question STRING, answer STRING, sources ARRAY<STRING>, ts TIMESTAMP"
 )
@@ -131,19 +135,25 @@ def create_collection(
     embedder: str,
     metric: str = "l2",
     path: str | None = None,
+    buckets: int = COLLECTION_BUCKETS,
 ) -> None:
-    """A collection is a table that records how its vectors were made."""
+    """A collection is a table that records how its vectors were made.
+
+    Its rows lie in buckets by the hash of their ids; take so many that one is rewritten
+    in reasonable time."""
     properties = {
         "collection.dim": dim,
         "collection.embedder": embedder,
         "collection.metric": metric,
+        "storage.buckets": buckets,
     }
-    create_table(spark, name, COLLECTION_COLUMNS, properties, path)
+    create_table(spark, name, COLLECTION_COLUMNS, properties, path, partition_by="bucket")
 
 
-def collection_info(spark: SparkSession, name: str) -> dict[str, str]:
+def collection_info(
+    spark: SparkSession, name: str, prefix: str = "collection."
+) -> dict[str, str]:
     rows = spark.sql(f"SHOW TBLPROPERTIES {name}").collect()
-    prefix = "collection."
     return {r.key[len(prefix) :]: r.value for r in rows if r.key.startswith(prefix)}
 
 
@@ -171,7 +181,7 @@ def collection_rows(chunks: DataFrame) -> DataFrame:
 def add_to_collection(chunks: DataFrame, name: str, embedder) -> None:
     """Add chunk rows by id: a row whose id is there already is replaced.
 
-    New ids are appended; the collection is written anew only if some id is known.
+    New ids are appended; only buckets with a known id are written anew.
     """
     check_embedder(chunks.sparkSession, name, embedder)
     _put(collection_rows(chunks).dropDuplicates(["id"]), None, name)
@@ -190,17 +200,56 @@ def _put(rows: DataFrame, gone: DataFrame | None, name: str) -> None:
     """Replace rows by id and leave out ids in ``gone``."""
     spark = rows.sparkSession
     spark.catalog.refreshTable(name)
+    buckets = int(collection_info(spark, name, "storage.")["buckets"])
+    bucket = F.pmod(F.xxhash64("id"), F.lit(buckets)).cast("int").alias("bucket")
+    rows = rows.select("*", bucket)
+    if spark.sql(f"SHOW PARTITIONS {name}").isEmpty():
+        append_by_name(_dealt(rows), name)
+        spark.catalog.refreshTable(name)
+        return
     rows = materialise(rows, "added")
-    touched = rows.select("id") if gone is None else rows.select("id").unionByName(gone).distinct()
+    touched = rows.select("bucket", "id")
+    if gone is not None:
+        touched = materialise(touched.unionByName(gone.select(bucket, "id")).distinct(), "touched")
     old = spark.table(name)
-    if old.join(touched, "id", "left_semi").isEmpty():
-        append_by_name(rows, name)
-    else:
-        kept = materialise(old.join(touched, "id", "left_anti").unionByName(rows), "collection")
-        kept.select(old.columns).write.insertInto(name, overwrite=True)
+    known = old.select("bucket", "id").join(touched, ["bucket", "id"], "left_semi")
+    # At most as many numbers as there are buckets.
+    again = sorted(r.bucket for r in known.select("bucket").distinct().collect())
+    if again:
+        stay = old.where(F.col("bucket").isin(again)).join(touched, ["bucket", "id"], "left_anti")
+        added = rows.where(F.col("bucket").isin(again))
+        whole = materialise(stay.select(rows.columns).unionByName(added), "buckets")
+        left = {r.bucket for r in whole.select("bucket").distinct().collect()}
+        with _only_written_partitions(spark):
+            _dealt(whole).select(old.columns).write.insertInto(name, overwrite=True)
+        for empty in set(again) - left:
+            fields = ", ".join(c for c in old.columns if c != "bucket")
+            spark.sql(
+                f"INSERT OVERWRITE TABLE {name} PARTITION (bucket = {empty}) "
+                f"SELECT {fields} FROM {{rows}} WHERE false",
+                rows=whole,
+            )
+    append_by_name(_dealt(rows.where(~F.col("bucket").isin(again))), name)
     spark.catalog.refreshTable(name)
 
 
+def _dealt(rows: DataFrame) -> DataFrame:
+    """Rows together by bucket, so that a task writes few files; a large bucket is split."""
+    return rows.hint("rebalance", "bucket")
+
+
+@contextmanager
+def _only_written_partitions(spark: SparkSession):
+    """An overwrite replaces the partitions it has rows for, for the writes inside."""
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 # -- inference log -----------------------------------------------------------------
 
 

@@ -120,6 +120,37 @@ def test_adding_again_replaces_and_sync_follows(spark, name):
     assert held() == {"2": "B", "3": "C", "4": "d"}
 
 
+def test_a_change_rewrites_only_the_buckets_of_known_ids(spark, name, tmp_path):
+    from pathlib import Path
+
+    embedder, home = hashed_words(2), tmp_path / "collection"
+    tables.create_collection(spark, name, embedder.dim, embedder.name, path=str(home), buckets=8)
+
+    def chunks(ids, change="update"):
+        rows = [(str(i), "u", f"{change} {i}", [0.0, 1.0], change) for i in ids]
+        kinds = "id string, url string, content string, embedding array<float>, change string"
+        return spark.createDataFrame(rows, kinds)
+
+    def files():
+        return {str(p.relative_to(home)) for p in Path(home).glob("bucket=*/*.parquet")}
+
+    tables.add_to_collection(chunks(range(100)), name, embedder)
+    before, bucket = files(), spark.table(name).where("id = '7'").first().bucket
+    tables.sync_collection(chunks([7], "again"), name, embedder)
+    own = {f for f in before if f.startswith(f"bucket={bucket}/")}
+    assert before - files() == own and spark.table(name).where("id = '7'").first().document == "again 7"
+    # New ids are appended; no file goes.
+    now = files()
+    tables.add_to_collection(chunks(range(100, 130)), name, embedder)
+    assert now <= files() and spark.table(name).count() == 130
+    # A bucket that loses all rows is empty, and can be filled again.
+    ids = [r.id for r in spark.table(name).where(F.col("bucket") == bucket).collect()]
+    tables.sync_collection(chunks(ids, "delete"), name, embedder)
+    assert spark.table(name).count() == 130 - len(ids)
+    tables.add_to_collection(chunks([7]), name, embedder)
+    assert {r.id for r in spark.table(name).where(F.col("bucket") == bucket).collect()} == {"7"}
+
+
 def test_wide_ids_fit_the_chunk_table(spark, name):
     from pagequarry.operators.ids import wide_id
 
