@@ -23,6 +23,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 LEAF_BYTES = 6  # strings up to this size are not halved
 REMEMBERED = 64  # characters; longer pieces are not remembered
+# Pieces, leaves and seams in a generation, some 50 MB in all: a worker meets most
+# pieces of its partition again, so each is encoded about once.
+PIECES, LEAVES, SEAMS = 200_000, 60_000, 60_000
 TEXT_BLOCK = 1 << 20  # characters of a text that are split into pieces at a time
 LEAF = 4096  # tokens that decoding concatenates at once
 SAFE_CUT = regex.compile(r"(?<=\p{L})(?= \p{L})")
@@ -66,14 +69,9 @@ class Encoder:
             self.tokens[rank] = token
         self.split = regex.compile(pattern)
         self.packed = {t: r.to_bytes(4, "little") for t, r in ranks.items()}
-        self.seams = Memory(lambda pair: self.short(pair[0] + pair[1]), 40_000)
-        self.leaves = Memory(self.merge, 30_000)
-        self.pieces = Memory(self.piece, 100_000)
-
-    def forget(self) -> None:
-        for memory in (self.seams, self.leaves, self.pieces):
-            memory.clear()
-            memory.old = {}
+        self.seams = Memory(lambda pair: self.short(pair[0] + pair[1]), SEAMS)
+        self.leaves = Memory(self.merge, LEAVES)
+        self.pieces = Memory(self.piece, PIECES)
 
     def piece(self, piece: str) -> bytes:
         """Packed ids of one match of the pattern: of the token it is, or of its encoding."""
@@ -200,6 +198,12 @@ def _encoder(content: bytes, pattern: str) -> Encoder:
     return _ENCODERS[key]
 
 
+def forget() -> None:
+    """Let go of what an idle worker would hold."""
+    _ENCODERS.clear()
+    pa.default_memory_pool().release_unused()
+
+
 def ship_ranks(spark: SparkSession, path: str):
     """A vocabulary, read on the driver: a file of ranks, one line a token."""
     return spark.sparkContext.broadcast(read_ranks(path))
@@ -221,7 +225,7 @@ def encode(docs: DataFrame, ranks, pattern: str) -> DataFrame:
             texts = batch.column("text").cast(pa.binary())
             ids = [encoder.encode((t.as_py() or b"").decode("utf-8", "replace")) for t in texts]
             yield _replace(batch, "text", pa.array(ids, pa.binary()), "ids")
-        encoder.forget()  # an idle worker keeps what it holds
+        forget()
 
     docs = docs.select("doc_id", "text")
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -242,6 +246,7 @@ def decode(encoded: DataFrame, ranks, pattern: str) -> DataFrame:
                 [*batch.columns, pa.array(texts, pa.binary())],
                 names=[*batch.schema.names, "decoded"],
             )
+        forget()
 
     encoded = encoded.select("doc_id", "ids")
     kind = encoded.schema["doc_id"].dataType.simpleString()
