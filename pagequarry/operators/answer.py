@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
+import time
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from typing import NamedTuple
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -12,6 +15,7 @@ from pyspark.sql import functions as F
 
 from pagequarry.functions.html import answer_html
 from pagequarry.functions.text import guarded, is_blank, sorted_distinct, split_items, split_words
+from pagequarry.operators.chunk import count_words
 from pagequarry.operators.embed import Embedder, embed
 from pagequarry.operators.explode import explode_once
 from pagequarry.operators.nearest import retrieve
@@ -31,13 +35,39 @@ PROMPT = "{context}\n\nQuestion: {question}\nAnswer:"
 Search = Callable[[DataFrame, int], DataFrame]
 
 
+# Most prompts and tokens of one request, answers included.
+REQUEST_PROMPTS = 64
+REQUEST_TOKENS = 32_000
+# Rows without a prompt that a task holds before it passes them on.
+MOST_WAITING = 10_000
+
+
+class Request(NamedTuple):
+    """What a model is asked at once. The key is the same whenever the same is asked, so a
+    server can tell a repeated request."""
+
+    prompts: list[str]
+    max_tokens: int | None
+    key: str
+
+
 @dataclass(frozen=True)
 class Generator:
     """A language model by name. ``load()`` runs in the worker and returns the call
-    ``list of prompts -> list of answers``."""
+    ``list of prompts -> list of answers`` or, with ``requests``, ``Request -> answers``.
+
+    ``max_tokens`` bounds each answer, ``count`` counts the tokens of a prompt, and a call
+    that raises one of ``retry_on`` is made again, up to ``retries`` times.
+    """
 
     name: str
-    load: Callable[[], Callable[[list[str]], list[str]]]
+    load: Callable[[], Callable]
+    max_tokens: int | None = None
+    count: Callable[[str], int] = count_words
+    requests: bool = False
+    retry_on: tuple[type[Exception], ...] = ()
+    retries: int = 3
+    pause: float = 0.5
 
 
 def extractive(max_tokens: int = ANSWER_TOKENS) -> Generator:
@@ -50,25 +80,67 @@ def extractive(max_tokens: int = ANSWER_TOKENS) -> Generator:
         found = sentence.match(passage)
         return " ".join(split_words(found.group() if found else passage)[:max_tokens])
 
-    return Generator(f"extractive-{max_tokens}", lambda: lambda prompts: [answer(p) for p in prompts])
+    def load() -> Callable[[list[str]], list[str]]:
+        return lambda prompts: [answer(p) for p in prompts]
 
+    return Generator(f"extractive-{max_tokens}", load, max_tokens)
 
-def generate(prompt: Column, generator: Generator) -> Column:
+
+def _asked(call: Callable, generator: Generator, prompts: list[str]) -> list[str]:
+    """The answers of one request, asked again after errors that pass."""
+    key = hashlib.sha256("\0".join([generator.name, *prompts]).encode()).hexdigest()
+    request = Request(prompts, generator.max_tokens, key)
+    for nth in range(generator.retries + 1):
+        try:
+            answers = list(call(request if generator.requests else prompts))
+            break
+        except generator.retry_on:
+            if nth == generator.retries:
+                raise
+            time.sleep(generator.pause * 2**nth)
+    if len(answers) != len(prompts):
+        raise ValueError(f"{generator.name}: not one answer per prompt")
+    return answers
+
+
+def generate(
+    prompt: Column,
+    generator: Generator,
+    request_prompts: int = REQUEST_PROMPTS,
+    request_tokens: int = REQUEST_TOKENS,
+) -> Column:
     """Answers to a prompt column; null prompts are not sent to the model.
 
-    Marked nondeterministic so that the optimizer never calls the model twice.
+    Prompts are packed into requests in their order, across Arrow batches: a request is sent
+    when one more prompt and its answer would exceed either bound. A longer prompt is a
+    request of its own. Marked nondeterministic so that the optimizer never calls the model
+    twice.
     """
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         call = generator.load()
+
+        def answered(rows: list[str | None]) -> pd.Series:
+            prompts = [p for p in rows if p is not None]
+            given = iter(_asked(call, generator, prompts) if prompts else [])
+            return pd.Series([None if p is None else next(given) for p in rows], dtype=object)
+
+        waiting: list[str | None] = []
+        size = tokens = 0
         for batch in batches:
-            asked = batch.notna()
-            prompts = batch[asked].tolist()
-            answers = list(call(prompts)) if prompts else []
-            if len(answers) != len(prompts):
-                raise ValueError(f"{generator.name}: not one answer per prompt")
-            given = iter(answers)
-            yield pd.Series([next(given) if a else None for a in asked], dtype=object)
+            for text in batch.where(batch.notna(), None):
+                cost = 0
+                if text is not None:
+                    cost = generator.count(text) + (generator.max_tokens or 0)
+                full = size and (size >= request_prompts or tokens + cost > request_tokens)
+                if (full and text is not None) or len(waiting) >= MOST_WAITING:
+                    yield answered(waiting)
+                    waiting, size, tokens = [], 0, 0
+                waiting.append(text)
+                size += text is not None
+                tokens += cost
+        if waiting:
+            yield answered(waiting)
 
     return F.pandas_udf(run, "string").asNondeterministic()(prompt)
 
@@ -132,11 +204,14 @@ def answer_questions(
     template: str = PROMPT,
     parallel: int | None = None,
     search: Search | None = None,
+    request_prompts: int = REQUEST_PROMPTS,
+    request_tokens: int = REQUEST_TOKENS,
 ) -> DataFrame:
     """Guard, retrieve, generate: (qid, question, result, sources) per question.
 
     ``questions`` is (qid, question), ``chunks`` (id, url, content, embedding).
-    ``parallel`` bounds the number of concurrent model callers. ``search`` finds the
+    ``parallel`` bounds the number of concurrent model callers, and the request bounds what
+    each asks at once (see ``generate``). ``search`` finds the
     neighbours of (qid, embedding) rows, by a stored index or in another way, and returns
     (qid, rank, id, dist); by default the chunks are scanned.
     """
@@ -148,7 +223,7 @@ def answer_questions(
     prompts = build_prompts(questions, hits, template)
     if parallel:
         prompts = prompts.repartition(parallel)
-    answered = prompts.withColumn("_answer", generate(F.col("prompt"), generator))
+    answered = prompts.withColumn("_answer", generate(F.col("prompt"), generator, request_prompts, request_tokens))
     return answered.select(
         "qid", "question", guarded(F.col("question"), F.col("_answer")).alias("result"), "sources"
     )

@@ -50,17 +50,18 @@ def pack(pieces: list[Piece], size: int, overlap: int) -> Iterator[Piece]:
 
 def sentence_pieces(text: str, count: Callable[[str], int], size: int) -> Iterator[Piece]:
     """Pieces of at most ``size`` tokens: paragraphs if they fit, else their
-    sentences, phrases, words or characters."""
+    sentences, phrases, words, and tokens (``count.pieces``, else characters)."""
+    last = getattr(count, "pieces", CHARACTER.findall)
 
     def cut(part: str, levels: tuple) -> Iterator[Piece]:
         n = count(part)
         if n <= size or not levels:
             yield part, n
         else:
-            for piece in levels[0].findall(part):
+            for piece in levels[0](part):
                 yield from cut(piece, levels[1:])
 
-    return cut(text, (PARAGRAPH, SENTENCE, PHRASE, WORD, CHARACTER))
+    return cut(text, (PARAGRAPH.findall, SENTENCE.findall, PHRASE.findall, WORD.findall, last))
 
 
 def character_runs(text: str, size: int, separators=SEPARATORS) -> Iterator[list[Piece]]:

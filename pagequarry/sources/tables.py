@@ -12,7 +12,7 @@ from pagequarry.scratch import materialise
 CHUNK_COLUMNS = "id BIGINT, url STRING, content STRING, embedding ARRAY<FLOAT>"
 COLLECTION_COLUMNS = "id STRING, embedding ARRAY<FLOAT>, uri STRING, document STRING, bucket INT"
 # Folders that the ids of a collection are dealt to: a change rewrites those it touches.
-COLLECTION_BUCKETS = 64
+COLLECTION_BUCKETS = 16
 LOG_COLUMNS = (
     "request_id STRING, question STRING, answer STRING, sources ARRAY<STRING>, ts TIMESTAMP"
 )

@@ -133,3 +133,66 @@ def test_collection_is_searched_by_its_metric_and_embedder(spark, name):
     assert {(r.qid, r.id, r.url) for r in rows} == {(0, "1", "u1"), (1, "3", "u1")}
     with pytest.raises(ValueError):
         answer.retrieve_from(name, asked, hashed_words(32))
+
+
+def recorded(tmp_path, **options):
+    """A model that writes down what it is asked at once."""
+    import json
+
+    log = str(tmp_path / "requests")
+
+    def load():
+        def call(request):
+            with open(log, "a") as file:
+                file.write(json.dumps([request.prompts, request.max_tokens, request.key]) + "\n")
+            return [f"{p}!" for p in request.prompts]
+
+        return call
+
+    return Generator("recorded", load, requests=True, **options), lambda: [
+        json.loads(line) for line in open(log)
+    ]
+
+
+def test_requests_are_filled_across_batches_and_bounded(spark, tmp_path):
+    model, asked = recorded(tmp_path, max_tokens=2)
+    prompts = [" ".join(["w"] * n) for n in (3, 3, 3, 30, 1, 1, 1, 1, 1, 3)]
+    rows = [(i, p) for i, p in enumerate(prompts)] + [(10, None)]
+    df = spark.createDataFrame(rows, "id long, prompt string").coalesce(1)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")
+    try:
+        answers = df.withColumn("a", answer.generate(F.col("prompt"), model, 4, 12)).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert {r.id: r.a for r in answers} == {i: p and f"{p}!" for i, p in rows}
+    # With two tokens of answer each: 5 + 5, 5, 32 alone, four of 3, 3 + 5.
+    assert [len(p) for p, _, _ in asked()] == [2, 1, 1, 4, 2]
+    assert all(most == 2 for _, most, _ in asked()) and len({key for *_, key in asked()}) == 5
+
+
+def test_a_request_is_asked_again_under_its_key(spark, tmp_path):
+    marker = str(tmp_path / "keys")
+
+    def load():
+        def call(request):
+            with open(marker, "a+") as file:
+                file.seek(0)
+                nth = len(file.readlines())
+                file.write(request.key + "\n")
+            if nth < 2:
+                raise TimeoutError
+            return ["late"] * len(request.prompts)
+
+        return call
+
+    model = Generator("slow", load, requests=True, retry_on=(TimeoutError,), pause=0.01)
+    df = spark.createDataFrame([("a",), ("b",)], "prompt string").coalesce(1)
+    assert {r[0] for r in df.select(answer.generate(F.col("prompt"), model)).collect()} == {"late"}
+    keys = open(marker).read().split()
+    assert len(keys) == 3 and len(set(keys)) == 1
+
+
+def test_the_token_limit_reaches_the_model(spark):
+    asked = questions(spark, "red apples grow on trees")
+    found = answer.answer_questions(asked, chunks(spark), EMBEDDER, answer.extractive(2), k=1)
+    assert found.first().result == "red apples"
