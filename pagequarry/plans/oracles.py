@@ -555,3 +555,4 @@ SELECT page_id, (s // 320 + 1)::INTEGER AS page_number, {some(1, 320)} AS text F
 SELECT page_id, page_id % 3 <> 0 AS pdf, array_to_string(w, ' ') AS text FROM worded""",
     "reading_order": SHEETS,
 }
+ORACLES["stored_changes"] = ORACLES["snapshot_changes"]

@@ -31,6 +31,7 @@ from pagequarry.plans.pdf_files import write_pdf
 from pagequarry.scratch import materialise, scratch_path
 from pagequarry.session import ship_package, spread
 from pagequarry.sources import files, tables
+from pagequarry.sources import snapshots as kept
 from pagequarry.streaming import ingest, respond
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -253,6 +254,16 @@ def snapshot_changes(spark, folder):
     return changes.snapshot_changes(*snapshots(spark, folder), "doc_id")
 
 
+@query
+def stored_changes(spark, folder):
+    """The same, from snapshots that are kept with their digests."""
+    roots = []
+    for rows in snapshots(spark, folder):
+        roots.append(scratch_path(spark, "snapshot"))
+        kept.write_snapshot(rows, "doc_id", roots[-1], buckets=32, branches=4)
+    return kept.stored_changes(spark, *roots, "doc_id")
+
+
 @query
 def apply_changes(spark, folder):
     old, new = snapshots(spark, folder)
