@@ -556,3 +556,23 @@ SELECT page_id, page_id % 3 <> 0 AS pdf, array_to_string(w, ' ') AS text FROM wo
     "reading_order": SHEETS,
 }
 ORACLES["stored_changes"] = ORACLES["snapshot_changes"]
+
+# The image line of a message of the assistant.
+IMAGE = (
+    '<img style="float: left; width:40px; margin: -10px 5px 0px -10px" '
+    'src="https://example.net/robot.png"/>\n        '
+)
+ORACLES["chat_page"] = f"""{ANSWERS},
+history AS (
+  SELECT conv_id, string_agg(
+    CASE WHEN role = 'user' THEN {escaped(USER_OPEN)}
+         ELSE {escaped(ASSISTANT_OPEN)} || {escaped(IMAGE)} END
+      || text || {escaped(MESSAGE_CLOSE)}, '' ORDER BY turn) AS shown
+  FROM conversations GROUP BY conv_id),
+replies AS (
+  SELECT qid AS conv_id, {escaped(ASSISTANT_OPEN)} || {escaped(IMAGE)}
+    || replace(result, chr(10), '<br/>') || {escaped(SOURCES_OPEN)} || links
+    || {escaped(SOURCES_CLOSE)} || {escaped(MESSAGE_CLOSE)} AS reply
+  FROM answers)
+SELECT conv_id, coalesce(shown, '') || coalesce(reply, '') AS html
+FROM history FULL JOIN replies USING (conv_id)"""

@@ -768,3 +768,15 @@ def reading_order(spark, folder):
     return elements.select(
         "page_id", "page_number", "pos", "text", F.col("metadata")["text_as_html"].alias("table")
     )
+
+
+# -- chat pages --------------------------------------------------------------------
+
+AVATAR = "https://example.net/robot.png"
+
+
+@query
+def chat_page(spark, folder):
+    """Every conversation with the answer to the question of its number, if there is one."""
+    answers = all_answers(spark, folder).withColumnRenamed("qid", "conv_id")
+    return chat.chat_pages(table(spark, folder, "conversations"), answers, avatar_url=AVATAR)
