@@ -477,6 +477,12 @@ def _scorer(model) -> Scorer:
     return _SCORERS[model.id]
 
 
+def _forget() -> None:
+    """Let go of what an idle worker would hold."""
+    _SCORERS.clear()
+    pa.default_memory_pool().release_unused()
+
+
 class _Shared:
     """A model on its way to the tasks, with a name that workers know it by."""
 
@@ -511,6 +517,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch["doc_id"], pa.array(values, pa.float64())], names=["doc_id", "score"]
             )
+        _forget()
 
     docs = docs.select("doc_id", "text")
     return docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, score double")
@@ -524,5 +531,6 @@ def drop_toxic(docs: DataFrame, model: Model, limit: float = 0.5) -> DataFrame:
         for batch in parts:
             values = _batch_scores(_scorer(shared), batch)
             yield batch.filter(pa.array(values < limit, pa.bool_()))
+        _forget()
 
     return docs.mapInArrow(run, docs.schema)
