@@ -5,9 +5,8 @@ personal data is replaced by marks; the texts that are left become tokens. Every
 the last takes and returns the columns of ``documents``, written as Parquet in between.
 
 Defined cases are those of the operators: null and empty texts pass all filters, get no
-marks and have no tokens; rows without an id stay, as they are near duplicates of nothing but
-their own text; of rows repeated as a whole the near-duplicate stage keeps all with the
-smallest id. Columns besides doc_id and text may be missing or of any kind.
+marks and have no tokens; rows without an id are documents like others, and of rows repeated as
+a whole, or alike under one id or none, the near-duplicate stage keeps one. Columns besides doc_id and text may be missing or of any kind.
 """
 
 from __future__ import annotations
@@ -37,10 +36,19 @@ def clean_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document of the smallest id of each group of near duplicates."""
-    kept = near_duplicates(docs).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    with_id = docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
-    return with_id.unionByName(docs.where("doc_id IS NULL"))
+    """Keep one row of each group of near duplicates: that of the smallest id, rows without an
+    id last. Rows are told apart by a key of their own, so repeated rows are a group too."""
+    key = "row"
+    while key in docs.columns:
+        key += "_"
+    keyed = materialise(docs.withColumn(key, F.monotonically_increasing_id()), "keyed")
+    found = near_duplicates(keyed.select(F.col(key).alias("doc_id"), "text"))
+    groups = found.select(F.col("doc_id").alias(key), "component_id").join(
+        keyed.select(key, F.col("doc_id").alias("id")), key
+    )
+    first = F.min_by(key, F.struct(F.col("id").isNull(), "id", key)).alias(key)
+    kept = groups.groupBy("component_id").agg(first).select(key)
+    return keyed.join(kept, key, "left_semi").select(*docs.columns)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,8 +65,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each text, with digests of the ids and of the text decoded from them."""
     ranks = bpe.ship_ranks(spark, public_tokenizers.path(VOCABULARY))
     pattern = public_tokenizers.PATTERN
-    found = bpe.decode(bpe.encode(docs, ranks, pattern), ranks, pattern)
-    return found.select(
+    return bpe.round_trip(docs, ranks, pattern).select(
         "doc_id",
         F.expr("octet_length(ids) div 4").alias("n_tokens"),
         "ids",

@@ -99,6 +99,21 @@ def test_stages_of_the_pipeline(spark, testdata, con):
         assert r.decoded_sha256 == hashlib.sha256(after[r.doc_id].text.encode()).hexdigest()
 
 
+def test_one_row_of_each_group_stays(spark, testdata):
+    same = " ".join(f"word{i}" for i in range(40))
+    rows = [(1, same), (None, same), (None, same), (1, same), (1, "quite another text"), (7, same + " more")]
+    rows += [(None, None), (None, None), (3, ""), (None, "only here, and without an id"), (0, "other words of its own")]
+    docs = spark.createDataFrame([(i, t, "x", 0) for i, t in rows], "doc_id long, text string, row string, n_chars long")
+    kept = dict(corpus_pipeline.STAGES)["near_duplicates"](spark, docs.repartition(3), testdata)
+    assert kept.columns == docs.columns
+    key = lambda r: (r[0] is None, r[0] or 0, r[1] or "")
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=key) == sorted(
+        [(1, same), (1, "quite another text"), (None, None), (None, None), (3, "")]
+        + [(None, "only here, and without an id"), (0, "other words of its own")],
+        key=key,
+    )
+
+
 def test_pipeline_of_an_empty_table(spark, testdata):
     docs = spark.read.parquet(f"{testdata}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
