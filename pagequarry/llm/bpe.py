@@ -251,3 +251,25 @@ def decode(encoded: DataFrame, ranks, pattern: str) -> DataFrame:
     encoded = encoded.select("doc_id", "ids")
     kind = encoded.schema["doc_id"].dataType.simpleString()
     return encoded.mapInArrow(run, f"doc_id {kind}, ids binary, decoded binary")
+
+
+def round_trip(docs: DataFrame, ranks, pattern: str) -> DataFrame:
+    """(doc_id, text) to (doc_id, ids, decoded): encoded, and decoded from the ids alone, in the
+    same task, so that one worker holds the vocabulary and the ids move once."""
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = _encoder(ranks.value, pattern)
+        for batch in parts:
+            ids, texts = [], []
+            for text in batch.column("text").cast(pa.binary()):
+                ids.append(encoder.encode((text.as_py() or b"").decode("utf-8", "replace")))
+                texts.append(encoder.decode(np.frombuffer(ids[-1], "<u4").tolist()))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(ids, pa.binary()), pa.array(texts, pa.binary())],
+                names=["doc_id", "ids", "decoded"],
+            )
+        forget()
+
+    docs = docs.select("doc_id", "text")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.mapInArrow(run, f"doc_id {kind}, ids binary, decoded binary")

@@ -76,6 +76,15 @@ def test_bpe_equals_the_library(encoder, library, letters):
         assert encoder.decode(ids) == text.encode()
 
 
+def test_round_trip_equals_both_steps(spark, odd, none):
+    ranks, pattern = bpe.ship_ranks(spark, public_tokenizers.path(queries.VOCABULARY)), public_tokenizers.PATTERN
+    apart = bpe.decode(bpe.encode(odd, ranks, pattern), ranks, pattern).collect()
+    whole = bpe.round_trip(odd, ranks, pattern).collect()
+    assert sorted(map(tuple, whole), key=str) == sorted(map(tuple, apart), key=str) and len(whole) == len(ODD)
+    assert {bytes(r.decoded).decode() for r in whole} == {t or "" for _, t, *_ in ODD}
+    assert bpe.round_trip(none, ranks, pattern).collect() == []
+
+
 @pytest.mark.parametrize("text", ["a" * 9999, "ab" * 5000, "é" * 3000, " " * 3000, "1" * 5000])
 def test_bpe_of_long_pieces(encoder, library, text):
     assert np.frombuffer(encoder.encode(text), "<u4").tolist() == library.encode_ordinary(text)
