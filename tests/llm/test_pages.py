@@ -65,6 +65,15 @@ def test_text_of_an_article():
     assert wrappers.extract("<p>one</p>two<div class='ad'>x</div><p>three &lt;4", None) == "one\ntwo\nthree <4"
 
 
+def test_names_of_blocks_are_judged_as_wholes():
+    keep = ['<div class="product-alert-details">a</div>', '<div class="related-work">b</div>']
+    keep += ['<section id="search-algorithms">c</section>']
+    drop = ['<div class="related-posts">x</div>', '<div id="cookieNotice">x</div>', '<div class="ad">x</div>']
+    drop += ['<div class="lead ad-slot-2">x</div>', '<ul class="social share"><li>x</ul>', "<div class=sidebar>x</div>"]
+    page = f"<body><article><h1>t</h1>{''.join(keep + drop)}<p>end</article>"
+    assert wrappers.extract(page, None) == "t\na\nb\nc\nend"
+
+
 def test_wrappers_are_expressions_without_unions():
     a = wrappers.expression(wrappers.parse("<div><p>x</p><p>y</p><h2>s</h2></div>"))
     b = wrappers.expression(wrappers.parse("<div><p>z</p><img><h2>s</h2></div>"))
