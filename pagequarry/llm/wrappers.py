@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import html as entities
 import json
+import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -32,7 +33,6 @@ from pagequarry.scratch import materialise
 BROADCAST_BYTES = 32 << 20
 SALTS = 32
 SAME_ON = 3  # pages from which a text that is the same on all is taken for the frame
-WIDE = 400  # different children of a node that are aligned one by one
 
 # Elements by what they mean for the text of a page.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -219,41 +219,12 @@ def _merge(a: list, b: list, together: bool = False) -> list:
 def _align(a: list[list], b: list[list]) -> list[list]:
     """Children of two nodes in one row: equal kinds meet, the others become optional.
 
-    The longest common row of kinds decides; very wide nodes are matched in one pass.
+    The longest common row of kinds decides, however wide the nodes are.
     """
     left, right = [n[KIND] for n in a], [n[KIND] for n in b]
     if left == right:
         return [_merge(x, y) for x, y in zip(a, b, strict=True)]
-    pairs, i, j = [], 0, 0
-    if len(a) * len(b) <= WIDE * WIDE:
-        best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
-        for i in range(len(a) - 1, -1, -1):
-            for j in range(len(b) - 1, -1, -1):
-                best[i][j] = (
-                    best[i + 1][j + 1] + 1
-                    if left[i] == right[j]
-                    else max(best[i + 1][j], best[i][j + 1])
-                )
-        i = j = 0
-        while i < len(a) and j < len(b):
-            if left[i] == right[j]:
-                pairs.append((i, j))
-                i, j = i + 1, j + 1
-            elif best[i + 1][j] >= best[i][j + 1]:
-                i += 1
-            else:
-                j += 1
-    else:
-        place: dict[str, list[int]] = {}
-        for j in range(len(b) - 1, -1, -1):
-            place.setdefault(right[j], []).append(j)
-        last = -1
-        for i, kind in enumerate(left):
-            while place.get(kind) and place[kind][-1] <= last:
-                place[kind].pop()
-            if place.get(kind):
-                last = place[kind].pop()
-                pairs.append((i, last))
+    pairs = _common(left, right)
     out, i, j = [], 0, 0
     for x, y in [*pairs, (len(a), len(b))]:
         out += [[n[KIND], 1, *n[2:]] for n in (*a[i:x], *b[j:y])]
@@ -269,6 +240,52 @@ def _align(a: list[list], b: list[list]) -> list[list]:
     return folded
 
 
+def _common(left: list[str], right: list[str]) -> list[tuple[int, int]]:
+    """Pairs of places of a longest common row: the first that are equal meet, and ``left``
+    gives way first.
+
+    Row i has a bit for each place of ``right``, set where the longest common row of what
+    follows in both grows by none. Few rows are kept; the rest are made again from these.
+    """
+    n, m = len(left), len(right)
+    full = (1 << m) - 1
+    places: dict[str, int] = {}
+    for j, kind in enumerate(right):
+        places[kind] = places.get(kind, 0) | 1 << (m - 1 - j)
+
+    def before(row: int, kind: str) -> int:
+        same = row & places.get(kind, 0)
+        return ((row + same) | (row - same)) & full
+
+    step = max(1, math.isqrt(n))
+    kept, row = {n: full}, full
+    for i in range(n - 1, -1, -1):
+        row = before(row, left[i])
+        if i % step == 0:
+            kept[i] = row
+    rows: dict[int, int] = {}
+
+    def longest(i: int, j: int) -> int:
+        if i not in rows:
+            at = min(n, (i // step + 1) * step)
+            rows.clear()
+            rows[at] = kept[at]
+            for up in range(at - 1, i - 1, -1):
+                rows[up] = before(rows[up + 1], left[up])
+        return m - j - (rows[i] & ((1 << (m - j)) - 1)).bit_count()
+
+    pairs, i, j = [], 0, 0
+    while i < n and j < m:
+        if left[i] == right[j]:
+            pairs.append((i, j))
+            i, j = i + 1, j + 1
+        elif longest(i + 1, j) >= longest(i, j + 1):
+            i += 1
+        else:
+            j += 1
+    return pairs
+
+
 def merge(wrappers: list[str]) -> str:
     """One wrapper that fits all pages that any of these fits."""
     whole = None

@@ -173,3 +173,41 @@ def test_labels_of_one_class_give_a_constant(spark):
     for labels in ([], [(1, 0), (2, None)], [(1, 1), (7, 0)]):
         made = toxicity.train(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
         assert len({r.score for r in toxicity.score(docs, made).collect()}) == 1
+
+
+def test_wide_nodes_are_aligned_by_the_longest_common_row():
+    def longest(a, b):
+        best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i in range(len(a) - 1, -1, -1):
+            for j in range(len(b) - 1, -1, -1):
+                same = a[i] == b[j]
+                best[i][j] = best[i + 1][j + 1] + 1 if same else max(best[i + 1][j], best[i][j + 1])
+        pairs, i, j = [], 0, 0
+        while i < len(a) and j < len(b):
+            if a[i] == b[j]:
+                pairs.append((i, j))
+                i, j = i + 1, j + 1
+            elif best[i + 1][j] >= best[i][j + 1]:
+                i += 1
+            else:
+                j += 1
+        return pairs
+
+    rng = random.Random(3)
+    for wide in [0, 1, 2, 3, 7, 30, 120] * 6:
+        a = [rng.choice("abcdef") for _ in range(wide)]
+        b = [rng.choice("abcdefg") for _ in range(rng.randrange(wide + 2))]
+        assert wrappers._common(a, b) == longest(a, b)
+    # One pass took the first equal kind: the last of b here, and nothing after it.
+    names = [f"k{i}" for i in range(500)]
+    assert wrappers._common(["end", *names], [*names, "end"]) == [(i + 1, i) for i in range(500)]
+
+    def node(kind):
+        made = [None] * (max(wrappers.KIND, wrappers.OPTIONAL, wrappers.REPEATED, wrappers.PAGES, wrappers.TEXT, wrappers.SIZE, wrappers.CHILDREN) + 1)
+        made[wrappers.KIND], made[wrappers.TEXT], made[wrappers.CHILDREN] = kind, "", []
+        for at in (wrappers.OPTIONAL, wrappers.REPEATED, wrappers.PAGES, wrappers.SIZE):
+            made[at] = 0
+        return made
+
+    merged = wrappers._align([node(k) for k in ["end", *names]], [node(k) for k in [*names, "end"]])
+    assert [(n[wrappers.KIND], n[wrappers.OPTIONAL]) for n in merged] == [("end", 1), *((k, 0) for k in names), ("end", 1)]
