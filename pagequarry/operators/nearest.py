@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +27,13 @@ QUESTION_BYTES = 8 << 20
 BLOCK_BYTES = 64 << 20
 DISTANCE_CELLS = 1 << 21
 
+# Bytes and number of question blocks that one job takes, each in tasks of its own.
+WAVE_BYTES = 8 << 20
+WAVE_BLOCKS = 64
+
+# Most distances of one block of a join within groups.
+BLOCK_CELLS = 1 << 31
+
 # Fewest questions of a block, however small the limit.
 LEAST_BLOCK = 16
 
@@ -97,8 +105,34 @@ class Distances:
         if self.metric == "cosine":
             norms = np.outer(np.linalg.norm(q, axis=1), np.linalg.norm(x, axis=1))
             return 1.0 - np.divide(dots, norms, out=np.zeros_like(dots), where=norms > 0)
-        squares = (q * q).sum(axis=1)[:, None] + (x * x).sum(axis=1)[None, :]
-        return np.maximum(squares - 2.0 * dots, 0.0)
+        dots *= -2.0
+        dots += (q * q).sum(axis=1)[:, None]
+        dots += (x * x).sum(axis=1)[None, :]
+        return np.maximum(dots, 0.0, out=dots)
+
+    def factors(self, rows: np.ndarray, corpus: bool) -> np.ndarray:
+        """Rows in single precision, widened so that one product of both sides gives ``block``."""
+        one = np.ones((len(rows), 1))
+        with np.errstate(invalid="ignore", over="ignore"):
+            if self.metric == "l2":
+                squares = (rows * rows).sum(axis=1, keepdims=True)
+                sides = [rows, one, squares] if corpus else [-2.0 * rows, squares, one]
+            else:
+                rows = points(rows, self.metric)
+                sides = [rows if corpus else -rows, one]
+            return np.concatenate(sides, axis=1).astype(np.float32)
+
+    def single_slack(self, q: np.ndarray, x: np.ndarray) -> float:
+        """How far the product of ``factors`` may be from ``pairs``; infinite if unknown."""
+        scale = 3.0
+        if self.metric != "cosine":
+            with np.errstate(invalid="ignore", over="ignore"):
+                scale = 1.0 + sum(float((rows * rows).sum(axis=1).max(initial=0.0)) for rows in (q, x))
+        elif not (np.isfinite(q).all() and np.isfinite(x).all()):
+            return np.inf
+        if not scale < 1e30:
+            return np.inf
+        return 2 * 10.0**-DECIMALS + (q.shape[1] + 8) * 2.0**-22 * scale
 
     def pairs(self, q: np.ndarray, x: np.ndarray) -> np.ndarray:
         """Row by row, the same for the same two vectors wherever they are."""
@@ -121,43 +155,100 @@ class Distances:
 
 
 def block_nearest(
-    q: np.ndarray, x: np.ndarray, ids: np.ndarray, k: int, distances: Distances
+    q: np.ndarray,
+    x: np.ndarray,
+    ids: np.ndarray,
+    k: int,
+    distances: Distances,
+    best: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None,
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(question position, id, dist) of the ``k`` nearest of ``x`` to each of ``q``.
 
     Matrix products pick the candidates, ties at the k-th place included; the
     distances of those alone are computed pair by pair. Both work in slices, so
-    memory stays bounded whatever the ties.
+    memory stays bounded whatever the ties. ``best`` is what earlier rows gave: from the
+    k-th of it on, only what is nearer is looked at.
     """
     x, ids = without_surplus_copies(x, ids, k)
     step = max(1, DISTANCE_CELLS // max(1, len(q)))
-    pair_step = max(1, DISTANCE_CELLS // q.shape[1])
-    best = (np.empty(0, np.int64), ids[:0], np.empty(0))
+    if best is None:
+        best = (np.empty(0, np.int64), ids[:0], np.empty(0))
+    near = distances.factors(q, False)
     for at in range(0, len(x), step):
         part, part_ids = x[at : at + step], ids[at : at + step]
-        with np.errstate(invalid="ignore", over="ignore"):
-            approx = distances.block(q, part)
-        kth = min(k, len(part)) - 1
-        # Distances that are no number come last, and are candidates if they are needed.
-        approx[np.isnan(approx)] = np.inf
-        limit = np.partition(approx, kth, axis=1)[:, kth] + distances.slack(q, part)
-        who, which = np.nonzero(approx <= limit[:, None])
-        dist = np.concatenate(
-            [
-                distances.pairs(q[who[i : i + pair_step]], part[which[i : i + pair_step]])
-                for i in range(0, len(who), pair_step)
-            ]
-        )
-        found = (
-            np.concatenate([best[0], who]),
-            np.concatenate([best[1], part_ids[which]]),
-            np.concatenate([best[2], dist]),
-        )
-        keep = smallest(*found, k)
-        best = tuple(column[keep] for column in found)
+        known = kth_known(best, len(q), k)
+        found = None
+        slack = distances.single_slack(q, part)
+        if np.isfinite(slack):
+            found = _within(near @ distances.factors(part, True).T, known.copy(), k, slack)
+        if found is None or len(found[0]) > len(q) * len(part) // 16 + k * len(q):
+            # Vectors too large, or too near to one another, for single precision.
+            with np.errstate(invalid="ignore", over="ignore"):
+                approx = distances.block(q, part)
+            # Distances that are no number come last, and are candidates if they are needed.
+            approx[np.isnan(approx)] = np.inf
+            found = _within(approx, known, k, distances.slack(q, part))
+        best = closer(best, q, part, part_ids, *found, k, distances)
     return best
 
 
+def _within(
+    approx: np.ndarray, known: np.ndarray, k: int, slack: float
+) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs that may be among the ``k`` nearest: ``known`` is the k-th distance so far."""
+    new = np.isinf(known)
+    if new.any():
+        kth = min(k, approx.shape[1]) - 1
+        some = approx if new.all() else approx[new]
+        known[new] = np.partition(some, kth, axis=1)[:, kth] + slack
+    limit = np.nextafter((known + slack).astype(approx.dtype), np.inf, dtype=approx.dtype)
+    return np.nonzero(approx <= limit[:, None])
+
+
+def kth_known(
+    best: tuple[np.ndarray, np.ndarray, np.ndarray], questions: int, k: int
+) -> np.ndarray:
+    """The k-th distance of each question in ``best``, infinite where there are fewer."""
+    known = np.full(questions, np.inf)
+    who, _, dist = best
+    if len(who):
+        # ``smallest`` leaves the rows of a question together, the nearest first.
+        last = np.flatnonzero(np.r_[who[1:] != who[:-1], True])
+        full = np.diff(np.r_[-1, last]) >= k
+        known[who[last[full]]] = dist[last[full]]
+        known[np.isnan(known)] = np.inf
+    return known
+
+
+def closer(
+    best: tuple[np.ndarray, np.ndarray, np.ndarray],
+    q: np.ndarray,
+    x: np.ndarray,
+    ids: np.ndarray,
+    who: np.ndarray,
+    which: np.ndarray,
+    k: int,
+    distances: Distances,
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``best`` with the pairs (``who``, ``which``) of questions and rows measured."""
+    if not len(who):
+        return best
+    step = max(1, DISTANCE_CELLS // max(1, q.shape[1]))
+    dist = np.concatenate(
+        [
+            distances.pairs(q[who[i : i + step]], x[which[i : i + step]])
+            for i in range(0, len(who), step)
+        ]
+    )
+    found = (
+        np.concatenate([best[0], who]),
+        np.concatenate([best[1], ids[which]]),
+        np.concatenate([best[2], dist]),
+    )
+    keep = smallest(*found, k)
+    return tuple(column[keep] for column in found)
+
+
 def nearest_centre(rows: np.ndarray, centres: np.ndarray) -> np.ndarray:
     step = max(1, DISTANCE_CELLS // len(centres))
     parts = [
@@ -300,11 +391,7 @@ def _scanned(
                 continue
             x = as_matrix(batch.column(1))
             ids = batch.column(0).to_numpy(zero_copy_only=False)
-            found = block_nearest(q, x, ids, k, distances)
-            if best is not None:
-                found = tuple(np.concatenate(c) for c in zip(best, found))
-            keep = smallest(*found, k)
-            best = tuple(column[keep] for column in found)
+            best = block_nearest(q, x, ids, k, distances, best)
         if best is not None:
             yield _rows(sent.value.ids.take(pa.array(best[0])), best[1], id_type, best[2])
 
@@ -365,22 +452,39 @@ def question_blocks(
 def _in_turn(
     questions: DataFrame, corpus: DataFrame, k: int, metric: str, question_bytes: int
 ) -> DataFrame:
-    """Many questions: the corpus stays where it is, and one block of them after the other
-    is sent to it. Reading the corpus again costs little beside a block's distances."""
+    """Many questions: the corpus stays where it is, and blocks of them are sent to it, each
+    to tasks of its own. A job takes as many blocks as ``WAVE_BYTES`` holds: many small ones
+    would each cost a job. Reading the corpus again costs little beside a block's distances."""
     spark, path = corpus.sparkSession, scratch_path(corpus.sparkSession, "nearest")
-    for block in question_blocks(questions, question_bytes):
-        found = top_k(_scanned(block, questions, corpus, k, metric), k)
+    blocks = question_blocks(questions, question_bytes)
+    for wave in _waves(blocks):
+        scans = [_scanned(block, questions, corpus, k, metric) for block in wave]
+        found = top_k(reduce(DataFrame.unionAll, scans), k)
         found.write.mode("append").parquet(path)
     return spark.read.schema(found.schema).parquet(path)
 
 
+def _waves(blocks: Iterator[QuestionBlock]) -> Iterator[list[QuestionBlock]]:
+    """Blocks, in turn, as many together as fit in ``WAVE_BYTES`` and ``WAVE_BLOCKS``."""
+    wave, size = [], 0
+    for block in blocks:
+        if wave and (size + block.vectors.nbytes > WAVE_BYTES or len(wave) == WAVE_BLOCKS):
+            yield wave
+            wave, size = [], 0
+        wave.append(block)
+        size += block.vectors.nbytes
+    if wave:
+        yield wave
+
+
 def large_groups(
     questions: DataFrame, corpus: DataFrame, corpus_rows: int, question_rows: int
 ) -> DataFrame:
     """Groups to be split: (group, corpus_parts, question_parts).
 
-    There are at most rows / limit of them, however the rows are spread; they are
-    broadcast when that proves few.
+    A block has no more than ``BLOCK_CELLS`` distances either, as rows that fit may be work
+    for an hour. There are at most rows / limit such groups, however the rows are spread;
+    they are broadcast when that proves few.
     """
     one, none = F.lit(1), F.lit(0)
     rows = corpus.select("group", one.alias("c"), none.alias("q")).unionByName(
@@ -391,11 +495,14 @@ def large_groups(
     def parts(count: str, limit: int) -> Column:
         return F.greatest(F.ceil(F.col(count) / limit), F.lit(1))
 
+    # Of one part of the corpus with all questions; decimals, as the product may be large.
+    cells = F.col("c").cast("double") / parts("c", corpus_rows) * F.col("q")
+    many = F.greatest(parts("q", question_rows), F.ceil(cells / BLOCK_CELLS))
     large = materialise(
-        counted.where((F.col("c") > corpus_rows) | (F.col("q") > question_rows)).select(
-            "group",
-            parts("c", corpus_rows).alias("corpus_parts"),
-            parts("q", question_rows).alias("question_parts"),
+        counted.where(
+            (F.col("c") > corpus_rows) | (F.col("q") > question_rows) | (cells > BLOCK_CELLS)
+        ).select(
+            "group", parts("c", corpus_rows).alias("corpus_parts"), many.alias("question_parts")
         ),
         "large_groups",
     )

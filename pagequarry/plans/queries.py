@@ -123,6 +123,9 @@ def all_answers(spark: SparkSession, folder: str, parallel: int | None = None) -
 def vectors(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     """All vectors as questions, and as a corpus whose lengths differ by label."""
     rows = table(spark, folder, "embeddings")
+    # A search is work for all cores, however few parts or row groups the file has.
+    parts = max(rows.rdd.getNumPartitions(), spark.sparkContext.defaultParallelism)
+    rows = materialise(rows.repartition(parts), "vectors")
     scaled = F.transform(
         "embedding", lambda x: (x.cast("double") * (1 + F.col("label") / 10)).cast("float")
     )

@@ -221,3 +221,53 @@ def test_questions_alone_in_their_buckets_are_answered_exactly(spark):
         frame(spark, q, "qid"), frame(spark, x, "id"), 4, bucket_length=1e-4, tables=2
     )
     assert ranks(found) == brute_force(q, x, 4, "l2")
+
+
+@pytest.mark.parametrize("metric", nearest.METRICS)
+@pytest.mark.parametrize("kind", ["spread", "together", "large", "copies"])
+def test_rows_in_turn_equal_rows_at_once(monkeypatch, metric, kind):
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(900, 8))
+    if kind == "together":  # nearer to one another than single precision tells
+        x = 100 + x * 1e-6
+    elif kind == "large":
+        x[::3] *= 1e25
+    elif kind == "copies":
+        x = x[rng.integers(0, 20, len(x))]
+    ids, q = rng.permutation(len(x)), x[:50]
+    distances = nearest.Distances(metric)
+    who, which = (a.ravel() for a in np.indices((len(q), len(x))))
+    with np.errstate(over="ignore", invalid="ignore"):
+        every = (who, ids[which], distances.pairs(q[who], x[which]))
+    keep = nearest.smallest(*every, 3)
+    want = [column[keep] for column in every]
+    monkeypatch.setattr(nearest, "DISTANCE_CELLS", 2000)
+    best = None
+    for at in range(0, len(x), 100):
+        best = nearest.block_nearest(q, x[at : at + 100], ids[at : at + 100], 3, distances, best)
+    for got, right in zip(best, want, strict=True):
+        np.testing.assert_array_equal(got, right)
+
+
+def test_small_blocks_of_questions_share_a_job(spark, monkeypatch):
+    monkeypatch.setattr(nearest, "WAVE_BLOCKS", 5)
+    block = nearest.QuestionBlock(None, np.zeros((2, 4)))
+    assert [len(w) for w in nearest._waves(iter([block] * 12))] == [5, 5, 2]
+    monkeypatch.setattr(nearest, "WAVE_BYTES", 3 * block.vectors.nbytes)
+    assert [len(w) for w in nearest._waves(iter([block] * 7))] == [3, 3, 1]
+    q, x = random_vectors(21, 90), random_vectors(22, 200)
+    found = nearest.nearest(frame(spark, q, "qid"), frame(spark, x, "id"), 3, question_bytes=64, block_bytes=64)
+    assert ranks(found) == brute_force(q, x, 3, "l2")
+
+
+def test_groups_with_many_distances_are_split(spark, monkeypatch):
+    q, x = random_vectors(31, 60), random_vectors(32, 100)
+    one = F.lit(7).cast("long").alias("group")
+    asked = frame(spark, q, "qid").select(one, "qid", "embedding")
+    rows = frame(spark, x, "id").select(one, "id", "embedding")
+    assert nearest.large_groups(asked, rows, 1000, 1000).count() == 0
+    monkeypatch.setattr(nearest, "BLOCK_CELLS", 1000)
+    split = nearest.large_groups(asked, rows, 1000, 1000).first()
+    assert (split.corpus_parts, split.question_parts) == (1, 6)
+    found = nearest.top_k(nearest.join_groups(asked, rows, 3, "l2"), 3)
+    assert ranks(found) == brute_force(q, x, 3, "l2")
