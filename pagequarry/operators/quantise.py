@@ -4,7 +4,8 @@ The dimensions are cut into parts, and each part of a vector becomes the number
 of 256 centres. A row keeps these bytes and how far its vector is from the one they stand for
 (the slack). So each of its distances has a bound from below and from above, and a row
 whose least distance exceeds the k-th of the largest distances cannot be among the k nearest.
-The rest are ranked again by their vectors. Bounds hold whatever the centres are, so these
+One scan of the bytes finds that limit; a second measures the rows within it by their vectors
+and keeps the k best, so no table of pairs is made. Bounds hold whatever the centres are, so these
 are learned from a bounded sample (``SAMPLE`` rows, by the hash of the id); a poor sample
 costs time and no rows.
 """
@@ -21,12 +22,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from pagequarry.operators.nearest import (
-    BROADCAST_ROWS,
     DISTANCE_CELLS,
     QUESTION_BYTES,
     Distances,
     QuestionBlock,
     as_matrix,
+    block_nearest,
+    closer,
     k_means,
     nearest_centre,
     points,
@@ -39,8 +41,8 @@ from pagequarry.scratch import materialise, scratch_path
 
 CENTRES = 256
 SAMPLE = 20_000
-# Pairs of a question and a row that a task keeps before it looks which are still needed.
-WAITING = 1 << 20
+# Share of the pairs of a slice from which a product of all is less work than the pairs.
+DENSE = 1 / 32
 
 
 @dataclass(frozen=True)
@@ -117,74 +119,129 @@ def _without_copies(
     return smallest(group, ids, np.zeros(len(same)), k)
 
 
+@dataclass(frozen=True)
+class _Scan:
+    """What a task needs to bound the distances of a block of questions."""
+
+    q: np.ndarray
+    books: list[np.ndarray]
+    k: int
+
+    def bounds(self, batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, ...]]:
+        """(rows, least, most) of slices of a batch of (id, code, slack, same), copies left out."""
+        code = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint8)
+        code = code.reshape(batch.num_rows, -1)
+        slack, same = (batch.column(c).to_numpy(zero_copy_only=False) for c in (2, 3))
+        ids = batch.column(0).to_numpy(zero_copy_only=False)
+        own = _without_copies(same, code, slack, ids, self.k)
+        step = max(1, DISTANCE_CELLS // len(self.q))
+        for at in range(0, len(own), step):
+            part = own[at : at + step]
+            x = _decoded(code[part], self.books)
+            about = np.sqrt(Distances("l2").block(self.q, x))
+            room = slack[part][None, :] + _rounding(self.q, x)
+            yield (
+                part,
+                np.nan_to_num(np.maximum(about - room, 0), nan=np.inf),
+                np.nan_to_num(about + room, nan=np.inf),
+            )
+
+
+def _limits(codes: Codes, block: QuestionBlock, k: int) -> np.ndarray:
+    """The k-th least of the largest distances of each question: no nearer row is farther.
+
+    A task keeps ``k`` numbers of each question, whatever the codes rule out."""
+    rows = codes.rows.select("id", "code", "slack", "same")
+    metric, books = codes.metric, codes.books
+    sent = rows.sparkSession.sparkContext.broadcast((block.vectors, books))
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vectors, books = sent.value
+        scan = _Scan(points(vectors, metric), books, k)
+        best = np.empty((len(vectors), 0))
+        for batch in batches:
+            if not (len(vectors) and batch.num_rows):
+                continue
+            for _, _, most in scan.bounds(batch):
+                best = np.concatenate([best, most], axis=1)
+                if best.shape[1] > k:
+                    best = np.partition(best, k - 1, axis=1)[:, :k].copy()
+        if best.size:
+            who = np.repeat(np.arange(len(best), dtype=np.int64), best.shape[1])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(who), pa.array(np.arange(best.size)), pa.array(best.reshape(-1))],
+                ["qid", "id", "dist"],
+            )
+
+    found = top_k(rows.mapInArrow(scan, "qid long, id long, dist double"), k)
+    limit = np.full(len(block.vectors), np.inf)
+    kth = found.where(F.col("rank") == k).select("qid", "dist").toArrow()
+    limit[kth.column("qid").to_numpy()] = kth.column("dist").to_numpy()
+    return limit
+
+
 def candidates(codes: Codes, block: QuestionBlock, k: int, qid_type: str) -> DataFrame:
     """(qid, id, least): pairs that the bytes cannot rule out, and their least distance."""
     rows = codes.rows.select("id", "code", "slack", "same")
     metric, books = codes.metric, codes.books
-    sent = rows.sparkSession.sparkContext.broadcast((block, books))
+    sent = rows.sparkSession.sparkContext.broadcast((block, books, _limits(codes, block, k)))
     id_type = to_arrow_type(rows.schema["id"].dataType)
 
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, books = sent.value
-        q = points(block.vectors, metric)
-        limit = np.full(len(q), np.inf)  # the k-th of the largest distances so far
-        most = np.empty((len(q), 0))
-        kept: list[tuple[np.ndarray, ...]] = []
-        waiting = 0
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, books, limit = sent.value
+        scan = _Scan(points(block.vectors, metric), books, k)
         for batch in batches:
-            if not (len(q) and batch.num_rows):
+            if not (len(limit) and batch.num_rows):
                 continue
-            code = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint8)
-            code = code.reshape(batch.num_rows, -1)
-            slack, same = (batch.column(c).to_numpy(zero_copy_only=False) for c in (2, 3))
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
-            own = _without_copies(same, code, slack, ids, k)
-            step = max(1, DISTANCE_CELLS // len(q))
-            for at in range(0, len(own), step):
-                part = own[at : at + step]
-                x = _decoded(code[part], books)
-                about = np.sqrt(Distances("l2").block(q, x))
-                room = slack[part][None, :] + _rounding(q, x)
-                high = np.nan_to_num(about + room, nan=np.inf)
-                low = np.nan_to_num(np.maximum(about - room, 0), nan=np.inf)
-                most = np.concatenate([most, high], axis=1)
-                if most.shape[1] > k:
-                    most = np.partition(most, k - 1, axis=1)[:, :k]
-                if most.shape[1] == k:
-                    limit = most.max(axis=1)
-                who, which = np.nonzero(low <= limit[:, None])
-                kept.append((who, ids[part][which], low[who, which], high[who, which]))
-                waiting += len(who)
-                if waiting > WAITING:
-                    kept = [_still(kept, limit)]
-                    waiting = len(kept[0][0])
-        if kept:
-            who, found, low, high = _still(kept, limit)
-            for at in range(0, len(who), 100_000):
-                part = slice(at, at + 100_000)
+            for part, least, _ in scan.bounds(batch):
+                who, which = np.nonzero(least <= limit[:, None])
                 columns = [
-                    block.ids.take(pa.array(who[part])),
-                    pa.array(found[part], type=id_type),
-                    pa.array(low[part]),
-                    pa.array(high[part]),
+                    block.ids.take(pa.array(who)),
+                    batch.column(0).take(pa.array(part[which])).cast(id_type),
+                    pa.array(least[who, which]),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, ["qid", "id", "least", "most"])
+                yield pa.RecordBatch.from_arrays(columns, ["qid", "id", "least"])
 
     kind = rows.schema["id"].dataType.simpleString()
-    found = rows.mapInArrow(scan, f"qid {qid_type}, id {kind}, least double, most double")
-    found = materialise(found, "candidates")
-    # What all tasks know of the k-th distance rules out more.
-    kth = top_k(found.select("qid", "id", F.col("most").alias("dist")), k)
-    limit = kth.groupBy("qid").agg(F.max("dist").alias("limit"), F.count("*").alias("n"))
-    limit = F.broadcast(limit.select("qid", F.when(F.col("n") >= k, F.col("limit")).alias("limit")))
-    needed = F.col("limit").isNull() | (F.col("least") <= F.col("limit"))
-    return found.join(limit, "qid", "left").where(needed).select("qid", "id", "least")
+    return rows.mapInArrow(run, f"qid {qid_type}, id {kind}, least double")
 
 
-def _still(kept: list[tuple[np.ndarray, ...]], limit: np.ndarray) -> tuple[np.ndarray, ...]:
-    who, ids, low, high = (np.concatenate(c) for c in zip(*kept, strict=True))
-    inside = low <= limit[who]
-    return who[inside], ids[inside], low[inside], high[inside]
+def _nearest_by_codes(codes: Codes, block: QuestionBlock, k: int, qid_type: str) -> DataFrame:
+    """(qid, id, dist): the ``k`` best of each task among the pairs not ruled out.
+
+    A row is measured with its vector as soon as it is met, so no pair is kept but the
+    best: codes that rule out little cost time and no memory."""
+    rows = codes.rows.select("id", "code", "slack", "same", "embedding")
+    metric, books = codes.metric, codes.books
+    sent = rows.sparkSession.sparkContext.broadcast((block, books, _limits(codes, block, k)))
+    id_type = to_arrow_type(rows.schema["id"].dataType)
+    distances = Distances(metric)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, books, limit = sent.value
+        scan = _Scan(points(block.vectors, metric), books, k)
+        best = None
+        for batch in batches:
+            if not (len(limit) and batch.num_rows):
+                continue
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            vectors = as_matrix(batch.column(4))
+            if best is None:
+                best = (np.empty(0, np.int64), ids[:0], np.empty(0))
+            for part, least, _ in scan.bounds(batch):
+                open_ = least <= limit[:, None]
+                if open_.mean() > DENSE:
+                    near = block_nearest(block.vectors, vectors[part], ids[part], k, distances, best)
+                    best = near
+                    continue
+                who, which = np.nonzero(open_)
+                best = closer(best, block.vectors, vectors[part], ids[part], who, which, k, distances)
+        if best is not None:
+            columns = [block.ids.take(pa.array(best[0])), pa.array(best[1], type=id_type), pa.array(best[2])]
+            yield pa.RecordBatch.from_arrays(columns, ["qid", "id", "dist"])
+
+    kind = rows.schema["id"].dataType.simpleString()
+    return rows.mapInArrow(run, f"qid {qid_type}, id {kind}, dist double")
 
 
 def _rounding(q: np.ndarray, x: np.ndarray) -> float:
@@ -203,35 +260,8 @@ def search_codes(
     id_kind = codes.rows.schema["id"].dataType.simpleString()
     path = scratch_path(spark, "nearest")
     for block in question_blocks(questions, question_bytes):
-        needed = materialise(candidates(codes, block, k, kind), "needed")
-        many = needed.count()
-        pairs = needed.select("qid", "id")
-        pairs = (F.broadcast(pairs) if many <= BROADCAST_ROWS else pairs).join(
-            codes.rows.select("id", "embedding"), "id"
-        )
-        top_k(_measured(pairs.select("qid", "id", "embedding"), block, codes.metric), k).write.mode(
-            "append"
-        ).parquet(path)
+        found = top_k(_nearest_by_codes(codes, block, k, kind), k)
+        found.write.mode("append").parquet(path)
     schema = f"qid {kind}, rank int, id {id_kind}, dist double"
     # Every block wrote its rows, the only one of no questions too.
     return spark.read.schema(schema).parquet(path)
-
-
-def _measured(pairs: DataFrame, block: QuestionBlock, metric: str) -> DataFrame:
-    """The distance of each pair, from the vectors themselves."""
-    sent = pairs.sparkSession.sparkContext.broadcast(block)
-    distances = Distances(metric)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place = {qid: k for k, qid in enumerate(sent.value.ids.to_pylist())}
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            own = np.array([place[qid] for qid in batch.column(0).to_pylist()])
-            dist = distances.pairs(sent.value.vectors[own], as_matrix(batch.column(2)))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(dist)], ["qid", "id", "dist"]
-            )
-
-    kinds = [pairs.schema[c].dataType.simpleString() for c in ("qid", "id")]
-    return pairs.mapInArrow(run, f"qid {kinds[0]}, id {kinds[1]}, dist double")

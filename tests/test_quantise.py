@@ -70,3 +70,16 @@ def test_many_questions_leave_the_corpus_in_place(spark):
     small = nearest.nearest(q, x, 3, question_bytes=64, block_bytes=1 << 20)
     assert ranks(small) == brute_force(random_vectors(7, 100), random_vectors(8, 200), 3, "l2")
     assert small.where(F.col("rank") > 3).count() == 0
+
+
+def test_codes_that_rule_out_nothing_keep_no_pairs(spark):
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(600, 24)).astype(np.float32)
+    codes = quantise.build_codes(frame(spark, x, "id").coalesce(2), parts=2, sample=3)
+    q = frame(spark, x[:80], "qid")
+    block = nearest.collect_questions(q)
+    assert quantise.candidates(codes, block, 4, "bigint").count() > 80 * 600 // 2
+    # What leaves the tasks is the best of each, not the pairs.
+    found = quantise._nearest_by_codes(codes, block, 4, "bigint")
+    assert found.count() <= 80 * 4 * found.rdd.getNumPartitions()
+    assert ranks(quantise.search_codes(codes, q, 4)) == brute_force(x[:80], x, 4, "l2")
