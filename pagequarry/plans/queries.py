@@ -39,6 +39,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 EMBEDDER = hashed_words(64)
 GENERATOR = answer.extractive()
 QUERIES: dict[str, Query] = {}
+# Most documents or pages that a task parses or cuts: its time does not grow with the table.
+ROWS_PER_TASK = 2000
 
 
 def query(run: Query) -> Query:
@@ -57,14 +59,17 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def documents(spark: SparkSession, folder: str) -> DataFrame:
+def documents(
+    spark: SparkSession, folder: str, rows_per_task: int | None = ROWS_PER_TASK
+) -> DataFrame:
     """Extracted texts, dealt out to all cores before the costly steps."""
-    return spread(table(spark, folder, "documents").select("doc_id", "lang", "source", "text"))
+    rows = table(spark, folder, "documents").select("doc_id", "lang", "source", "text")
+    return spread(rows, rows_per_task)
 
 
 def raw_pages(spark: SparkSession, folder: str) -> DataFrame:
     """Web pages as binary documents."""
-    pages = spread(table(spark, folder, "pages"))
+    pages = spread(table(spark, folder, "pages"), ROWS_PER_TASK)
     return pages.select(
         "page_id", F.col("url").alias("path"), F.encode("html", "UTF-8").alias("content")
     )
@@ -305,7 +310,8 @@ def sync_collection(spark, folder):
     """Fill a collection twice (the same rows, once), then bring it in step with changes."""
     name, where = fresh_name("synced"), scratch_path(spark, "synced")
     embedder = hashed_words(8)
-    rows = documents(spark, folder).select(
+    # Cheap to embed: not worth another shuffle of the texts.
+    rows = documents(spark, folder, rows_per_task=None).select(
         F.col("doc_id").alias("id"), F.col("source").alias("url"), F.col("text").alias("content"),
         "lang",
     )

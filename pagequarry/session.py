@@ -43,13 +43,17 @@ def small_arrow_batches(spark: SparkSession, rows: int | None = 10):
         spark.conf.set(key, before)
 
 
-def spread(scan: DataFrame) -> DataFrame:
+def spread(scan: DataFrame, rows_per_task: int | None = None) -> DataFrame:
     """Deal the rows of a table scan out to all cores when it has fewer parts than that.
 
-    A scan with parts for every core is left alone, so no shuffle is added at scale.
+    For costly steps, ``rows_per_task`` asks for as many parts as keep a task's share bounded
+    however large the table is; the rows are counted for it. A scan with parts enough is
+    left alone.
     """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+    parts = scan.sparkSession.sparkContext.defaultParallelism
+    if rows_per_task:
+        parts = max(parts, -(-scan.count() // rows_per_task))
+    return scan.repartition(parts) if scan.rdd.getNumPartitions() < parts else scan
 
 
 def ship_package(spark: SparkSession) -> None:
