@@ -276,13 +276,13 @@ def k_means(rows: np.ndarray, count: int, rng: np.random.Generator, rounds: int
 # -- DataFrame operators -----------------------------------------------------------
 
 
-def top_k(candidates: DataFrame, k: int) -> DataFrame:
-    """Rank (qid, id, dist) rows and keep ``k`` per question.
+def top_k(candidates: DataFrame, k: int, *within: str) -> DataFrame:
+    """Rank (qid, id, dist) rows and keep ``k`` per question, and per value of ``within``.
 
     Spark limits the window before its shuffle too, so each task sends at most ``k``
     rows per question.
     """
-    nearest_first = Window.partitionBy("qid").orderBy("dist", "id")
+    nearest_first = Window.partitionBy(*within, "qid").orderBy("dist", "id")
     return (
         candidates.withColumn("rank", F.row_number().over(nearest_first))
         .where(F.col("rank") <= k)
@@ -458,8 +458,12 @@ def _in_turn(
     spark, path = corpus.sparkSession, scratch_path(corpus.sparkSession, "nearest")
     blocks = question_blocks(questions, question_bytes)
     for wave in _waves(blocks):
-        scans = [_scanned(block, questions, corpus, k, metric) for block in wave]
-        found = top_k(reduce(DataFrame.unionAll, scans), k)
+        # Every block has its own ranks, also where another one has a question of the same id.
+        scans = [
+            _scanned(block, questions, corpus, k, metric).withColumn("block", F.lit(n))
+            for n, block in enumerate(wave)
+        ]
+        found = top_k(reduce(DataFrame.unionAll, scans), k, "block")
         found.write.mode("append").parquet(path)
     return spark.read.schema(found.schema).parquet(path)
 

@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import plan
 from pyspark.sql import functions as F
@@ -271,3 +272,15 @@ def test_groups_with_many_distances_are_split(spark, monkeypatch):
     assert (split.corpus_parts, split.question_parts) == (1, 6)
     found = nearest.top_k(nearest.join_groups(asked, rows, 3, "l2"), 3)
     assert ranks(found) == brute_force(q, x, 3, "l2")
+
+
+def test_blocks_of_one_job_keep_their_own_ranks(spark):
+    q, x = random_vectors(41, 40), random_vectors(42, 50)
+    block = nearest.QuestionBlock(pa.array(range(20)), q[:20].astype(float))
+    other = nearest.QuestionBlock(pa.array(range(20)), q[20:].astype(float))
+    asked, corpus = frame(spark, q, "qid"), frame(spark, x, "id")
+    parts = [
+        nearest._scanned(b, asked, corpus, 3, "l2").withColumn("block", F.lit(n))
+        for n, b in enumerate([block, other])
+    ]
+    assert nearest.top_k(parts[0].unionAll(parts[1]), 3, "block").count() == 2 * 20 * 3
