@@ -13,7 +13,10 @@ most. Linked documents are then one component, and only documents of different c
 are compared further, with more hubs in each round, until every bucket is through. A pair
 is left out only if its sizes, the shingles that either has alone, and what both share
 with the first hub rule it out: they can share no more of the hub than the one that
-shares less of it. So a bucket of near copies costs about a comparison a document.
+shares less of it. What they share outside of the hub is looked up by the shingle: pairs
+that no such shingle brings together have to reach the threshold by the hub alone. So a
+bucket of near copies costs about a comparison a document, also where many of them just
+miss the threshold.
 
 Defined cases: a null text, or one without words, has no shingles and is linked with
 nothing. Fewer than five words are one shingle. A row without an id joins the class of
@@ -154,7 +157,8 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
 
 
 def _measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b, shared, linked) of (a, b), a the hub: the full sets compared."""
+    """(a, b, shared, linked, rest) of (a, b), a the hub: the full sets compared. ``rest`` is
+    what b has besides the hub."""
     left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("set_a"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("set_b"))
     union = F.size("set_a") + F.size("set_b") - F.col("shared")
@@ -162,7 +166,13 @@ def _measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         pairs.join(right, "b")
         .join(left, "a")
         .withColumn("shared", F.size(F.array_intersect("set_a", "set_b")))
-        .select("a", "b", "shared", (100 * F.col("shared") >= SIMILAR * union).alias("linked"))
+        .select(
+            "a",
+            "b",
+            "shared",
+            (100 * F.col("shared") >= SIMILAR * union).alias("linked"),
+            F.array_except("set_b", "set_a").alias("rest"),
+        )
     )
 
 
@@ -211,7 +221,7 @@ def _ranked(member: DataFrame, sets: DataFrame) -> DataFrame:
 
 def _with_hub(rows: DataFrame, measured: DataFrame) -> DataFrame:
     """``rows`` with ``core``: how much each shares with the first hub of its bucket, null if
-    it was not compared with it."""
+    it was not compared with it, and that hub as ``first``."""
     hub = rows.where("rank = 1").select("key", F.col("id").alias("a"), F.col("single").alias("one"))
     shared = measured.select("a", F.col("b").alias("id"), "shared").dropDuplicates(["a", "id"])
     core = F.when(F.col("rank") == 1, F.col("n")).otherwise(F.col("shared"))
@@ -219,22 +229,69 @@ def _with_hub(rows: DataFrame, measured: DataFrame) -> DataFrame:
         rows.join(hub, "key")
         .join(shared, ["a", "id"], "left")
         .withColumn("core", F.when(F.col("single") & F.col("one"), core))
-        .select(*rows.columns, "core")
+        .select(*rows.columns, "core", F.col("a").alias("first"))
+    )
+
+
+def _outside(measured: DataFrame) -> DataFrame:
+    """(first, s, id): the shingles besides the hub ``first`` that several of the documents
+    compared with it have."""
+    rest = measured.select(
+        F.col("a").alias("first"), F.explode("rest").alias("s"), F.col("b").alias("id")
+    )
+    several = (
+        rest.groupBy("first", "s")
+        .agg(F.min("id").alias("low"), F.max("id").alias("high"))
+        .where("low < high")
+        .select("first", "s")
     )
+    return rest.join(several, ["first", "s"]).distinct()
+
+
+def _enough(shared: Column) -> Column:
+    """Whether two documents that share so much are similar enough."""
+    return 100 * shared >= SIMILAR * (F.col("n") + F.col("hub_n") - shared)
+
+
+def _by_hub() -> Column:
+    """Whether both documents were compared with the first hub of the bucket."""
+    return F.col("core").isNotNull() & F.col("hub_core").isNotNull()
 
 
 def _possible() -> Column:
-    """Whether two documents may be similar enough: by what they can share at most.
+    """Whether two documents that share nothing outside of the first hub may be similar
+    enough: of the hub they share at most the lesser of their shares of it. Where that is not
+    known, it is the lesser of what others may have as well."""
+    shared = F.when(_by_hub(), F.least("core", "hub_core")).otherwise(F.least("may", "hub_may"))
+    return _enough(shared)
+
 
-    Of the first hub that is the lesser of their shares of it, and outside of it the lesser
-    of what others may have as well.
-    """
-    shared = F.least("may", "hub_may")
+def _possible_outside() -> Column:
+    """The same of two documents that share something outside of the first hub: at most the
+    lesser of what others may have of it as well."""
     outside = F.least(F.col("may") - F.col("core"), F.col("hub_may") - F.col("hub_core"))
-    shared = F.least(shared, F.least("core", "hub_core") + outside)
-    by_hub = F.col("core").isNotNull() & F.col("hub_core").isNotNull()
-    shared = F.when(by_hub, shared).otherwise(F.least("may", "hub_may"))
-    return 100 * shared >= SIMILAR * (F.col("n") + F.col("hub_n") - shared)
+    shared = F.least("may", "hub_may", F.least("core", "hub_core") + outside)
+    return _by_hub() & _enough(shared)
+
+
+def _against(left: DataFrame, low: int, high: int, on: list[str], possible: Column) -> DataFrame:
+    """(a, b): documents of ``left`` and the hubs of this round, ranked before them, that
+    meet in ``on``, belong to different components and may be similar enough."""
+    hub = left.where((F.col("rank") >= low) & (F.col("rank") < high)).select(
+        *on,
+        F.col("id").alias("a"),
+        F.col("n").alias("hub_n"),
+        F.col("may").alias("hub_may"),
+        F.col("core").alias("hub_core"),
+        F.col("rank").alias("hub_rank"),
+        F.col("label").alias("hub_label"),
+    )
+    return (
+        left.join(hub, on)
+        .where("rank > hub_rank AND label <> hub_label AND id <> a")
+        .where(possible)
+        .select("a", F.col("id").alias("b"))
+    )
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -252,7 +309,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     rows = materialise(_ranked(member, sets), "ranked")
     rows = rows.withColumn("core", F.lit(None).cast("long"))
     labelled = rows.withColumn("label", F.col("id"))
-    links, tested, roots = None, None, None
+    links, tested, roots, outside = None, None, None, None
     low, high = 1, 2
     while True:
         # Buckets that still hold more than one component and documents not yet hubs.
@@ -263,30 +320,24 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             .select("key")
         )
         left = labelled.join(open_keys, "key", "left_semi")
-        hub = left.where((F.col("rank") >= low) & (F.col("rank") < high)).select(
-            "key",
-            F.col("id").alias("a"),
-            F.col("n").alias("hub_n"),
-            F.col("may").alias("hub_may"),
-            F.col("core").alias("hub_core"),
-            F.col("rank").alias("hub_rank"),
-            F.col("label").alias("hub_label"),
-        )
-        pairs = (
-            left.join(hub, "key")
-            .where("rank > hub_rank AND label <> hub_label AND id <> a")
-            .where(_possible())
-            .select("a", F.col("id").alias("b"))
-            .distinct()
-        )
+        pairs = _against(left, low, high, ["key"], _possible())
+        if outside is not None:
+            wide = left.where("core IS NOT NULL").join(outside, ["first", "id"])
+            pairs = pairs.unionByName(
+                _against(wide, low, high, ["key", "s"], _possible_outside())
+            )
+        pairs = pairs.distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = materialise(pairs, "pairs")
         if not pairs.isEmpty():
-            measured = materialise(_measured(pairs, sets), "measured")
+            measured = _measured(pairs, sets)
+            measured = materialise(measured if low == 1 else measured.drop("rest"), "measured")
             found = measured.where("linked").select("a", "b").distinct()
             if low == 1:
                 rows = materialise(_with_hub(rows.drop("core"), measured), "ranked")
+                outside = materialise(_outside(measured), "outside")
+                labelled = rows.withColumn("label", F.col("id"))
             links = found if links is None else links.unionByName(found)
             tested = pairs if tested is None else tested.unionByName(pairs)
             if not found.isEmpty():

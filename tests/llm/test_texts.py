@@ -208,6 +208,29 @@ def test_components_equal_all_pairs(spark, seed):
     assert all(r.kept == (r.doc_id == r.component_id) for r in got)
 
 
+def test_copies_just_below_the_threshold_are_not_all_compared(spark, monkeypatch):
+    # Edits in five places keep about 0.72 of the text; neighbours have one edit in common.
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(150)]
+    docs, before = [(0, " ".join(base))], 2
+    for i in range(1, 141):
+        words, places = list(base), rng.sample(range(5, 145, 6), 4)
+        for place in places:
+            words[place] = f"n{i}x{place}"
+        after = rng.choice([p for p in range(2, 145, 6) if p != before])
+        words[before], words[after] = f"s{i}", f"s{i + 1}"
+        before = after
+        docs.append((i, " ".join(words)))
+    compared = []
+    measured = minmax._measured
+    monkeypatch.setattr(
+        minmax, "_measured", lambda pairs, sets: compared.append(pairs.count()) or measured(pairs, sets)
+    )
+    got = minmax.near_duplicates(spark.createDataFrame(docs, SCHEMA)).collect()
+    assert {r.doc_id: r.component_id for r in got} == plain_components(docs)
+    assert sum(compared) <= 5 * len(docs), compared
+
+
 def test_components_of_odd_rows(odd, none):
     rows = [tuple(r) for r in minmax.near_duplicates(odd).collect()]
     assert rows.count((1, 2, 1, True)) == 2
