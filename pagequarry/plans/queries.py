@@ -182,10 +182,10 @@ def stream_ingest_files(spark, folder):
         checkpoint=scratch_path(spark, "checkpoint"),
         glob="*.parquet",
         path=scratch_path(spark, "raw_files"),
+        piece_bytes=files.PIECE_BYTES,
     )
-    return spark.read.table(name).select(
-        text.basename(F.col("path")).alias("name"), "length", F.md5("content").alias("digest")
-    )
+    digests = files.piece_digests(spark.read.table(name), "writer", "batch_id")
+    return digests.select(text.basename(F.col("path")).alias("name"), "length", "digest")
 
 
 @query

@@ -18,9 +18,10 @@ from pagequarry.operators.embed import Embedder, embed
 from pagequarry.operators.ids import hash_id, with_dense_ids
 from pagequarry.operators.parse import html_text
 from pagequarry.session import small_arrow_batches
-from pagequarry.sources.files import stream_documents
+from pagequarry.sources.files import PIECE_OPTIONS, PIECE_SCHEMA, file_pieces, stream_documents
 from pagequarry.sources.tables import (
     add_to_collection,
+    create_batch_table,
     create_collection,
     last_batches,
     write_batch,
@@ -47,9 +48,21 @@ def ingest_files(
     glob: str | None = None,
     path: str | None = None,
     files_per_batch: int = 1000,
+    piece_bytes: int | None = None,
 ) -> None:
-    """Append the bytes of each new file of ``folder`` to ``table``, once per file."""
+    """Append the bytes of each new file of ``folder`` to ``table``, once per file.
+
+    A file is one row, as parsers want it, and must fit in an executor's memory a few times.
+    With ``piece_bytes`` a longer one is several rows, told by ``piece``, and may have
+    any length; ``table`` is then a batch table (``create_batch_table``).
+    """
     stream = stream_documents(spark, folder, glob, files_per_batch)
+    if piece_bytes is not None:
+        create_batch_table(spark, table, PIECE_SCHEMA, path, PIECE_OPTIONS)
+        # Without their content, so that no file is read before it is cut.
+        names = stream.drop("content")
+        append_batches(names, table, checkpoint, lambda batch, *_: file_pieces(batch, piece_bytes))
+        return
     start_append(stream, table, checkpoint, path).awaitTermination()
 
 

@@ -1,3 +1,6 @@
+import gzip
+import hashlib
+
 import pytest
 from conftest import plan
 from pyspark.sql import functions as F
@@ -161,3 +164,45 @@ def test_wide_ids_fit_the_chunk_table(spark, name):
     )
     tables.append_by_name(rows, name)
     assert {len(r.id) for r in spark.table(name).collect()} == {32}
+
+
+ODD_FILES = {
+    "ended.txt": b"one\ntwo\r\n\nthree\n",
+    "open.txt": b"one\ntwo\nthree, not ended",
+    "marked.csv": b"\xef\xbb\xbfa,b\n1,2\n3,4 and more\n",
+    "marked open.csv": b"\xef\xbb\xbfa,b\n1,2\n3,4 and more",
+    "lines.bin": b"\n" * 50,
+    "no lines.bin": bytes(range(11, 256)) * 3,
+    "packed.gz": gzip.compress(bytes(range(256)) * 20),
+    "p%20 {x} [1]*ü.parquet": bytes(range(256)) * 5,
+    "nodot": b"\x00\xff\n" * 40,
+    "x": b"a name of one character\n",
+    "exact.bin": b"0123456\n" * 4,
+    "small": b"\n",
+}
+
+
+def test_files_in_pieces_are_whole_and_no_piece_is_large(spark, tmp_path):
+    for name, content in ODD_FILES.items():
+        (tmp_path / name).write_bytes(content)
+    listed = files.scan_documents(spark, str(tmp_path))
+    rows = files.file_pieces(listed.drop("content"), 16).cache()
+    found = {}
+    for r in rows.orderBy("piece").collect():
+        found.setdefault(r.path.rpartition("/")[2], []).append(r)
+    assert {n: b"".join(bytes(r.content) for r in p) for n, p in found.items()} == ODD_FILES
+    assert max(len(r.content) for n, p in found.items() for r in p if n != "x") == 16
+    facts = ("path", "modificationTime", "length")
+    assert set(rows.select(*facts).collect()) == set(listed.select(*facts).collect())
+    digests = files.piece_digests(rows).collect()
+    assert {r.path.rpartition("/")[2]: (r.length, r.digest) for r in digests} == {
+        n: (len(c), hashlib.md5(c).hexdigest()) for n, c in ODD_FILES.items()
+    }
+    assert files.file_pieces(listed.limit(0).drop("content")).count() == 0
+
+
+def test_a_file_that_grows_while_it_is_cut_is_an_error(spark, tmp_path):
+    (tmp_path / "a.txt").write_bytes(b"one\n" * 20)
+    listed = files.list_documents(spark, str(tmp_path)).withColumn("length", F.lit(70).cast("long"))
+    with pytest.raises(Exception, match="has changed while it was read"):
+        files.file_pieces(listed, 16).collect()

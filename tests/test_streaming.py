@@ -1,3 +1,4 @@
+import hashlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -10,7 +11,7 @@ from pagequarry.operators.embed import hashed_words
 from pagequarry.operators.ids import wide_id
 from pagequarry.operators.parse import elements_text, parse_with
 from pagequarry.sources import tables
-from pagequarry.sources.files import scan_documents
+from pagequarry.sources.files import piece_digests, scan_documents
 from pagequarry.streaming import ingest
 from pagequarry.streaming.respond import answer_stream
 
@@ -47,6 +48,31 @@ def test_each_file_is_read_once(spark, folder, tmp_path, name):
     assert run() == 4
 
 
+def test_long_files_are_stored_in_pieces_once(spark, folder, tmp_path, name):
+    long = {"long.html": b"<p>\x00\xff</p>\n" * 500, "d3.html": b"one more"}
+    (folder / "long.html").write_bytes(long["long.html"])
+
+    def run():
+        ingest.ingest_files(
+            spark, str(folder), name, str(tmp_path / "c"), glob="*.html", files_per_batch=3, piece_bytes=1000
+        )
+        rows = rows_of(spark, name)
+        assert rows.agg(F.max(F.length("content"))).first()[0] == 1000
+        found = piece_digests(rows, "writer", "batch_id").collect()
+        return sorted((r.path.split("/")[-1], r.length, r.digest) for r in found)
+
+    def want():
+        contents = {f.name: f.read_bytes() for f in folder.glob("*.html")}
+        return sorted((n, len(c), hashlib.md5(c).hexdigest()) for n, c in contents.items())
+
+    assert run() == want()
+    assert run() == want() and len(want()) == 4
+    (folder / "d3.html").write_bytes(long["d3.html"])
+    assert run() == want() and len(want()) == 5
+    forget_last_commit(tmp_path / "c")
+    assert run() == want()
+
+
 def test_two_stages_equal_the_batch_result(spark, folder, tmp_path, name):
     raw, chunks = f"{name}_raw", f"{name}_chunks"
 
