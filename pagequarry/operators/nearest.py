@@ -27,9 +27,18 @@ QUESTION_BYTES = 8 << 20
 BLOCK_BYTES = 64 << 20
 DISTANCE_CELLS = 1 << 21
 
-# Bytes and number of question blocks that one job takes, each in tasks of its own.
+# Questions and cells of one product in single precision: its cells stay in a core's cache.
+QUESTION_STEP = 512
+PRODUCT_CELLS = 1 << 20
+
+# Most distances of which the least stands for all where the k-th is looked for.
+GROUP = 16
+
+# Bytes and number of question blocks that one job takes, and bytes of those that one reading
+# of the corpus takes: the others have tasks of their own.
 WAVE_BYTES = 8 << 20
 WAVE_BLOCKS = 64
+SCAN_BYTES = 4 << 20
 
 # Most distances of one block of a join within groups.
 BLOCK_CELLS = 1 << 31
@@ -122,17 +131,16 @@ class Distances:
                 sides = [rows if corpus else -rows, one]
             return np.concatenate(sides, axis=1).astype(np.float32)
 
-    def single_slack(self, q: np.ndarray, x: np.ndarray) -> float:
-        """How far the product of ``factors`` may be from ``pairs``; infinite if unknown."""
-        scale = 3.0
-        if self.metric != "cosine":
-            with np.errstate(invalid="ignore", over="ignore"):
-                scale = 1.0 + sum(float((rows * rows).sum(axis=1).max(initial=0.0)) for rows in (q, x))
-        elif not (np.isfinite(q).all() and np.isfinite(x).all()):
-            return np.inf
+    def single_slack(self, width: int, *squares: np.ndarray) -> float:
+        """How far the product of ``factors`` may be from ``pairs``; infinite if unknown.
+
+        ``squares`` has the squared lengths of the rows of either side."""
+        scale = 1.0 + sum(float(side.max(initial=0.0)) for side in squares)
+        if self.metric == "cosine":
+            scale = 3.0 if np.isfinite(scale) else np.inf
         if not scale < 1e30:
             return np.inf
-        return 2 * 10.0**-DECIMALS + (q.shape[1] + 8) * 2.0**-22 * scale
+        return 2 * 10.0**-DECIMALS + (width + 8) * 2.0**-22 * scale
 
     def pairs(self, q: np.ndarray, x: np.ndarray) -> np.ndarray:
         """Row by row, the same for the same two vectors wherever they are."""
@@ -166,30 +174,48 @@ def block_nearest(
 
     Matrix products pick the candidates, ties at the k-th place included; the
     distances of those alone are computed pair by pair. Both work in slices, so
-    memory stays bounded whatever the ties. ``best`` is what earlier rows gave: from the
-    k-th of it on, only what is nearer is looked at.
+    memory stays bounded whatever the ties. ``best`` is what earlier rows gave, by question:
+    from the k-th of it on, only what is nearer is looked at.
     """
     x, ids = without_surplus_copies(x, ids, k)
-    step = max(1, DISTANCE_CELLS // max(1, len(q)))
     if best is None:
         best = (np.empty(0, np.int64), ids[:0], np.empty(0))
-    near = distances.factors(q, False)
-    for at in range(0, len(x), step):
-        part, part_ids = x[at : at + step], ids[at : at + step]
-        known = kth_known(best, len(q), k)
-        found = None
-        slack = distances.single_slack(q, part)
-        if np.isfinite(slack):
-            found = _within(near @ distances.factors(part, True).T, known.copy(), k, slack)
-        if found is None or len(found[0]) > len(q) * len(part) // 16 + k * len(q):
-            # Vectors too large, or too near to one another, for single precision.
-            with np.errstate(invalid="ignore", over="ignore"):
-                approx = distances.block(q, part)
-            # Distances that are no number come last, and are candidates if they are needed.
-            approx[np.isnan(approx)] = np.inf
-            found = _within(approx, known, k, distances.slack(q, part))
-        best = closer(best, q, part, part_ids, *found, k, distances)
-    return best
+    if not (len(q) and len(x)):
+        return best
+    most = min(len(q), QUESTION_STEP)
+    step = max(1, min(DISTANCE_CELLS, PRODUCT_CELLS) // most)
+    parts = [slice(at, at + step) for at in range(0, len(x), step)]
+    far = [distances.factors(x[part], True).T for part in parts]
+    x_squares = [squares(x[part]) for part in parts]
+    firsts = np.arange(0, len(q), most)
+    edges = np.searchsorted(best[0], np.r_[firsts, len(q)])
+    found = []
+    for first, start, stop in zip(firsts, edges, edges[1:], strict=False):
+        own = q[first : first + most]
+        mine = (best[0][start:stop] - first, best[1][start:stop], best[2][start:stop])
+        near, q_squares = distances.factors(own, False), squares(own)
+        for part, other, lengths in zip(parts, far, x_squares, strict=True):
+            known = kth_known(mine, len(own), k)
+            pairs = None
+            slack = distances.single_slack(q.shape[1], q_squares, lengths)
+            if np.isfinite(slack):
+                pairs = _within(near @ other, known.copy(), k, slack)
+            if pairs is None or len(pairs[0]) > len(own) * len(lengths) // 16 + k * len(own):
+                # Vectors too large, or too near to one another, for single precision.
+                with np.errstate(invalid="ignore", over="ignore"):
+                    approx = distances.block(own, x[part])
+                # Distances that are no number come last, and are candidates if they are needed.
+                approx[np.isnan(approx)] = np.inf
+                pairs = _within(approx, known, k, distances.slack(own, x[part]))
+            mine = closer(mine, own, x[part], ids[part], *pairs, k, distances)
+        found.append((mine[0] + first, *mine[1:]))
+    return tuple(np.concatenate(column) for column in zip(*found, strict=True))
+
+
+def squares(rows: np.ndarray) -> np.ndarray:
+    """Squared lengths; those that are no number count as infinite."""
+    with np.errstate(invalid="ignore", over="ignore"):
+        return np.nan_to_num((rows * rows).sum(axis=1), nan=np.inf, posinf=np.inf)
 
 
 def _within(
@@ -198,11 +224,24 @@ def _within(
     """Pairs that may be among the ``k`` nearest: ``known`` is the k-th distance so far."""
     new = np.isinf(known)
     if new.any():
-        kth = min(k, approx.shape[1]) - 1
-        some = approx if new.all() else approx[new]
-        known[new] = np.partition(some, kth, axis=1)[:, kth] + slack
+        known[new] = _kth_bound(approx if new.all() else approx[new], k) + slack
     limit = np.nextafter((known + slack).astype(approx.dtype), np.inf, dtype=approx.dtype)
-    return np.nonzero(approx <= limit[:, None])
+    return positions(approx <= limit[:, None])
+
+
+def _kth_bound(dist: np.ndarray, k: int) -> np.ndarray:
+    """At least the k-th least of each row, and hardly more: the k-th of the least of groups."""
+    size = min(GROUP, dist.shape[1] // (8 * k))
+    if size > 1:
+        groups = dist.shape[1] // size
+        dist = dist[:, : groups * size].reshape(len(dist), size, groups).min(axis=1)
+    kth = min(k, dist.shape[1]) - 1
+    return np.partition(dist, kth, axis=1)[:, kth]
+
+
+def positions(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """As ``np.nonzero`` of a matrix, but in the time of a vector."""
+    return np.divmod(np.flatnonzero(mask), mask.shape[1])
 
 
 def kth_known(
@@ -422,8 +461,8 @@ def question_blocks(
 ) -> Iterator[QuestionBlock]:
     """All questions (qid, embedding), in blocks of bounded size, at least one.
 
-    More than one block's worth are written once, in files of at most that many; the driver
-    knows the names of the files and holds one block at a time.
+    More than one block's worth are written once; the driver knows the names of the files and
+    holds a block at a time, or as many small ones as fit in ``WAVE_BYTES``.
     """
     spark = questions.sparkSession
     questions = _prepared(questions, "qid")
@@ -433,17 +472,20 @@ def question_blocks(
         return
     width = questions.select(F.size("embedding").alias("n")).first().n
     most = max(LEAST_BLOCK, limit_bytes // (8 * max(1, width)))
+    # Small blocks are written and read together, as each reading is a job.
+    once = max(1, WAVE_BYTES // (8 * max(1, width) * most)) * most
     path = scratch_path(spark, "questions")
-    questions.write.option("maxRecordsPerFile", most).parquet(path)
+    questions.write.option("maxRecordsPerFile", once).parquet(path)
     stored = spark.read.schema(questions.schema).parquet(path)
     files = stored.groupBy(F.input_file_name().alias("file")).count().orderBy("file").collect()
     waiting: list[str] = []
     rows = 0
-    for file, count in [*files, (None, most + 1)]:
-        if waiting and rows + count > most:
+    for file, count in [*files, (None, once + 1)]:
+        if waiting and rows + count > once:
             table = spark.read.schema(questions.schema).parquet(*waiting).toArrow().combine_chunks()
             ids, vectors = (table.column(c).combine_chunks() for c in ("qid", "embedding"))
-            yield QuestionBlock(ids, as_matrix(vectors))
+            for at in range(0, len(ids), most):
+                yield QuestionBlock(ids.slice(at, most), as_matrix(vectors.slice(at, most)))
             waiting, rows = [], 0
         waiting.append(file)
         rows += count
@@ -452,27 +494,58 @@ def question_blocks(
 def _in_turn(
     questions: DataFrame, corpus: DataFrame, k: int, metric: str, question_bytes: int
 ) -> DataFrame:
-    """Many questions: the corpus stays where it is, and blocks of them are sent to it, each
-    to tasks of its own. A job takes as many blocks as ``WAVE_BYTES`` holds: many small ones
-    would each cost a job. Reading the corpus again costs little beside a block's distances."""
+    """Many questions: the corpus stays where it is, and blocks of them are sent to it. A job
+    takes as many blocks as ``WAVE_BYTES`` holds, and a reading of the corpus as many as
+    ``SCAN_BYTES`` holds: many small ones would each cost a job, and a reading."""
     spark, path = corpus.sparkSession, scratch_path(corpus.sparkSession, "nearest")
     blocks = question_blocks(questions, question_bytes)
-    for wave in _waves(blocks):
-        # Every block has its own ranks, also where another one has a question of the same id.
+    for wave in _waves(blocks, WAVE_BYTES):
+        numbered = iter(enumerate(wave))
         scans = [
-            _scanned(block, questions, corpus, k, metric).withColumn("block", F.lit(n))
-            for n, block in enumerate(wave)
+            _scanned_together(dict(next(numbered) for _ in some), questions, corpus, k, metric)
+            for some in _waves(iter(wave), SCAN_BYTES)
         ]
         found = top_k(reduce(DataFrame.unionAll, scans), k, "block")
         found.write.mode("append").parquet(path)
     return spark.read.schema(found.schema).parquet(path)
 
 
-def _waves(blocks: Iterator[QuestionBlock]) -> Iterator[list[QuestionBlock]]:
-    """Blocks, in turn, as many together as fit in ``WAVE_BYTES`` and ``WAVE_BLOCKS``."""
+def _scanned_together(
+    blocks: dict[int, QuestionBlock], questions: DataFrame, corpus: DataFrame, k: int, metric: str
+) -> DataFrame:
+    """``_scanned`` of several blocks in one reading of the corpus, with the ``block`` of each row.
+
+    Every block has its own ranks, also where another one has a question of the same id."""
+    first = np.cumsum([0, *(len(block.ids) for block in blocks.values())])
+    whole = QuestionBlock(
+        pa.array(np.arange(first[-1])), np.concatenate([block.vectors for block in blocks.values()])
+    )
+    place = questions.select(F.lit(0).cast("long").alias("qid"), "embedding")
+    found = _scanned(whole, place, corpus, k, metric)
+    schema = f"{_candidate_schema(questions, corpus)}, block int"
+    qids = pa.concat_arrays([block.ids for block in blocks.values()])
+    numbers = np.repeat(np.array(list(blocks), np.int32), np.diff(first))
+    sent = corpus.sparkSession.sparkContext.broadcast((qids, numbers))
+
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        qids, numbers = sent.value
+        for batch in batches:
+            at = batch.column(0)
+            columns = [qids.take(at), *batch.columns[1:], pa.array(numbers[at.to_numpy()])]
+            yield pa.RecordBatch.from_arrays(columns, ["qid", "id", "dist", "block"])
+
+    return found.mapInArrow(named, schema)
+
+
+def _waves(
+    blocks: Iterator[QuestionBlock], most: int | None = None
+) -> Iterator[list[QuestionBlock]]:
+    """Blocks, in turn, as many together as fit in ``most`` bytes (``WAVE_BYTES``) and
+    ``WAVE_BLOCKS``."""
+    most = WAVE_BYTES if most is None else most
     wave, size = [], 0
     for block in blocks:
-        if wave and (size + block.vectors.nbytes > WAVE_BYTES or len(wave) == WAVE_BLOCKS):
+        if wave and (size + block.vectors.nbytes > most or len(wave) == WAVE_BLOCKS):
             yield wave
             wave, size = [], 0
         wave.append(block)

@@ -130,14 +130,12 @@ def vectors(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     rows = table(spark, folder, "embeddings")
     # A search is work for all cores, however few parts or row groups the file has.
     parts = max(rows.rdd.getNumPartitions(), spark.sparkContext.defaultParallelism)
-    dealt = materialise(rows.repartition(parts), "vectors")
     scaled = F.transform(
         "embedding", lambda x: (x.cast("double") * (1 + F.col("label") / 10)).cast("float")
     )
-    return (
-        rows.select(F.col("vec_id").alias("qid"), "embedding"),
-        dealt.select(F.col("vec_id").alias("id"), scaled.alias("embedding")),
-    )
+    # Scaled once, as a search reads the corpus for each wave of questions.
+    dealt = rows.repartition(parts).select(F.col("vec_id").alias("id"), scaled.alias("embedding"))
+    return rows.select(F.col("vec_id").alias("qid"), "embedding"), materialise(dealt, "vectors")
 
 
 def shown(ranked: DataFrame) -> DataFrame:

@@ -284,3 +284,39 @@ def test_blocks_of_one_job_keep_their_own_ranks(spark):
         for n, b in enumerate([block, other])
     ]
     assert nearest.top_k(parts[0].unionAll(parts[1]), 3, "block").count() == 2 * 20 * 3
+
+
+def test_small_blocks_share_a_reading_of_the_corpus(spark, monkeypatch):
+    q, x = random_vectors(51, 400), random_vectors(52, 150, hot=0.2)
+    corpus, read = frame(spark, x, "id"), []
+    scanned = nearest._scanned
+    monkeypatch.setattr(nearest, "_scanned", lambda block, *a: read.append(len(block.ids)) or scanned(block, *a))
+    # 25 blocks of 16 questions: one reading, not one of each.
+    found = nearest.nearest(frame(spark, q, "qid"), corpus, 3, question_bytes=64, block_bytes=64)
+    assert ranks(found) == brute_force(q, x, 3, "l2") and read == [400]
+    assert len(list(nearest.question_blocks(frame(spark, q, "qid"), 64))) == 25
+    monkeypatch.setattr(nearest, "SCAN_BYTES", 8 * 16 * 6 * 8)
+    found = nearest.nearest(frame(spark, q, "qid"), corpus, 3, question_bytes=64, block_bytes=64)
+    assert ranks(found) == brute_force(q, x, 3, "l2") and read[1:] == [128, 128, 128, 16]
+
+
+def test_blocks_with_the_same_ids_keep_their_own_rows(spark):
+    q, x = random_vectors(41, 40), random_vectors(42, 50)
+    asked, corpus = frame(spark, q, "qid", True), frame(spark, x, "id")
+    names = pa.array([f"k{i}" for i in range(20)])
+    blocks = {3: nearest.QuestionBlock(names, q[:20]), 5: nearest.QuestionBlock(names, q[20:])}
+    found = nearest.top_k(nearest._scanned_together(blocks, asked, corpus, 3, "l2"), 3, "block")
+    want = {(f"k{i % 20}", r, j) for i, r, j in brute_force(q, x, 3, "l2")}
+    got = found.collect()
+    assert len(got) == 120 and {(r.qid, r.rank, r.id) for r in got} == want
+
+
+@pytest.mark.parametrize("k", [1, 4, 40])
+def test_the_bound_of_the_kth_is_never_below_it(k):
+    dist = np.random.default_rng(k).normal(size=(30, 1000)).astype(np.float32)
+    dist[:, ::7] = dist[:, :1]
+    kth = np.sort(dist, axis=1)[:, k - 1]
+    assert (nearest._kth_bound(dist, k) >= kth).all()
+    assert (nearest._kth_bound(dist[:, :3], k) >= np.sort(dist[:, :3], axis=1)[:, min(k, 3) - 1]).all()
+    who, which = nearest.positions(dist < 0)
+    assert (np.stack([who, which]) == np.stack(np.nonzero(dist < 0))).all()
