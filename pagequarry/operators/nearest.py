@@ -183,35 +183,62 @@ def block_nearest(
     if not (len(q) and len(x)):
         return best
     most = min(len(q), QUESTION_STEP)
-    step = max(1, min(DISTANCE_CELLS, PRODUCT_CELLS) // most)
-    parts = [slice(at, at + step) for at in range(0, len(x), step)]
-    far = [distances.factors(x[part], True).T for part in parts]
-    x_squares = [squares(x[part]) for part in parts]
+    parts = [Rows.of(x[part], ids[part], distances) for part in cuts(len(x), most)]
     firsts = np.arange(0, len(q), most)
     edges = np.searchsorted(best[0], np.r_[firsts, len(q)])
     found = []
     for first, start, stop in zip(firsts, edges, edges[1:], strict=False):
-        own = q[first : first + most]
+        asked = Rows.of(q[first : first + most], None, distances)
         mine = (best[0][start:stop] - first, best[1][start:stop], best[2][start:stop])
-        near, q_squares = distances.factors(own, False), squares(own)
-        for part, other, lengths in zip(parts, far, x_squares, strict=True):
-            known = kth_known(mine, len(own), k)
-            pairs = None
-            slack = distances.single_slack(q.shape[1], q_squares, lengths)
-            if np.isfinite(slack):
-                pairs = _within(near @ other, known.copy(), k, slack)
-            if pairs is None or len(pairs[0]) > len(own) * len(lengths) // 16 + k * len(own):
-                # Vectors too large, or too near to one another, for single precision.
-                with np.errstate(invalid="ignore", over="ignore"):
-                    approx = distances.block(own, x[part])
-                # Distances that are no number come last, and are candidates if they are needed.
-                approx[np.isnan(approx)] = np.inf
-                pairs = _within(approx, known, k, distances.slack(own, x[part]))
-            mine = closer(mine, own, x[part], ids[part], *pairs, k, distances)
+        for part in parts:
+            mine = part.nearer(asked, mine, k, distances)
         found.append((mine[0] + first, *mine[1:]))
     return tuple(np.concatenate(column) for column in zip(*found, strict=True))
 
 
+def cuts(rows: int, questions: int) -> list[slice]:
+    """Slices of the corpus whose products with so many questions stay small."""
+    step = max(1, min(DISTANCE_CELLS, PRODUCT_CELLS) // max(1, questions))
+    return [slice(at, at + step) for at in range(0, rows, step)]
+
+
+@dataclass(frozen=True)
+class Rows:
+    """Vectors made ready for products: corpus rows with their ids, or questions without."""
+
+    rows: np.ndarray
+    ids: np.ndarray | None
+    factors: np.ndarray
+    squares: np.ndarray
+
+    @staticmethod
+    def of(rows: np.ndarray, ids: np.ndarray | None, distances: Distances) -> Rows:
+        return Rows(rows, ids, distances.factors(rows, ids is not None), squares(rows))
+
+    def nearer(
+        self,
+        asked: Rows,
+        best: tuple[np.ndarray, np.ndarray, np.ndarray],
+        k: int,
+        distances: Distances,
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``best`` of the questions ``asked`` with what is nearer among these rows."""
+        q, x = asked.rows, self.rows
+        known = kth_known(best, len(q), k)
+        pairs = None
+        slack = distances.single_slack(q.shape[1], asked.squares, self.squares)
+        if np.isfinite(slack):
+            pairs = _within(asked.factors @ self.factors.T, known.copy(), k, slack)
+        if pairs is None or len(pairs[0]) > len(q) * len(x) // 16 + k * len(q):
+            # Vectors too large, or too near to one another, for single precision.
+            with np.errstate(invalid="ignore", over="ignore"):
+                approx = distances.block(q, x)
+            # Distances that are no number come last, and are candidates if they are needed.
+            approx[np.isnan(approx)] = np.inf
+            pairs = _within(approx, known, k, distances.slack(q, x))
+        return closer(best, q, x, self.ids, *pairs, k, distances)
+
+
 def squares(rows: np.ndarray) -> np.ndarray:
     """Squared lengths; those that are no number count as infinite."""
     with np.errstate(invalid="ignore", over="ignore"):

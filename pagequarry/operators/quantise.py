@@ -5,7 +5,8 @@ of 256 centres. A row keeps these bytes and how far its vector is from the one t
 (the slack). So each of its distances has a bound from below and from above, and a row
 whose least distance exceeds the k-th of the largest distances cannot be among the k nearest.
 One scan of the bytes finds that limit; a second measures the rows within it by their vectors
-and keeps the k best, so no table of pairs is made. Bounds hold whatever the centres are, so these
+and keeps the k best, so no table of pairs is made. Both are products in single
+precision, with room for its rounding: the second has the limits and slacks among its factors. Bounds hold whatever the centres are, so these
 are learned from a bounded sample (``SAMPLE`` rows, by the hash of the id); a poor sample
 costs time and no rows.
 """
@@ -22,17 +23,23 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from pagequarry.operators.nearest import (
+    DECIMALS,
     DISTANCE_CELLS,
+    GROUP,
     QUESTION_BYTES,
+    QUESTION_STEP,
     Distances,
     QuestionBlock,
+    Rows,
     as_matrix,
-    block_nearest,
     closer,
+    cuts,
     k_means,
+    kth_known,
     nearest_centre,
     points,
     points_of,
+    positions,
     question_blocks,
     smallest,
     top_k,
@@ -127,24 +134,84 @@ class _Scan:
     books: list[np.ndarray]
     k: int
 
-    def bounds(self, batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, ...]]:
-        """(rows, least, most) of slices of a batch of (id, code, slack, same), copies left out."""
+    def read(self, batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(rows, code, slack) of a batch of (id, code, slack, same), copies left out."""
         code = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint8)
         code = code.reshape(batch.num_rows, -1)
         slack, same = (batch.column(c).to_numpy(zero_copy_only=False) for c in (2, 3))
         ids = batch.column(0).to_numpy(zero_copy_only=False)
         own = _without_copies(same, code, slack, ids, self.k)
+        return own, code[own], np.nan_to_num(slack[own], nan=np.inf, posinf=np.inf)
+
+    def bounds(self, batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, ...]]:
+        """(rows, least) of slices of a batch: the least distances there can be."""
+        own, code, slack = self.read(batch)
         step = max(1, DISTANCE_CELLS // len(self.q))
         for at in range(0, len(own), step):
-            part = own[at : at + step]
+            part = slice(at, at + step)
             x = _decoded(code[part], self.books)
             about = np.sqrt(Distances("l2").block(self.q, x))
             room = slack[part][None, :] + _rounding(self.q, x)
-            yield (
-                part,
-                np.nan_to_num(np.maximum(about - room, 0), nan=np.inf),
-                np.nan_to_num(about + room, nan=np.inf),
-            )
+            yield own[part], np.nan_to_num(np.maximum(about - room, 0), nan=np.inf)
+
+    def chunks(self) -> list[slice]:
+        return [slice(at, at + QUESTION_STEP) for at in range(0, len(self.q), QUESTION_STEP)]
+
+    def asked(self) -> list[Rows]:
+        return [Rows.of(self.q[chunk], None, Distances("l2")) for chunk in self.chunks()]
+
+    def parts(self, batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(rows, decoded vectors, slack) of slices of a batch, by slack."""
+        own, code, slack = self.read(batch)
+        order = np.argsort(slack, kind="stable")
+        for part in cuts(len(own), min(len(self.q), QUESTION_STEP)):
+            at = order[part]
+            yield own[at], _decoded(code[at], self.books), slack[at]
+
+    def lower(self, best: np.ndarray, asked: list[Rows], x: np.ndarray, slack: np.ndarray) -> None:
+        """Put into ``best`` what these rows have of the ``k`` least of the largest distances.
+
+        The nearest of a group of rows of like slack stands for all of it: that leaves out
+        some distances, so that the k-th is larger at most."""
+        distances, room = Distances("l2"), _rounding(self.q, x)
+        size = max(1, min(GROUP, len(x) // (8 * self.k)))
+        groups = len(x) // size
+        whole = groups * size
+        # The rows of a group lie ``groups`` apart, so that the least is taken of vectors.
+        order = np.r_[np.arange(whole).reshape(groups, size).T.ravel(), whole : len(x)].astype(int)
+        most_slack = np.r_[slack[:whole].reshape(groups, size).max(axis=1), slack[whole:]]
+        rows = Rows.of(x[order], order, distances)
+        for chunk, some in zip(self.chunks(), asked, strict=True):
+            error = distances.single_slack(x.shape[1], some.squares, rows.squares)
+            if not np.isfinite(error):
+                continue  # too large for single precision: no limit from these
+            about = some.factors @ rows.factors.T
+            least = about[:, :whole].reshape(len(about), size, groups).min(axis=1)
+            least = np.concatenate([least, about[:, whole:]], axis=1).astype(np.float64)
+            most = np.sqrt(np.maximum(least + error, 0)) + most_slack + room
+            all_ = np.concatenate([best[chunk], most], axis=1)
+            best[chunk] = np.partition(all_, self.k - 1, axis=1)[:, : self.k]
+
+    def open(self, limit: np.ndarray, some: Rows, x: Rows, slack: np.ndarray) -> np.ndarray:
+        """Pairs of the questions ``some`` and rows that may be within ``limit``: those with
+        distance <= limit + slack. Squared, both sides are one product."""
+        # Distances that are rounded to the same number are ties.
+        limit = np.sqrt(limit**2 + 4 * 10.0**-DECIMALS) + _rounding(some.rows, x.rows)
+        bound, loose = np.isfinite(limit), ~np.isfinite(slack)
+        limit, slack = np.where(bound, limit, 0.0), np.where(loose, 0.0, slack)
+        error = Distances("l2").single_slack(
+            some.rows.shape[1] + 2, some.squares, x.squares, limit**2, slack**2
+        )
+        if not np.isfinite(error):
+            return np.ones((len(limit), len(slack)), bool)
+        q, one = some.rows, np.ones
+        left = [-2.0 * q, (some.squares - limit**2)[:, None], one((len(q), 1)), (-2.0 * limit)[:, None]]
+        right = [x.rows, one((len(slack), 1)), (x.squares - slack**2)[:, None], slack[:, None]]
+        left, right = (np.concatenate(side, axis=1).astype(np.float32) for side in (left, right))
+        found = left @ right.T <= np.nextafter(np.float32(error), np.float32(np.inf))
+        found[~bound] = True
+        found[:, loose] = True
+        return found
 
 
 def _limits(codes: Codes, block: QuestionBlock, k: int) -> np.ndarray:
@@ -158,14 +225,13 @@ def _limits(codes: Codes, block: QuestionBlock, k: int) -> np.ndarray:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vectors, books = sent.value
         scan = _Scan(points(vectors, metric), books, k)
-        best = np.empty((len(vectors), 0))
+        asked = scan.asked()
+        best = np.full((len(vectors), k), np.inf)
         for batch in batches:
             if not (len(vectors) and batch.num_rows):
                 continue
-            for _, _, most in scan.bounds(batch):
-                best = np.concatenate([best, most], axis=1)
-                if best.shape[1] > k:
-                    best = np.partition(best, k - 1, axis=1)[:, :k].copy()
+            for _, x, slack in scan.parts(batch):
+                scan.lower(best, asked, x, slack)
         if best.size:
             who = np.repeat(np.arange(len(best), dtype=np.int64), best.shape[1])
             yield pa.RecordBatch.from_arrays(
@@ -193,7 +259,7 @@ def candidates(codes: Codes, block: QuestionBlock, k: int, qid_type: str) -> Dat
         for batch in batches:
             if not (len(limit) and batch.num_rows):
                 continue
-            for part, least, _ in scan.bounds(batch):
+            for part, least in scan.bounds(batch):
                 who, which = np.nonzero(least <= limit[:, None])
                 columns = [
                     block.ids.take(pa.array(who)),
@@ -220,24 +286,34 @@ def _nearest_by_codes(codes: Codes, block: QuestionBlock, k: int, qid_type: str)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, books, limit = sent.value
         scan = _Scan(points(block.vectors, metric), books, k)
-        best = None
+        coded, best = scan.asked(), []
+        asked = coded
+        if metric != "l2":
+            asked = [Rows.of(block.vectors[chunk], None, distances) for chunk in scan.chunks()]
         for batch in batches:
             if not (len(limit) and batch.num_rows):
                 continue
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             vectors = as_matrix(batch.column(4))
-            if best is None:
-                best = (np.empty(0, np.int64), ids[:0], np.empty(0))
-            for part, least, _ in scan.bounds(batch):
-                open_ = least <= limit[:, None]
-                if open_.mean() > DENSE:
-                    near = block_nearest(block.vectors, vectors[part], ids[part], k, distances, best)
-                    best = near
-                    continue
-                who, which = np.nonzero(open_)
-                best = closer(best, block.vectors, vectors[part], ids[part], who, which, k, distances)
-        if best is not None:
-            columns = [block.ids.take(pa.array(best[0])), pa.array(best[1], type=id_type), pa.array(best[2])]
+            best = best or [(np.empty(0, np.int64), ids[:0], np.empty(0))] * len(asked)
+            for part, x, slack in scan.parts(batch):
+                decoded = Rows.of(x, part, Distances("l2"))
+                exact = Rows.of(vectors[part], ids[part], distances)
+                for n, (chunk, some) in enumerate(zip(scan.chunks(), asked, strict=True)):
+                    # The k-th of the pairs measured so far is a limit too.
+                    known = kth_known(best[n], len(some.rows), k)
+                    near = np.sqrt(known if metric == "l2" else 2 * known)
+                    open_ = scan.open(np.minimum(limit[chunk], near), coded[n], decoded, slack)
+                    if np.count_nonzero(open_) > DENSE * open_.size:
+                        best[n] = exact.nearer(some, best[n], k, distances)
+                        continue
+                    pairs = positions(open_)
+                    best[n] = closer(best[n], some.rows, exact.rows, exact.ids, *pairs, k, distances)
+        if best:
+            who = np.concatenate([b[0] + n * QUESTION_STEP for n, b in enumerate(best)])
+            columns = [block.ids.take(pa.array(who))]
+            columns += [pa.array(np.concatenate([b[1] for b in best]), type=id_type)]
+            columns += [pa.array(np.concatenate([b[2] for b in best]))]
             yield pa.RecordBatch.from_arrays(columns, ["qid", "id", "dist"])
 
     kind = rows.schema["id"].dataType.simpleString()

@@ -83,3 +83,52 @@ def test_codes_that_rule_out_nothing_keep_no_pairs(spark):
     found = quantise._nearest_by_codes(codes, block, 4, "bigint")
     assert found.count() <= 80 * 4 * found.rdd.getNumPartitions()
     assert ranks(quantise.search_codes(codes, q, 4)) == brute_force(x[:80], x, 4, "l2")
+
+
+@pytest.mark.parametrize("kind", ["spread", "together", "large", "copies", "clusters"])
+def test_limits_and_open_pairs_leave_out_nothing_near(monkeypatch, kind):
+    rng = np.random.default_rng(12)
+    x = rng.normal(size=(700, 8))
+    if kind == "together":
+        x = 100 + x * 1e-6
+    elif kind == "large":
+        x[::3] *= 1e18
+    elif kind == "copies":
+        x = x[rng.integers(0, 20, len(x))]
+    elif kind == "clusters":
+        x = rng.normal(size=(9, 8))[rng.integers(0, 9, len(x))] * 5 + x * 0.1
+    q, k = x[:90] + (kind == "spread") * 0.1, 3
+    monkeypatch.setattr(quantise, "QUESTION_STEP", 40)
+    decoded = x + rng.normal(size=x.shape) * 0.05
+    slack = np.sqrt(((x - decoded) ** 2).sum(axis=1))
+    order = np.argsort(slack)
+    x, decoded, slack = x[order], decoded[order], slack[order]
+    scan, l2 = quantise._Scan(q, [], k), nearest.Distances("l2")
+    best = np.full((len(q), k), np.inf)
+    for at in range(0, len(x), 250):
+        scan.lower(best, scan.asked(), decoded[at : at + 250], slack[at : at + 250])
+    limit = best.max(axis=1)
+    exact = np.stack([l2.pairs(np.broadcast_to(a, x.shape), x) for a in q])
+    kth = np.sort(exact, axis=1)[:, k - 1]
+    assert (limit**2 + 1e-8 >= kth).all() and (kind == "large" or np.isfinite(limit).all())
+    rows = nearest.Rows.of(decoded, np.arange(len(x)), l2)
+    found = np.concatenate(
+        [scan.open(np.sqrt(kth[c]), some, rows, slack) for c, some in zip(scan.chunks(), scan.asked(), strict=True)]
+    )
+    assert found[exact <= kth[:, None]].all()
+    assert kind != "clusters" or found.mean() < 0.2
+    # Rows of unknown slack and questions without a limit stay open.
+    slack[5], kth[3] = np.inf, np.inf
+    found = scan.open(np.sqrt(kth[:40]), scan.asked()[0], rows, slack)
+    assert found[:, 5].all() and found[3].all()
+
+
+def test_scans_make_no_product_in_double_precision(spark, monkeypatch):
+    q, x = random_vectors(61, 60), random_vectors(62, 500, hot=0.2)
+    codes = quantise.build_codes(frame(spark, x, "id"), parts=3)
+
+    def scan(self, batch):
+        raise AssertionError("double precision")
+
+    monkeypatch.setattr(quantise._Scan, "bounds", scan)
+    assert ranks(quantise.search_codes(codes, frame(spark, q, "qid"), 4)) == brute_force(q, x, 4, "l2")
